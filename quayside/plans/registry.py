@@ -86,3 +86,355 @@ def loyalty_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("loyalty_view", standin_sql_ctes() + f"SELECT * FROM ({_LOYALTY_SQL}) v")
 def loyalty_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     return views.loyalty_pass_through(standin_tables(spark, sf_dir), views.STANDIN_LOYALTY)
+
+
+# ---------------------------------------------------------------------------
+# Join chains
+# ---------------------------------------------------------------------------
+
+from pyspark.sql import functions as F  # noqa: E402
+
+from quayside.functions import names as N  # noqa: E402
+from quayside.operators.aggregates import row_counts  # noqa: E402
+from quayside.operators.columns import complete_columns  # noqa: E402
+from quayside.operators.joins import Join, join_chain  # noqa: E402
+from quayside.operators.limits import limit_ordered, limit_rows  # noqa: E402
+from quayside.operators.profile import catalog_null_profile  # noqa: E402
+
+# Stand-in counterpart of the prefix renames: name-like columns get their
+# table as prefix; the customers' ``region`` does not exist and is skipped.
+STANDIN_PREFIX_RENAMES = {
+    "truck": {"s_name": "truck_name", "s_acctbal": "truck_acctbal"},
+    "menu": {"p_name": "menu_item_name"},
+    "franchise": {"n_name": "franchise_name"},
+    "location": {"r_name": "location_name"},
+    "customer_loyalty": {"c_name": "customer_name", "region": "customer_region"},
+}
+
+FINISHED_STATUS = "F"
+
+
+def _chain_tables(spark, sf_dir):
+    t = standin_tables(spark, sf_dir)
+    # Orders limited to finished ones, so line items have misses on the left.
+    t["order_header"] = t["order_header"].filter(F.col("o_orderstatus") == FINISHED_STATUS)
+    return {k: N.prefix_rename(v, STANDIN_PREFIX_RENAMES.get(k, {})) for k, v in t.items()}
+
+
+def _chain(how_first: str, customers: str | None):
+    steps = [
+        Join("order_header", "order_id", how=how_first),
+        Join("truck", "truck_id", how=how_first),
+        Join("menu", "menu_item_id", how=how_first),
+        Join("franchise", "franchise_id", how=how_first, max_broadcast_rows=1_000),
+        Join("location", "location_id", how=how_first, max_broadcast_rows=1_000),
+    ]
+    if customers:
+        steps.append(Join(customers, "customer_id", how="left"))
+    return steps
+
+
+_CHAIN_CTES = ",\n".join(
+    [
+        standin_sql_ctes(),
+        "oh_f AS (SELECT * FROM order_header WHERE o_orderstatus = 'F')",
+        "truck_p AS (SELECT * EXCLUDE (s_name, s_acctbal), s_name AS truck_name, "
+        "s_acctbal AS truck_acctbal FROM truck)",
+        "menu_p AS (SELECT * EXCLUDE (p_name), p_name AS menu_item_name FROM menu)",
+        "franchise_p AS (SELECT * EXCLUDE (n_name), n_name AS franchise_name FROM franchise)",
+        "location_p AS (SELECT * EXCLUDE (r_name), r_name AS location_name FROM location)",
+        "members_p AS (SELECT * EXCLUDE (c_name), c_name AS customer_name FROM customer_loyalty)",
+    ]
+)
+
+_WIDE_LEFT_SQL = (
+    _CHAIN_CTES
+    + """
+SELECT * FROM order_detail
+LEFT JOIN oh_f USING (order_id)
+LEFT JOIN truck_p USING (truck_id)
+LEFT JOIN menu_p USING (menu_item_id)
+LEFT JOIN franchise_p USING (franchise_id)
+LEFT JOIN location_p USING (location_id)
+"""
+)
+
+
+@register("wide_left", _WIDE_LEFT_SQL)
+def wide_left(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return join_chain(_chain_tables(spark, sf_dir), "order_detail", _chain("left", None))
+
+
+@register(
+    "wide_inner_left",
+    _CHAIN_CTES
+    + """
+SELECT * FROM order_detail
+JOIN oh_f USING (order_id)
+JOIN truck_p USING (truck_id)
+JOIN menu_p USING (menu_item_id)
+JOIN franchise_p USING (franchise_id)
+JOIN location_p USING (location_id)
+LEFT JOIN members_p USING (customer_id)
+""",
+)
+def wide_inner_left(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return join_chain(
+        _chain_tables(spark, sf_dir), "order_detail", _chain("inner", "customer_loyalty")
+    )
+
+
+def _star_tables(spark, sf_dir):
+    t = standin_tables(spark, sf_dir)
+    fact = t["order_detail"].withColumn("ShipDateKey", F.to_date("l_shipdate"))
+    # Role-playing date dimension: the calendar of ship dates.
+    dates = (
+        fact.select(F.col("ShipDateKey").alias("DateKey"))
+        .distinct()
+        .select(
+            "DateKey",
+            F.year("DateKey").alias("CalendarYear"),
+            F.quarter("DateKey").alias("CalendarQuarter"),
+            F.month("DateKey").alias("MonthNumber"),
+        )
+    )
+    t["order_detail"] = fact
+    t["date"] = dates
+    return t
+
+
+_STAR_CTES = ",\n".join(
+    [
+        standin_sql_ctes(),
+        "fact AS (SELECT *, CAST(l_shipdate AS DATE) AS ShipDateKey FROM order_detail)",
+        "dates AS (SELECT DateKey, year(DateKey) AS CalendarYear, "
+        "quarter(DateKey) AS CalendarQuarter, month(DateKey) AS MonthNumber "
+        "FROM (SELECT DISTINCT ShipDateKey AS DateKey FROM fact))",
+    ]
+)
+
+
+@register(
+    "star_inner",
+    _STAR_CTES
+    + """
+SELECT * FROM fact
+JOIN order_header USING (order_id)
+JOIN truck USING (truck_id)
+JOIN franchise USING (franchise_id)
+JOIN dates ON fact.ShipDateKey = dates.DateKey
+JOIN menu USING (menu_item_id)
+JOIN customer USING (customer_id)
+""",
+)
+def star_inner(spark: SparkSession, sf_dir: str) -> DataFrame:
+    steps = [
+        Join("order_header", "order_id"),
+        Join("truck", "truck_id"),
+        Join("franchise", "franchise_id", max_broadcast_rows=1_000),
+        Join("date", "ShipDateKey", "DateKey"),
+        Join("menu", "menu_item_id"),
+        Join("customer", "customer_id"),
+    ]
+    joined = join_chain(_star_tables(spark, sf_dir), "order_detail", steps)
+    return N.writable_names(joined)
+
+
+@register(
+    "star_ship_date",
+    _STAR_CTES + "\nSELECT * FROM fact JOIN dates ON fact.ShipDateKey = dates.DateKey",
+)
+def star_ship_date(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return join_chain(
+        _star_tables(spark, sf_dir), "order_detail", [Join("date", "ShipDateKey", "DateKey")]
+    )
+
+
+@register(
+    "float_key_join",
+    standin_sql_ctes()
+    + """
+SELECT * FROM (SELECT * EXCLUDE (franchise_id),
+                      CAST(CAST(franchise_id AS FLOAT) AS BIGINT) AS franchise_id FROM truck) t
+JOIN (SELECT * EXCLUDE (franchise_id), CAST(franchise_id AS BIGINT) AS franchise_id
+      FROM franchise) f USING (franchise_id)
+""",
+)
+def float_key_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = standin_tables(spark, sf_dir, ["truck", "franchise"])
+    # The raw order header declares its location id FLOAT; here the truck's
+    # franchise id is given that type to join it against an integer key.
+    t["truck"] = t["truck"].withColumn("franchise_id", F.col("franchise_id").cast("float"))
+    return join_chain(t, "truck", [Join("franchise", "franchise_id", key_type="bigint")])
+
+
+@register(
+    "prefix_rename",
+    standin_sql_ctes()
+    + """
+SELECT * FROM (SELECT truck_id, franchise_id, s_name AS truck_name, s_acctbal FROM truck) t
+JOIN (SELECT franchise_id, location_id, n_name AS franchise_name FROM franchise) f
+USING (franchise_id)
+""",
+)
+def prefix_rename(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = standin_tables(spark, sf_dir, ["truck", "franchise"])
+    # Both tables call their name column ``name``; prefixes keep them apart.
+    # ``region`` is not a column of either table: its rename is a no-op.
+    truck = N.prefix_rename(t["truck"].withColumnRenamed("s_name", "name"), {"name": "truck_name"})
+    franchise = N.prefix_rename(
+        t["franchise"].withColumnRenamed("n_name", "name"),
+        {"name": "franchise_name", "region": "franchise_region"},
+    )
+    return join_chain({"truck": truck, "franchise": franchise}, "truck", [Join("franchise", "franchise_id")])
+
+
+# ---------------------------------------------------------------------------
+# Name rules
+# ---------------------------------------------------------------------------
+
+
+def _part(spark, sf_dir):
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/part.parquet")
+
+
+@register(
+    "underscore_names",
+    "SELECT p_partkey AS part_key, p_name AS part_name, p_brand, p_type AS part_type, "
+    "p_size, p_retailprice AS retail_price FROM part",
+)
+def underscore_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    df = _part(spark, sf_dir).select(
+        F.col("p_partkey").alias("part key"), F.col("p_name").alias("part name"),
+        "p_brand", F.col("p_type").alias("part type"), "p_size",
+        F.col("p_retailprice").alias("retail price"),
+    )
+    return N.apply_underscore(df)
+
+
+@register(
+    "sanitize_names",
+    "SELECT p_partkey AS part_key, p_name AS pname, p_brand AS brand_code, "
+    "p_type AS col_3, p_size AS size_class, p_retailprice FROM part",
+)
+def sanitize_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    df = _part(spark, sf_dir).select(
+        F.col("p_partkey").alias("part key"), F.col("p_name").alias('p"name'),
+        F.col("p_brand").alias("brand-code"), F.col("p_type").alias(""),
+        F.col("p_size").alias("size-class"), "p_retailprice",
+    )
+    return N.apply_sanitize(df)
+
+
+@register(
+    "dedupe_names",
+    "SELECT p_partkey AS x_1, p_name AS y, p_brand AS x_2, p_type AS X_3, "
+    "p_size AS x_0, p_retailprice FROM part",
+)
+def dedupe_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    df = _part(spark, sf_dir).select(
+        F.col("p_partkey").alias("x"), F.col("p_name").alias("y"),
+        F.col("p_brand").alias("x"), F.col("p_type").alias("X"),
+        F.col("p_size").alias("x_0"), "p_retailprice",
+    )
+    return N.apply_dedupe(df)
+
+
+# ---------------------------------------------------------------------------
+# Data-dependent columns, profile, counts, limits
+# ---------------------------------------------------------------------------
+
+LOW_PRIORITY = "5-LOW"
+
+
+def _orders_with_nulls(spark, sf_dir):
+    o = spark.read.parquet(f"{sf_dir.rstrip('/')}/orders.parquet")
+    return o.withColumn("o_orderpriority", F.nullif(F.col("o_orderpriority"), F.lit(LOW_PRIORITY)))
+
+
+@register(
+    "complete_columns",
+    "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate FROM orders",
+)
+def complete_columns_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return complete_columns(_orders_with_nulls(spark, sf_dir))
+
+
+_PROFILE_COLUMNS = {
+    "order_detail": ["order_id", "menu_item_id", "truck_id", "l_linenumber", "l_quantity",
+                     "l_extendedprice", "l_discount", "l_tax", "l_returnflag",
+                     "l_linestatus", "l_shipdate"],
+    "order_header": ["order_id", "customer_id", "o_orderstatus", "o_totalprice",
+                     "o_orderdate", "o_orderpriority"],
+    "truck": ["truck_id", "s_name", "franchise_id", "s_acctbal"],
+    "menu": ["menu_item_id", "p_name", "p_brand", "p_type", "p_size", "p_retailprice"],
+    "franchise": ["franchise_id", "n_name", "location_id"],
+    "location": ["location_id", "r_name"],
+    "customer_loyalty": ["customer_id", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"],
+}
+
+
+def _profile_sql() -> str:
+    parts = []
+    for table, cols in _PROFILE_COLUMNS.items():
+        src = "oh_n" if table == "order_header" else table
+        for c in cols:
+            parts.append(
+                f"SELECT '{table}' AS table_name, '{c}' AS column_name, "
+                f"count(*) FILTER (WHERE {c} IS NULL) AS null_count, count(*) AS row_count "
+                f"FROM {src}"
+            )
+    return (
+        standin_sql_ctes()
+        + ",\noh_n AS (SELECT * REPLACE (nullif(o_orderpriority, '5-LOW') AS o_orderpriority) "
+        "FROM order_header)\n"
+        + "\nUNION ALL\n".join(parts)
+    )
+
+
+def _profiled_tables(spark, sf_dir):
+    t = standin_tables(spark, sf_dir, list(_PROFILE_COLUMNS))
+    t["order_header"] = t["order_header"].withColumn(
+        "o_orderpriority", F.nullif(F.col("o_orderpriority"), F.lit(LOW_PRIORITY))
+    )
+    return t
+
+
+@register("null_profile", _profile_sql())
+def null_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return catalog_null_profile(_profiled_tables(spark, sf_dir))
+
+
+@register(
+    "row_count",
+    standin_sql_ctes()
+    + "\nUNION ALL\n".join(
+        f"SELECT '{t}' AS table_name, count(*) AS row_count FROM {t}" for t in _PROFILE_COLUMNS
+    ),
+)
+def row_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return row_counts(standin_tables(spark, sf_dir, list(_PROFILE_COLUMNS)))
+
+
+@register(
+    "limit_rows",
+    f"SELECT count(*) AS row_count FROM ({_WIDE_LEFT_SQL} LIMIT 20000) capped",
+)
+def limit_rows_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    capped = limit_rows(wide_left(spark, sf_dir), 20_000)
+    return capped.agg(F.count(F.lit(1)).alias("row_count"))
+
+
+@register(
+    "limit_ordered",
+    standin_sql_ctes()
+    + "\nSELECT * FROM order_detail ORDER BY order_id, menu_item_id, truck_id, l_linenumber, "
+    "l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, "
+    "l_shipdate LIMIT 20000",
+)
+def limit_ordered_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    od = standin_tables(spark, sf_dir, ["order_detail"])["order_detail"]
+    order = ["order_id", "menu_item_id", "truck_id", "l_linenumber", "l_quantity",
+             "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus",
+             "l_shipdate"]
+    return limit_ordered(od, 20_000, order)
