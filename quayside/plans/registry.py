@@ -438,3 +438,7 @@ def limit_ordered_q(spark: SparkSession, sf_dir: str) -> DataFrame:
              "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus",
              "l_shipdate"]
     return limit_ordered(od, 20_000, order)
+
+
+# Load-side keys register themselves on import.
+from quayside.plans import load_queries  # noqa: E402,F401
