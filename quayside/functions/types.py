@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Candidate order: narrowest first.
-CANDIDATES = ("int", "bigint", "double", "date", "timestamp")
+CANDIDATES = ("int", "bigint", "double", "date", "timestamp_ntz")
 
 _INTEGER = r"^[+-]?[0-9]+$"
 _DATE = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$"

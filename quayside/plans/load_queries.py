@@ -210,7 +210,7 @@ def _infer_sql() -> str:
         "bigint": "regexp_full_match(trim(s), '[+-]?[0-9]+') AND TRY_CAST(trim(s) AS BIGINT) IS NOT NULL",
         "double": "TRY_CAST(trim(s) AS DOUBLE) IS NOT NULL",
         "date": "regexp_full_match(trim(s), '[0-9]{4}-[0-9]{2}-[0-9]{2}') AND TRY_CAST(trim(s) AS DATE) IS NOT NULL",
-        "timestamp": "TRY_CAST(trim(s) AS TIMESTAMP) IS NOT NULL",
+        "timestamp_ntz": "TRY_CAST(trim(s) AS TIMESTAMP) IS NOT NULL",
     }
     parts = []
     for c in _ORDERS_COLUMNS:
@@ -244,3 +244,61 @@ def variant_column(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 assert set(KEY_RENAMES) >= set(CATALOG_TABLES)
+
+
+# ---------------------------------------------------------------------------
+# Workbooks
+# ---------------------------------------------------------------------------
+
+from quayside.functions.names import sheet_table_name  # noqa: E402
+from quayside.plans.workbook_stage import stage_workbooks  # noqa: E402
+from quayside.sources.workbook import (  # noqa: E402
+    read_workbook_cells,
+    sheet_frame,
+    sheet_tables as workbook_sheet_tables,
+    stage_cells,
+)
+
+# Sheets staged from the test tables (names carry blanks, as sheet names do).
+WORKBOOK_SHEETS = {"Product data": "part", "Sales data": "lineitem"}
+
+
+def _staged_workbook_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = scratch_path(spark, "stage", "workbooks")
+    for sheet, table in WORKBOOK_SHEETS.items():
+        written = stage_workbooks(_raw(spark, sf_dir, table), f"{folder}/{table}", sheet)
+        written.agg(F.sum("rows")).collect()  # performs the writes, one row back
+    cells = read_workbook_cells(spark, folder)
+    return stage_cells(cells, scratch_path(spark, "tables", "workbook_cells"))
+
+
+@register(
+    "workbook_scan",
+    "SELECT CAST(p_partkey AS INTEGER) AS p_partkey, p_name, p_brand, p_type, p_size, "
+    "p_retailprice FROM part",
+)
+def workbook_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sheet_frame(_staged_workbook_cells(spark, sf_dir), "Product data")
+
+
+@register(
+    "sheet_tables",
+    "\nUNION ALL\n".join(
+        f"SELECT '{sheet_table_name(s)}' AS table_name, count(*) AS row_count FROM {t}"
+        for s, t in WORKBOOK_SHEETS.items()
+    ),
+)
+def sheet_tables_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tables = workbook_sheet_tables(_staged_workbook_cells(spark, sf_dir))
+    root = scratch_path(spark, "tables", "sheets")
+    parts = []
+    for name, df in tables.items():
+        overwrite_table(df, name, f"{root}/{name}")
+        parts.append(
+            spark.table(name).agg(F.count(F.lit(1)).alias("row_count"))
+            .select(F.lit(name).alias("table_name"), "row_count")
+        )
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
