@@ -67,19 +67,28 @@ SALES_STAR = (
 
 
 def complete_columns_catalog(
-    tables: Mapping[str, DataFrame], keep: Sequence[str] = POS_KEYS
+    tables: Mapping[str, DataFrame],
+    keep: Sequence[str] = POS_KEYS,
+    known_null_counts: Mapping[str, Mapping[str, int]] | None = None,
 ) -> dict[str, DataFrame]:
     """Drop every column holding a null, for all tables from one profile job.
 
     Keys in ``keep`` stay so that a null key cannot remove the column a later
-    USING join needs.  Only one row per column reaches the driver.
+    USING join needs.  Only one row per column reaches the driver.  Tables
+    whose counts are already known (observed while they were written) are not
+    scanned again.
     """
     if not tables:
         return {}
     keep_lower = {k.lower() for k in keep}
-    nulls: dict[str, set[str]] = {name: set() for name in tables}
-    for r in catalog_null_profile(tables).filter(F.col("null_count") > 0).collect():
-        nulls[r["table_name"]].add(r["column_name"])
+    known = known_null_counts or {}
+    nulls: dict[str, set[str]] = {
+        name: {c for c, n in known.get(name, {}).items() if n > 0} for name in tables
+    }
+    unknown = {n: df for n, df in tables.items() if n not in known}
+    if unknown:
+        for r in catalog_null_profile(unknown).filter(F.col("null_count") > 0).collect():
+            nulls[r["table_name"]].add(r["column_name"])
     return {
         name: df.select(
             *[F.col(f"`{c}`") for c in df.columns if c not in nulls[name] or c.lower() in keep_lower]
@@ -113,6 +122,7 @@ def csv_to_warehouse(
         path_of={n: f"{tables_root.rstrip('/')}/{specs[n].namespace}/{n}" for n in loaded.tables},
         bucket_of={n: specs[n].bucket_key for n in loaded.tables},
         buckets=buckets,
+        observe_nulls=True,
     )
     return WarehouseLoad(loaded, report)
 
@@ -124,10 +134,16 @@ def warehouse_to_wide(
     cap: int | None = WIDE_TABLE_CAP,
     renames: Mapping[str, Mapping[str, str]] = PREFIX_RENAMES,
     chain: Sequence[Join] = WIDE_LEFT_CHAIN,
+    null_counts: Mapping[str, Mapping[str, int]] | None = None,
 ) -> DataFrame:
-    """Complete columns, prefixed names, left chain, cap; written if a sink is given."""
+    """Complete columns, prefixed names, left chain, cap; written if a sink is given.
+
+    ``null_counts`` (from ``csv_to_warehouse``'s report) spares the profile scan.
+    """
     needed = {"order_detail", *(s.table for s in chain)}
-    complete = complete_columns_catalog({n: tables[n] for n in needed if n in tables})
+    complete = complete_columns_catalog(
+        {n: tables[n] for n in needed if n in tables}, known_null_counts=null_counts
+    )
     renamed = {n: prefix_rename(df, renames.get(n, {})) for n, df in complete.items()}
     wide = join_chain(renamed, "order_detail", chain)
     if cap is not None:

@@ -6,7 +6,7 @@ import logging
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -50,6 +50,8 @@ def overwrite_table(
 class SaveReport:
     saved: dict[str, str] = field(default_factory=dict)
     failed: dict[str, str] = field(default_factory=dict)
+    # Per saved table: column -> null count, observed while writing.
+    null_counts: dict[str, dict[str, int]] = field(default_factory=dict)
 
     def status(self, spark: SparkSession) -> DataFrame:
         schema = T.StructType(
@@ -70,12 +72,22 @@ def save_catalog(
     path_of: Mapping[str, str] | None = None,
     bucket_of: Mapping[str, str | None] | None = None,
     buckets: int | None = None,
+    observe_nulls: bool = False,
 ) -> SaveReport:
     """Overwrite one target per table; a failing table does not stop the rest."""
     report = SaveReport()
     for name, df in tables.items():
         target = target_of[name]
         try:
+            observation = None
+            if observe_nulls and df.columns:
+                # Null counts ride along the write job: no extra scan later.
+                observation = Observation(f"nulls_{name}")
+                df = df.observe(
+                    observation,
+                    *[F.count_if(F.col(f"`{c}`").isNull()).alias(f"n{i}")
+                      for i, c in enumerate(df.columns)],
+                )
             overwrite_table(
                 df,
                 target,
@@ -84,6 +96,9 @@ def save_catalog(
                 buckets=buckets,
             )
             report.saved[name] = target
+            if observation is not None:
+                got = observation.get
+                report.null_counts[name] = {c: int(got[f"n{i}"]) for i, c in enumerate(df.columns)}
         except Exception as exc:  # noqa: BLE001 - content errors surface here
             log.error("saving %s failed: %s", name, exc)
             report.failed[name] = str(exc).splitlines()[0]

@@ -34,8 +34,12 @@ def test_csv_to_warehouse_then_wide(spark, staged, tmp):
         overwrite_table(df, name, f"{tmp}/out/{name}")
         written[name] = spark.table(name)
 
-    wide = flows.warehouse_to_wide(tables, sink)
+    # Null counts were observed during the load: no profile scan is needed.
+    assert done.save.null_counts["order_detail"]["discount_id"] == 4
+    wide = flows.warehouse_to_wide(tables, sink, null_counts=done.save.null_counts)
     out = written["joined_data"]
+    profiled = flows.warehouse_to_wide(tables, None)
+    assert profiled.columns == wide.columns
     assert out.columns[:5] == ["location_id", "franchise_id", "menu_item_id", "truck_id", "order_id"]
     assert len({c.lower() for c in out.columns}) == len(out.columns)
     # Left chain: all four order lines stay, the unknown truck gives nulls.
