@@ -16,7 +16,7 @@ from quayside.functions.types import infer_types
 from quayside.functions.variant import parse_variant, variant_field
 from quayside.plans import views
 from quayside.plans.registry import register
-from quayside.plans.standins import KEY_RENAMES, standin_sql_ctes, standin_tables
+from quayside.plans.standins import KEY_RENAMES, read_source, standin_sql_ctes, standin_tables
 from quayside.session import scratch_path
 from quayside.sinks.tables import overwrite_table, save_catalog
 from quayside.sources.catalog import load_catalog
@@ -26,7 +26,7 @@ from quayside.streaming.stage_load import StageLoad, read_loaded, run_stage_load
 
 
 def _raw(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return read_source(spark, sf_dir, name)
 
 
 # ---------------------------------------------------------------------------

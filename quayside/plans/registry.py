@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from quayside.plans import views
-from quayside.plans.standins import standin_sql_ctes, standin_tables
+from quayside.plans.standins import read_source, standin_sql_ctes, standin_tables
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -295,7 +295,7 @@ def prefix_rename(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _part(spark, sf_dir):
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/part.parquet")
+    return read_source(spark, sf_dir, "part")
 
 
 @register(
@@ -348,7 +348,7 @@ LOW_PRIORITY = "5-LOW"
 
 
 def _orders_with_nulls(spark, sf_dir):
-    o = spark.read.parquet(f"{sf_dir.rstrip('/')}/orders.parquet")
+    o = read_source(spark, sf_dir, "orders")
     return o.withColumn("o_orderpriority", F.nullif(F.col("o_orderpriority"), F.lit(LOW_PRIORITY)))
 
 

@@ -48,8 +48,21 @@ KEY_RENAMES = {
 BOUNDED_ROWS = {"franchise": 1_000, "location": 1_000}
 
 
+_SOURCES: dict = {}
+
+
 def read_source(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """Parquet table of the test data, resolved once per session.
+
+    Resolving lists the files and reads the footer (about 0.1 s); later
+    queries of the same session reuse the DataFrame.  The test tables are
+    read-only, so the cached listing cannot go stale.
+    """
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (spark.sparkContext.applicationId, path)
+    if key not in _SOURCES:
+        _SOURCES[key] = spark.read.parquet(path)
+    return _SOURCES[key]
 
 
 def standin(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
