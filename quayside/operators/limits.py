@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 WIDE_TABLE_CAP = 20_000
 QUERY_LOAD_CAP = 50_000
+PREVIEW_ROWS = 20
 
 
 def limit_rows(df: DataFrame, n: int = WIDE_TABLE_CAP) -> DataFrame:
@@ -29,3 +30,8 @@ def limit_ordered(
 ) -> DataFrame:
     cols = list(order_by) if order_by else df.columns
     return df.orderBy(*[F.col(f"`{c}`").asc_nulls_first() for c in cols]).limit(n)
+
+
+def preview(df: DataFrame, n: int = PREVIEW_ROWS) -> list:
+    """The first ``n`` rows for a log line (reads only as far as needed)."""
+    return df.take(n)

@@ -179,6 +179,26 @@ def create_namespaces(spark: SparkSession, location_root: str | None = None) ->
     return list(NAMESPACES)
 
 
+def create_raw_tables(
+    spark: SparkSession, specs: Mapping, tables_root: str, fmt: str = "parquet"
+) -> list[str]:
+    """Create (or replace) the typed, empty raw tables of a catalog in their layers.
+
+    The tables are external (``LOCATION`` under ``tables_root``), so dropping
+    and recreating one never touches another's files.
+    """
+    made = []
+    for name, spec in specs.items():
+        if spec.schema is None:
+            continue
+        table = f"{spec.namespace}.{name}"
+        location = f"{tables_root.rstrip('/')}/{spec.namespace}/{name}"
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+        spark.sql(f"CREATE TABLE {table} ({spec.schema}) USING {fmt} LOCATION '{location}'")
+        made.append(table)
+    return made
+
+
 def register_views(spark: SparkSession, tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
     """Register the four views as session views named after their layer."""
     views = {

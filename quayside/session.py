@@ -28,6 +28,14 @@ PIPELINE_CONF = {
 }
 
 
+def anonymous_object_store_conf() -> dict[str, str]:
+    """Read public object-store buckets without credentials (s3a)."""
+    return {
+        "spark.hadoop.fs.s3a.aws.credentials.provider":
+            "org.apache.hadoop.fs.s3a.AnonymousAWSCredentialsProvider",
+    }
+
+
 def build_session(
     master: str = "local[*]",
     app_name: str = "quayside",

@@ -60,3 +60,23 @@ def test_register_views(spark, pos):
 
 def test_literal_row(spark):
     assert views.literal_row(spark).collect()[0]["note"] == views.setup_note()
+
+
+def test_create_raw_tables(spark, tmp):
+    from quayside.specs import pos_catalog
+
+    views.create_namespaces(spark, f"{tmp}/db")
+    made = views.create_raw_tables(spark, pos_catalog(), f"{tmp}/tables")
+    assert len(made) == 8
+    t = spark.table("raw_pos.order_header")
+    assert t.count() == 0
+    assert dict(t.dtypes)["location_id"] == "float"
+    assert dict(spark.table("raw_pos.country").dtypes)["country_id"] == "decimal(18,0)"
+
+
+def test_preview_and_object_store_conf(spark):
+    from quayside.operators.limits import preview
+    from quayside.session import anonymous_object_store_conf
+
+    assert len(preview(spark.range(100))) == 20
+    assert "spark.hadoop.fs.s3a.aws.credentials.provider" in anonymous_object_store_conf()
