@@ -30,6 +30,16 @@ class MissingTablesError(LookupError):
         super().__init__(f"required tables missing: {', '.join(self.missing)}")
 
 
+@dataclass(frozen=True)
+class Chain:
+    """A sub-chain joined as one table (a dimension pre-joined to its own
+    dimensions before the fact meets it).  Aliases inside stay resolvable."""
+
+    base: str
+    steps: tuple
+    base_alias: str | None = None
+
+
 @dataclass(frozen=True)
 class Join:
     """One step of a join chain.
@@ -41,7 +51,7 @@ class Join:
     joined to an integer id is compared as an exact integer, not as doubles.
     """
 
-    table: str
+    table: str | Chain
     left: str
     right: str | None = None
     how: str = "inner"
@@ -74,6 +84,16 @@ def require_tables(tables: Mapping[str, DataFrame], required: Iterable[str]) ->
         raise MissingTablesError(missing)
 
 
+def _table_names(base: str, steps: Sequence[Join]) -> list[str]:
+    names = [base]
+    for s in steps:
+        if isinstance(s.table, Chain):
+            names += _table_names(s.table.base, s.table.steps)
+        else:
+            names.append(s.table)
+    return names
+
+
 def _resolve(df: DataFrame, name: str) -> Column:
     # Qualified names resolve through aliases; plain names bind to this frame.
     return F.col(name) if "." in name else df[name]
@@ -86,12 +106,16 @@ def join_chain(
     base_alias: str | None = None,
 ) -> DataFrame:
     """Fold ``steps`` over ``tables[base]``; every referenced table must exist."""
-    require_tables(tables, [base, *(s.table for s in steps)])
+    require_tables(tables, _table_names(base, steps))
     df = tables[base]
     if base_alias:
         df = df.alias(base_alias)
     for step in steps:
-        right = tables[step.table]
+        if isinstance(step.table, Chain):
+            sub = step.table
+            right = join_chain(tables, sub.base, sub.steps, base_alias=sub.base_alias)
+        else:
+            right = tables[step.table]
         if step.max_broadcast_rows is not None:
             right = bounded_broadcast(right, step.max_broadcast_rows)
         if step.right is None:
@@ -106,7 +130,10 @@ def join_chain(
             if step.alias:
                 right = right.alias(step.alias)
             lk = _resolve(df, step.left)
-            rk = F.col(f"{step.alias}.{step.right}") if step.alias else right[step.right]
+            if step.alias:
+                rk = F.col(f"{step.alias}.{step.right}")
+            else:
+                rk = F.col(step.right) if "." in step.right else right[step.right]
             if step.key_type:
                 lk, rk = lk.cast(step.key_type), rk.cast(step.key_type)
             df = df.join(right, lk == rk, step.how)

@@ -14,6 +14,7 @@ underscores), the other rows are typed with the one-pass inference of
 from __future__ import annotations
 
 import datetime as dt
+import functools
 import io
 import posixpath
 import re
@@ -44,14 +45,18 @@ _EPOCH = dt.datetime(1899, 12, 30)
 _REF = re.compile(r"([A-Z]+)([0-9]+)")
 
 
-def _col_index(ref: str) -> int:
-    letters = _REF.match(ref).group(1)
+@functools.lru_cache(maxsize=4096)
+def _letters_index(letters: str) -> int:
     n = 0
     for ch in letters:
         n = n * 26 + (ord(ch) - 64)
     return n - 1
 
 
+def _col_index(ref: str) -> int:
+    return _letters_index(ref.rstrip("0123456789"))
+
+
 def _shared_strings(zf: zipfile.ZipFile) -> list[str]:
     name = "xl/sharedStrings.xml"
     if name not in zf.namelist():

@@ -1,5 +1,7 @@
 """Plan shape: pushdown, pruning, limit placement, pre-aggregation."""
 
+import re
+
 from quayside.operators.limits import limit_ordered, limit_rows
 from quayside.plans import views
 from quayside.plans.registry import QUERIES
@@ -51,3 +53,30 @@ def test_loyalty_aggregates_orders_before_the_join(spark, sf_small):
 def test_fixed_dimensions_broadcast(spark, sf_small):
     plan = _executed(QUERIES["orders_wide"](spark, sf_small))
     assert plan.count("BroadcastHashJoin") >= 2
+
+
+def test_plan_at_scale_broadcasts_only_bounded_dimensions(spark, sf_small):
+    # As if every table were huge: no size-based broadcast at plan or run time.
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        df = QUERIES["orders_wide"](spark, sf_small)
+        plan = _executed(df)
+        # franchise and location carry a proven row bound; the rest shuffle.
+        assert plan.count("BroadcastHashJoin") == 2
+        assert plan.count("SortMergeJoin") == 4
+        # Members meet the order headers before the lines do: the left join is
+        # the deepest sort-merge join, so the line stream is shuffled three
+        # times (order, truck, menu item), never by customer.
+        kinds = re.findall(r"SortMergeJoin (\w+)", plan)
+        assert kinds == ["Inner", "Inner", "Inner", "LeftOuter"]
+        assert df.count() > 0
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
