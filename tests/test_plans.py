@@ -71,7 +71,7 @@ def test_plan_at_scale_broadcasts_only_bounded_dimensions(spark, sf_small):
         # Members meet the order headers before the lines do: the left join is
         # the deepest sort-merge join, so the line stream is shuffled three
         # times (order, truck, menu item), never by customer.
-        kinds = re.findall(r"SortMergeJoin (\w+)", plan)
+        kinds = re.findall(r"SortMergeJoin \[[^\]]*\], \[[^\]]*\], (\w+)", plan)
         assert kinds == ["Inner", "Inner", "Inner", "LeftOuter"]
         assert df.count() > 0
     finally:
