@@ -80,3 +80,39 @@ def test_plan_at_scale_broadcasts_only_bounded_dimensions(spark, sf_small):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_hot_key_join_is_split_by_aqe(spark):
+    from pyspark.sql import functions as F
+
+    from quayside.operators.joins import Join, join_chain
+
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.shuffle.partitions": "8",
+    }
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        # One order id holds a third of all order lines.
+        lines = spark.range(30_000).select(
+            F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id")).alias("order_id"),
+            F.col("id").alias("line"),
+        )
+        headers = spark.range(30_000).select(F.col("id").alias("order_id"), (F.col("id") % 5).alias("v"))
+        joined = join_chain({"od": lines, "oh": headers}, "od", [Join("oh", "order_id", how="left")])
+        assert len(joined.collect()) == 30_000  # runs this plan, finalising AQE
+        final = joined._jdf.queryExecution().executedPlan().toString()
+        assert "skew=true" in final
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
