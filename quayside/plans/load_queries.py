@@ -12,16 +12,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quayside.functions.names import sheet_table_name
 from quayside.functions.types import infer_types
 from quayside.functions.variant import parse_variant, variant_field
 from quayside.plans import views
 from quayside.plans.registry import register
+from quayside.plans.workbook_stage import stage_workbooks
 from quayside.plans.standins import KEY_RENAMES, read_source, standin_sql_ctes, standin_tables
 from quayside.session import scratch_path
 from quayside.sinks.tables import overwrite_table, save_catalog
 from quayside.sources.catalog import load_catalog
 from quayside.sources.csv import ddl_of, read_csv, read_csv_gz, write_stage
 from quayside.specs import RAW_FOLDERS, TableSpec, pos_catalog
+from quayside.sources.workbook import read_workbook_cells, sheet_frame, stage_cells
+from quayside.sources.workbook import sheet_tables as workbook_sheet_tables
 from quayside.streaming.stage_load import StageLoad, read_loaded, run_stage_load
 
 
@@ -261,15 +265,6 @@ assert set(KEY_RENAMES) >= set(CATALOG_TABLES)
 # Workbooks
 # ---------------------------------------------------------------------------
 
-from quayside.functions.names import sheet_table_name  # noqa: E402
-from quayside.plans.workbook_stage import stage_workbooks  # noqa: E402
-from quayside.sources.workbook import (  # noqa: E402
-    read_workbook_cells,
-    sheet_frame,
-    sheet_tables as workbook_sheet_tables,
-    stage_cells,
-)
-
 # Sheets staged from the test tables (names carry blanks, as sheet names do).
 WORKBOOK_SHEETS = {"Product data": "part", "Sales data": "lineitem"}
 

@@ -11,7 +11,14 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-
+from pyspark.sql import functions as F
+
+from quayside.functions import names as N
+from quayside.operators.aggregates import row_counts
+from quayside.operators.columns import complete_columns
+from quayside.operators.joins import Join, join_chain
+from quayside.operators.limits import limit_ordered, limit_rows
+from quayside.operators.profile import catalog_null_profile
 from quayside.plans import views
 from quayside.plans.standins import read_source, standin_sql_ctes, standin_tables
 
@@ -92,15 +99,6 @@ def loyalty_view(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Join chains
 # ---------------------------------------------------------------------------
 
-from pyspark.sql import functions as F  # noqa: E402
-
-from quayside.functions import names as N  # noqa: E402
-from quayside.operators.aggregates import row_counts  # noqa: E402
-from quayside.operators.columns import complete_columns  # noqa: E402
-from quayside.operators.joins import Join, join_chain  # noqa: E402
-from quayside.operators.limits import limit_ordered, limit_rows  # noqa: E402
-from quayside.operators.profile import catalog_null_profile  # noqa: E402
-
 # Stand-in counterpart of the prefix renames: name-like columns get their
 # table as prefix; the customers' ``region`` does not exist and is skipped.
 STANDIN_PREFIX_RENAMES = {
