@@ -223,9 +223,12 @@ def _infer_sql() -> str:
     rules = {
         "int": "regexp_full_match(trim(s), '[+-]?[0-9]+') AND TRY_CAST(trim(s) AS INTEGER) IS NOT NULL",
         "bigint": "regexp_full_match(trim(s), '[+-]?[0-9]+') AND TRY_CAST(trim(s) AS BIGINT) IS NOT NULL",
-        "double": "TRY_CAST(trim(s) AS DOUBLE) IS NOT NULL",
+        "double": "regexp_full_match(trim(s), '[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?') "
+                  "AND TRY_CAST(trim(s) AS DOUBLE) IS NOT NULL",
         "date": "regexp_full_match(trim(s), '[0-9]{4}-[0-9]{2}-[0-9]{2}') AND TRY_CAST(trim(s) AS DATE) IS NOT NULL",
-        "timestamp_ntz": "TRY_CAST(trim(s) AS TIMESTAMP) IS NOT NULL",
+        "timestamp_ntz": "regexp_full_match(trim(s), "
+                         "'[0-9]{4}-[0-9]{2}-[0-9]{2}([ T][0-9]{2}:[0-9]{2}(:[0-9]{2}([.][0-9]{1,9})?)?)?') "
+                         "AND TRY_CAST(trim(s) AS TIMESTAMP) IS NOT NULL",
     }
     parts = []
     for c in _ORDERS_COLUMNS:

@@ -26,6 +26,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quayside.sources.parquet import read_parquet
+
 MEMBER_SEGMENT = "BUILDING"
 
 # stand-in table -> (source table, {source column: point-of-sale key name})
@@ -61,7 +63,9 @@ def read_source(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
     key = (spark.sparkContext.applicationId, path)
     if key not in _SOURCES:
-        _SOURCES[key] = spark.read.parquet(path)
+        # Not spread: at these sizes an extra exchange costs more than the
+        # single-task scan (measured at sf0.1); see sources.parquet.
+        _SOURCES[key] = read_parquet(spark, path, spread=False)
     return _SOURCES[key]
 
 

@@ -90,3 +90,13 @@ def test_pos_catalog_specs():
     assert cat["customer_loyalty"].namespace == "raw_customer"
     assert cat["order_detail"].bucket_key == "order_id"
     assert cat["order_header"].schema.startswith("order_id INT, truck_id INT, location_id FLOAT")
+
+
+def test_spread_narrow_scan(spark, tmp):
+    from quayside.sources.parquet import read_parquet, spread_narrow_scan
+
+    spark.range(100).coalesce(1).write.parquet(f"{tmp}/one")
+    df = read_parquet(spark, f"{tmp}/one")
+    assert df.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    wide = spark.range(0, 100, 1, 16)
+    assert spread_narrow_scan(wide, 4) is wide
