@@ -30,27 +30,67 @@ _SHAPE = {
 }
 
 
-def _fits(c: Column, type_name: str) -> Column:
-    """True when the (non-null) text is a literal of ``type_name``."""
-    text = F.trim(c)
-    # ``&`` evaluates its left side first and skips the cast when it fails.
-    return text.rlike(_SHAPE[type_name]) & text.try_cast(type_name).isNotNull()
+# One bit per candidate; a value's mask holds the bits of every type it fits.
+_BIT = {t: 1 << i for i, t in enumerate(CANDIDATES)}
+
+
+def _bit_if_casts(text: Column, type_name: str) -> Column:
+    return F.when(text.try_cast(type_name).isNotNull(), F.lit(_BIT[type_name])).otherwise(F.lit(0))
+
+
+def _fit_mask(text: Column) -> Column:
+    """Bits of the candidates the (trimmed, non-null) text is a literal of.
+
+    A value fits a type when it has the type's literal shape and the cast
+    succeeds.  The shapes nest (integer inside decimal, date inside
+    timestamp) and the two families are disjoint, so one ``CASE`` classifies
+    the value with at most three pattern tests; casts run only on text of the
+    right shape (a failing cast would cost a caught exception per value under
+    ANSI semantics).
+    """
+    return (
+        F.when(text.isNull(), F.lit(None).cast("int"))
+        .when(
+            text.rlike(_INTEGER),
+            _bit_if_casts(text, "int")
+            .bitwiseOR(_bit_if_casts(text, "bigint"))
+            .bitwiseOR(_bit_if_casts(text, "double")),
+        )
+        .when(text.rlike(_DECIMAL), _bit_if_casts(text, "double"))
+        .when(
+            text.rlike(_TIMESTAMP),
+            F.when(text.rlike(_DATE), _bit_if_casts(text, "date"))
+            .otherwise(F.lit(0))
+            .bitwiseOR(_bit_if_casts(text, "timestamp_ntz")),
+        )
+        .otherwise(F.lit(0))
+    )
 
 
 def infer_types(df: DataFrame) -> DataFrame:
-    """(column_name, inferred_type) for every column, from one job."""
+    """(column_name, inferred_type) for every column, from one job.
+
+    Per column the aggregate keeps two numbers: how many values there are,
+    and the AND of their fit masks - the candidates *every* value fits.  The
+    first candidate left in that set is the column's type.  Both aggregates
+    combine map-side, so a task sends one row whatever its size.
+    """
+    # Trimmed text is projected once; the optimizer keeps this projection
+    # rather than repeating the trim in every expression that reads it.
+    texts = df.select(
+        *[F.trim(F.col(f"`{name}`").cast("string")).alias(f"__t_{i}") for i, name in enumerate(df.columns)]
+    )
     aggs = []
-    for i, name in enumerate(df.columns):
-        c = F.col(f"`{name}`").cast("string")
-        aggs.append(F.count(c).alias(f"__n_{i}"))
-        for t in CANDIDATES:
-            aggs.append(F.count_if(c.isNotNull() & ~_fits(c, t)).alias(f"__miss_{i}_{t}"))
-    counts = df.agg(*aggs)
+    for i in range(len(df.columns)):
+        t = F.col(f"__t_{i}")
+        aggs.append(F.count(t).alias(f"__n_{i}"))
+        aggs.append(F.bit_and(_fit_mask(t)).alias(f"__fit_{i}"))
+    counts = texts.agg(*aggs)
     decided = []
     for i, name in enumerate(df.columns):
         choice = F.when(F.col(f"__n_{i}") == 0, F.lit("string"))
         for t in CANDIDATES:
-            choice = choice.when(F.col(f"__miss_{i}_{t}") == 0, F.lit(t))
+            choice = choice.when((F.col(f"__fit_{i}").bitwiseAND(F.lit(_BIT[t]))) != 0, F.lit(t))
         decided.append(F.struct(F.lit(name).alias("column_name"), choice.otherwise("string").alias("inferred_type")))
     return counts.select(F.inline(F.array(*decided)))
 

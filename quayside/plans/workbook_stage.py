@@ -22,7 +22,7 @@ from xml.sax.saxutils import escape
 import pandas as pd
 from pyspark.sql import DataFrame
 
-from quayside.session import local_dir_of
+from quayside.session import local_dir_of, ship_package
 
 _EPOCH = dt.datetime(1899, 12, 30)
 
@@ -152,6 +152,7 @@ def stage_workbooks(df: DataFrame, folder: str, sheet: str) -> DataFrame:
     if target is None:
         raise ValueError(f"workbooks can only be staged on a mounted path, not {folder}")
     columns = df.columns
+    ship_package(df.sparkSession)
 
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         frames = list(batches)

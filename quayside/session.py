@@ -9,6 +9,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -97,3 +98,30 @@ def local_dir_of(path: str) -> str | None:
     if "://" in path:
         return None
     return path if os.path.isabs(path) else None
+
+
+_SHIPPED: set = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``quayside`` importable in Python workers, as ``--py-files`` would.
+
+    Functions that run inside tasks (``mapInPandas``) are pickled by reference
+    to their module, so every executor must be able to import the package,
+    whatever the driver's working directory.  A zip of the package is added
+    once per application with ``addPyFile``; Spark hands it to the executors.
+    """
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    package_dir = os.path.dirname(os.path.abspath(__file__))
+    parent = os.path.dirname(package_dir)
+    archive = os.path.join(tempfile.mkdtemp(prefix="quayside-pyfiles-"), "quayside.zip")
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as zf:
+        for folder, _, files in os.walk(package_dir):
+            for name in files:
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    zf.write(full, os.path.relpath(full, parent))
+    sc.addPyFile(archive)
+    _SHIPPED.add(sc.applicationId)

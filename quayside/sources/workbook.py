@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 
 from quayside.functions.names import sheet_table_name, underscore_names
 from quayside.functions.types import apply_types, infer_types
+from quayside.session import ship_package
 
 CELL_SCHEMA = "workbook string, sheet string, row_no int, cells array<string>"
 BATCH_ROWS = 4096
@@ -180,6 +181,7 @@ def _read_cells(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def read_workbook_cells(spark: SparkSession, path: str, glob: str = "*.xlsx") -> DataFrame:
     """(workbook, sheet, row_no, cells) for every row of every sheet."""
+    ship_package(spark)
     files = (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", glob)
