@@ -12,6 +12,7 @@ every worker (the shared scratch folder).
 from __future__ import annotations
 
 import datetime as dt
+import itertools
 import math
 import os
 import uuid
@@ -81,15 +82,94 @@ def _serial(value) -> float:
     return delta.days + delta.seconds / 86400 + delta.microseconds / 86_400_000_000
 
 
-def write_workbook(path: str, sheet: str, columns: list[str], rows: Iterator[tuple]) -> int:
-    """Write one workbook with one sheet; returns the number of data rows."""
-    strings: dict[str, int] = {}
+_ONE_DAY = pd.Timedelta(days=1)
 
-    def sref(text: str) -> int:
-        if text not in strings:
-            strings[text] = len(strings)
-        return strings[text]
 
+class _SharedStrings:
+    """The workbook's shared-string table: text -> index, in first-use order."""
+
+    def __init__(self):
+        self.index: dict[str, int] = {}
+
+    def ref(self, text: str) -> int:
+        if text not in self.index:
+            self.index[text] = len(self.index)
+        return self.index[text]
+
+    def refs(self, values: pd.Series) -> pd.Series:
+        codes, uniques = pd.factorize(values)
+        ids = pd.Series([self.ref(u) for u in uniques], dtype="int64").to_numpy()
+        return pd.Series(ids[codes], index=values.index).astype(str)
+
+
+def _cell_value(v, ref: str, strings: _SharedStrings) -> str:
+    """One cell of any Python value (the slow path for mixed columns)."""
+    if v is None or v is pd.NaT or (isinstance(v, float) and math.isnan(v)):
+        return ""
+    if isinstance(v, bool):
+        return f'<c r="{ref}" t="b"><v>{int(v)}</v></c>'
+    if isinstance(v, (pd.Timestamp, dt.datetime)):
+        return f'<c r="{ref}" s="2"><v>{_serial(pd.Timestamp(v).to_pydatetime())!r}</v></c>'
+    if isinstance(v, dt.date):
+        return f'<c r="{ref}" s="1"><v>{_serial(v)!r}</v></c>'
+    if hasattr(v, "item") and not isinstance(v, str):  # numpy scalar
+        v = v.item()
+    if isinstance(v, (int, float)) and not isinstance(v, bool):
+        return f'<c r="{ref}"><v>{v!r}</v></c>'
+    if isinstance(v, str):
+        return f'<c r="{ref}" t="s"><v>{strings.ref(v)}</v></c>'
+    return f'<c r="{ref}" t="s"><v>{strings.ref(str(v))}</v></c>'
+
+
+def _column_cells(values: pd.Series, letters: str, rows: pd.Series,
+                  strings: _SharedStrings) -> pd.Series:
+    """XML of one column's cells for a batch of rows ('' where the value is null).
+
+    Whole columns are formatted at once by kind: numbers, booleans, text (as
+    shared-string references), dates and timestamps (as serial numbers with a
+    date style).  Columns of mixed Python values take the per-value path.
+    """
+    refs = f'<c r="{letters}' + rows
+    present = values.notna()
+    out = pd.Series("", index=values.index, dtype=object)
+    if not present.any():
+        return out
+    v = values[present]
+    r = refs[present]
+    kind = values.dtype.kind
+    if kind == "b":
+        out[present] = r + '" t="b"><v>' + v.astype("int64").astype(str) + "</v></c>"
+    elif kind in "iu":
+        out[present] = r + '"><v>' + v.astype(str) + "</v></c>"
+    elif kind == "f":
+        out[present] = r + '"><v>' + v.map(repr) + "</v></c>"
+    elif kind == "M":
+        stamps = v.dt.tz_localize(None) if v.dt.tz is not None else v
+        serial = (stamps - pd.Timestamp(_EPOCH)) / _ONE_DAY
+        out[present] = r + '" s="2"><v>' + serial.map(repr) + "</v></c>"
+    else:
+        kinds = set(map(type, v))
+        if kinds == {str}:
+            out[present] = r + '" t="s"><v>' + strings.refs(v) + "</v></c>"
+        elif kinds == {dt.date}:
+            serial = (pd.to_datetime(v) - pd.Timestamp(_EPOCH)) / _ONE_DAY
+            out[present] = r + '" s="1"><v>' + serial.map(repr) + "</v></c>"
+        else:
+            out[present] = [
+                _cell_value(x, f"{letters}{n}", strings) for x, n in zip(v, rows[present])
+            ]
+    return out
+
+
+def write_workbook_batches(path: str, sheet: str, columns: list[str],
+                           batches: Iterator[pd.DataFrame]) -> int:
+    """Write one workbook with one sheet from pandas batches; returns data rows.
+
+    Rows are formatted and written a batch at a time, so memory holds one
+    batch plus the shared-string table, not the whole sheet.
+    """
+    strings = _SharedStrings()
+    letters = [_col_letters(i) for i in range(len(columns))]
     n = 0
     with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as zf:
         with zf.open("xl/worksheets/sheet1.xml", "w") as fh:
@@ -98,29 +178,20 @@ def write_workbook(path: str, sheet: str, columns: list[str], rows: Iterator[tup
                 b'<worksheet xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"><sheetData>'
             )
             header = "".join(
-                f'<c r="{_col_letters(i)}1" t="s"><v>{sref(c)}</v></c>' for i, c in enumerate(columns)
+                f'<c r="{letters[i]}1" t="s"><v>{strings.ref(c)}</v></c>' for i, c in enumerate(columns)
             )
             fh.write(f'<row r="1">{header}</row>'.encode())
-            for r, row in enumerate(rows, start=2):
-                cells = []
-                for i, v in enumerate(row):
-                    ref = f"{_col_letters(i)}{r}"
-                    if v is None or (isinstance(v, float) and math.isnan(v)) or v is pd.NaT:
-                        continue
-                    if isinstance(v, bool):
-                        cells.append(f'<c r="{ref}" t="b"><v>{int(v)}</v></c>')
-                    elif isinstance(v, (pd.Timestamp, dt.datetime)):
-                        cells.append(f'<c r="{ref}" s="2"><v>{_serial(pd.Timestamp(v).to_pydatetime())!r}</v></c>')
-                    elif isinstance(v, dt.date):
-                        cells.append(f'<c r="{ref}" s="1"><v>{_serial(v)!r}</v></c>')
-                    elif hasattr(v, "item") and not isinstance(v, str):  # numpy scalar
-                        v = v.item()
-                    if isinstance(v, (int, float)) and not isinstance(v, bool):
-                        cells.append(f'<c r="{ref}"><v>{v!r}</v></c>')
-                    elif isinstance(v, str):
-                        cells.append(f'<c r="{ref}" t="s"><v>{sref(v)}</v></c>')
-                fh.write(f'<row r="{r}">{"".join(cells)}</row>'.encode())
-                n += 1
+            for pdf in batches:
+                if pdf.empty:
+                    continue
+                pdf = pdf.reset_index(drop=True)
+                rows = pd.Series(range(n + 2, n + 2 + len(pdf)), dtype="int64").astype(str)
+                xml = '<row r="' + rows + '">'
+                for i in range(len(columns)):
+                    xml = xml + _column_cells(pdf.iloc[:, i], letters[i], rows, strings)
+                xml = xml + "</row>"
+                fh.write("".join(xml).encode())
+                n += len(pdf)
             fh.write(b"</sheetData></worksheet>")
         zf.writestr("[Content_Types].xml", _CONTENT_TYPES)
         zf.writestr("_rels/.rels", _ROOT_RELS)
@@ -133,16 +204,33 @@ def write_workbook(path: str, sheet: str, columns: list[str], rows: Iterator[tup
             'xmlns:r="http://schemas.openxmlformats.org/officeDocument/2006/relationships">'
             f'<sheets><sheet name="{escape(sheet, {chr(34): "&quot;"})}" sheetId="1" r:id="rId1"/></sheets></workbook>',
         )
-        sst = "".join(f"<si><t xml:space=\"preserve\">{escape(s)}</t></si>" for s in strings)
+        sst = "".join(f"<si><t xml:space=\"preserve\">{escape(t)}</t></si>" for t in strings.index)
         zf.writestr(
             "xl/sharedStrings.xml",
             '<?xml version="1.0" encoding="UTF-8" standalone="yes"?>'
-            f'<sst xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main" count="{len(strings)}" '
-            f'uniqueCount="{len(strings)}">{sst}</sst>',
+            f'<sst xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main" count="{len(strings.index)}" '
+            f'uniqueCount="{len(strings.index)}">{sst}</sst>',
         )
     return n
 
 
+def write_workbook(path: str, sheet: str, columns: list[str], rows: Iterator[tuple],
+                   batch_rows: int = 4096) -> int:
+    """Write one workbook with one sheet from row tuples; returns data rows."""
+
+    def batches():
+        chunk = []
+        for row in rows:
+            chunk.append(tuple(row))
+            if len(chunk) >= batch_rows:
+                yield pd.DataFrame.from_records(chunk, columns=columns)
+                chunk = []
+        if chunk:
+            yield pd.DataFrame.from_records(chunk, columns=columns)
+
+    return write_workbook_batches(path, sheet, columns, batches())
+
+
 def stage_workbooks(df: DataFrame, folder: str, sheet: str) -> DataFrame:
     """Write every partition of ``df`` as one workbook in ``folder``.
 
@@ -155,16 +243,14 @@ def stage_workbooks(df: DataFrame, folder: str, sheet: str) -> DataFrame:
     ship_package(df.sparkSession)
 
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        frames = list(batches)
-        if not frames:
-            return
-        pdf = pd.concat(frames, ignore_index=True)
-        if pdf.empty:
+        # An empty partition writes no file.
+        batches = (b for b in batches if not b.empty)
+        first = next(batches, None)
+        if first is None:
             return
         os.makedirs(target, exist_ok=True)
         path = os.path.join(target, f"{uuid.uuid4().hex}.xlsx")
-        rows = (tuple(None if pd.isna(v) else v for v in rec) for rec in pdf.itertuples(index=False))
-        n = write_workbook(path, sheet, columns, rows)
+        n = write_workbook_batches(path, sheet, columns, itertools.chain([first], batches))
         yield pd.DataFrame({"path": [path], "rows": [n]})
 
     return df.mapInPandas(write, "path string, rows long")

@@ -43,7 +43,7 @@ _BUILTIN_DATE_FORMATS = {14, 15, 16, 17, 22, 45, 46, 47}
 _BUILTIN_TIME_FORMATS = {18, 19, 20, 21}
 _EPOCH = dt.datetime(1899, 12, 30)
 
-_REF = re.compile(r"([A-Z]+)([0-9]+)")
+_DIGITS = "0123456789"
 
 
 @functools.lru_cache(maxsize=4096)
@@ -54,10 +54,6 @@ def _letters_index(letters: str) -> int:
     return n - 1
 
 
-def _col_index(ref: str) -> int:
-    return _letters_index(ref.rstrip("0123456789"))
-
-
 def _shared_strings(zf: zipfile.ZipFile) -> list[str]:
     name = "xl/sharedStrings.xml"
     if name not in zf.namelist():
@@ -126,23 +122,93 @@ def _serial_text(value: str, kind: str) -> str:
     return moment.isoformat(sep=" ")
 
 
-def _cell_text(c, strings, date_styles) -> str | None:
-    kind = c.get("t", "n")
-    if kind == "inlineStr":
-        node = c.find(f"{_NS_MAIN}is")
-        return None if node is None else "".join(t.text or "" for t in node.iter(f"{_NS_MAIN}t"))
-    v = c.find(f"{_NS_MAIN}v")
-    if v is None or v.text is None:
+_TAG_ROW = f"{_NS_MAIN}row"
+_TAG_CELL = f"{_NS_MAIN}c"
+_TAG_VALUE = f"{_NS_MAIN}v"
+_TAG_INLINE = f"{_NS_MAIN}is"
+_TAG_TEXT = f"{_NS_MAIN}t"
+_CHUNK = 1 << 20
+
+
+class _SheetRows:
+    """Parser target: turns a sheet's XML into (row_no, cells) as it is fed.
+
+    The parser calls ``start`` / ``data`` / ``end`` per element; rows are built
+    straight from those calls, with no element tree, and handed out after
+    every fed chunk - memory holds one chunk of rows.
+    """
+
+    def __init__(self, strings: list[str], date_styles: dict[int, str]):
+        self.strings = strings
+        self.date_styles = date_styles
+        self.done: list[tuple[int, list]] = []
+        self.row_no = 0
+        self.cells: list | None = None
+        self.kind = "n"
+        self.ref = None
+        self.style = None
+        self.text: list[str] | None = None   # text of the open <v> / inline <t>
+        self.value: str | None = None
+        self.inline: list[str] | None = None
+
+    def start(self, tag, attrib):
+        # Most frequent tags first: one <c> and one <v> per cell.
+        if tag == _TAG_CELL:
+            self.ref = attrib.get("r")
+            self.kind = attrib.get("t", "n")
+            self.style = attrib.get("s")
+            self.value = None
+            self.inline = None
+        elif tag == _TAG_VALUE:
+            self.text = []
+        elif tag == _TAG_ROW:
+            r = attrib.get("r")
+            self.row_no = int(r) if r else self.row_no + 1
+            self.cells = []
+        elif tag == _TAG_INLINE:
+            self.inline = []
+        elif tag == _TAG_TEXT and self.inline is not None:
+            self.text = []
+
+    def data(self, text):
+        if self.text is not None:
+            self.text.append(text)
+
+    def end(self, tag):
+        if tag == _TAG_VALUE:
+            self.value = "".join(self.text)
+            self.text = None
+        elif tag == _TAG_CELL:
+            cells = self.cells
+            ref = self.ref
+            if ref:
+                idx = _letters_index(ref.rstrip(_DIGITS))
+                if len(cells) < idx:
+                    cells.extend([None] * (idx - len(cells)))
+            kind = self.kind
+            v = self.value
+            if kind == "n":
+                # A cell without a style attribute has style 0.
+                if v is not None and self.date_styles:
+                    style = self.date_styles.get(int(self.style) if self.style else 0)
+                    if style:
+                        v = _serial_text(v, style)
+            elif kind == "s":
+                v = None if v is None else self.strings[int(v)]
+            elif kind == "inlineStr":
+                v = None if self.inline is None else "".join(self.inline)
+            elif kind == "b":
+                v = None if v is None else ("true" if v == "1" else "false")
+            cells.append(v)
+        elif tag == _TAG_ROW:
+            self.done.append((self.row_no, self.cells))
+            self.cells = None
+        elif tag == _TAG_TEXT and self.inline is not None and self.text is not None:
+            self.inline.append("".join(self.text))
+            self.text = None
+
+    def close(self):
         return None
-    if kind == "s":
-        return strings[int(v.text)]
-    if kind == "b":
-        return "true" if v.text == "1" else "false"
-    if kind == "n":
-        style = date_styles.get(int(c.get("s", "0")))
-        if style:
-            return _serial_text(v.text, style)
-    return v.text
 
 
 def iter_workbook_rows(name: str, content: bytes) -> Iterator[tuple[str, str, int, list]]:
@@ -151,19 +217,17 @@ def iter_workbook_rows(name: str, content: bytes) -> Iterator[tuple[str, str, in
         strings = _shared_strings(zf)
         date_styles = _date_styles(zf)
         for sheet, path in _sheet_paths(zf):
+            target = _SheetRows(strings, date_styles)
+            parser = ET.XMLParser(target=target)
             with zf.open(path) as fh:
-                for _, el in ET.iterparse(fh):
-                    if el.tag != f"{_NS_MAIN}row":
-                        continue
-                    cells: list = []
-                    for c in el.iter(f"{_NS_MAIN}c"):
-                        ref = c.get("r")
-                        idx = _col_index(ref) if ref else len(cells)
-                        while len(cells) < idx:
-                            cells.append(None)
-                        cells.append(_cell_text(c, strings, date_styles))
-                    yield name, sheet, int(el.get("r")), cells
-                    el.clear()
+                while chunk := fh.read(_CHUNK):
+                    parser.feed(chunk)
+                    for row_no, cells in target.done:
+                        yield name, sheet, row_no, cells
+                    target.done = []
+            parser.close()
+            for row_no, cells in target.done:
+                yield name, sheet, row_no, cells
 
 
 def _read_cells(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -93,3 +93,29 @@ def test_infer_types_order_and_rules(spark):
                    "e": "timestamp_ntz", "f": "string", "g": "string"}
     typed = apply_types(df, got)
     assert typed.first()["b"] == 3000000000
+
+
+def test_reader_default_style_rich_text_and_unnumbered_rows(tmp):
+    """A cell without ``s`` takes style 0; inline rich text joins its runs;
+    a row without ``r`` follows the previous row."""
+    ns = 'xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"'
+    rel = 'xmlns:r="http://schemas.openxmlformats.org/officeDocument/2006/relationships"'
+    path = f"{tmp}/d.xlsx"
+    with zipfile.ZipFile(path, "w") as zf:
+        zf.writestr("xl/workbook.xml",
+                    f'<workbook {ns} {rel}><sheets><sheet name="D" sheetId="1" r:id="rId1"/>'
+                    "</sheets></workbook>")
+        zf.writestr("xl/_rels/workbook.xml.rels",
+                    '<Relationships xmlns="http://schemas.openxmlformats.org/package/2006/relationships">'
+                    '<Relationship Id="rId1" Type="worksheet" Target="worksheets/d.xml"/></Relationships>')
+        zf.writestr("xl/styles.xml",
+                    f'<styleSheet {ns}><cellXfs count="2"><xf numFmtId="14"/><xf numFmtId="0"/>'
+                    '</cellXfs></styleSheet>')
+        zf.writestr("xl/worksheets/d.xml",
+                    f'<worksheet {ns}><sheetData>'
+                    '<row r="1"><c r="A1"><v>45413</v></c><c r="B1" s="1"><v>7</v></c></row>'
+                    '<row><c r="B2" t="inlineStr"><is><r><t>a &amp; </t></r><r><t>b</t></r></is></c></row>'
+                    "</sheetData></worksheet>")
+    with open(path, "rb") as fh:
+        rows = list(iter_workbook_rows("d", fh.read()))
+    assert rows == [("d", "D", 1, ["2024-05-01", "7"]), ("d", "D", 2, [None, "a & b"])]
