@@ -20,7 +20,7 @@ from quayside.plans.registry import register
 from quayside.plans.workbook_stage import stage_workbooks
 from quayside.plans.standins import KEY_RENAMES, read_source, standin_sql_ctes, standin_tables
 from quayside.session import scratch_path
-from quayside.sinks.tables import overwrite_table, save_catalog
+from quayside.sinks.tables import overwrite_table, run_concurrently, save_catalog
 from quayside.sources.catalog import load_catalog
 from quayside.sources.csv import ddl_of, read_csv, read_csv_gz, write_stage
 from quayside.specs import RAW_FOLDERS, TableSpec, pos_catalog
@@ -38,9 +38,25 @@ def _raw(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 # ---------------------------------------------------------------------------
 
 
+# Staged input files, written once per session and data folder (like the
+# catalog's folders below).  They are inputs derived from the test tables; the
+# scans that read them back are the work of each key.
+_STAGED_FILES: dict = {}
+
+
+def _staged_once(spark: SparkSession, sf_dir: str, name: str, write) -> str:
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _STAGED_FILES:
+        _STAGED_FILES[key] = write()
+    return _STAGED_FILES[key]
+
+
 def _staged_orders(spark, sf_dir):
     orders = _raw(spark, sf_dir, "orders")
-    path = write_stage(orders, scratch_path(spark, "stage", "orders"))
+    path = _staged_once(
+        spark, sf_dir, "orders_csv",
+        lambda: write_stage(orders, scratch_path(spark, "stage", "orders")),
+    )
     return orders, path
 
 
@@ -64,7 +80,10 @@ def csv_string_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("csv_gz_scan", "SELECT * FROM lineitem")
 def csv_gz_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     lineitem = _raw(spark, sf_dir, "lineitem")
-    path = write_stage(lineitem, scratch_path(spark, "stage", "lineitem_gz"), compression="gzip")
+    path = _staged_once(
+        spark, sf_dir, "lineitem_gz",
+        lambda: write_stage(lineitem, scratch_path(spark, "stage", "lineitem_gz"), compression="gzip"),
+    )
     return read_csv_gz(spark, path, schema=ddl_of(lineitem))
 
 
@@ -72,7 +91,10 @@ def csv_gz_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def csv_dir_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = _raw(spark, sf_dir, "part")
     # Several files in one folder (one per write partition) read as one table.
-    path = write_stage(part.repartition(4), scratch_path(spark, "stage", "part"))
+    path = _staged_once(
+        spark, sf_dir, "part_csv",
+        lambda: write_stage(part.repartition(4), scratch_path(spark, "stage", "part")),
+    )
     return read_csv(spark, path, schema=ddl_of(part))
 
 
@@ -104,12 +126,16 @@ def _stage_catalog_files(spark: SparkSession, sf_dir: str):
     root = scratch_path(spark, "stage", "catalog")
     tables = standin_tables(spark, sf_dir, list(CATALOG_TABLES))
     specs = {}
+    writes = {}
     for name, df in tables.items():
         spec = TableSpec(name=name, folder=RAW_FOLDERS[name], schema=ddl_of(df),
                          namespace="raw_customer" if name == "customer_loyalty" else "raw_pos",
                          bucket_key="order_id" if name in ("order_detail", "order_header") else None)
-        write_stage(df, spec.path(root))
+        writes[name] = (lambda df=df, path=spec.path(root): write_stage(df, path))
         specs[name] = spec
+    for name, result in run_concurrently(spark, writes).items():
+        if isinstance(result, Exception):
+            raise result
     specs["country"] = pos_catalog()["country"]
     return root, specs
 
@@ -272,17 +298,23 @@ assert set(KEY_RENAMES) >= set(CATALOG_TABLES)
 WORKBOOK_SHEETS = {"Product data": "part", "Sales data": "lineitem"}
 
 
-def _staged_workbook_cells(spark: SparkSession, sf_dir: str, sheets=None) -> DataFrame:
-    folder = scratch_path(spark, "stage", "workbooks")
-    slots = spark.sparkContext.defaultParallelism
-    for sheet, table in WORKBOOK_SHEETS.items():
-        if sheets and sheet not in sheets:
-            continue
+def _staged_books(spark: SparkSession, sf_dir: str, sheet: str) -> str:
+    """Folder of workbooks holding ``sheet``, staged from its test table once."""
+    table = WORKBOOK_SHEETS[sheet]
+
+    def write() -> str:
+        folder = scratch_path(spark, "stage", "workbooks", table)
         # One workbook per partition: spread the rows so every slot writes one.
-        rows = _raw(spark, sf_dir, table).repartition(slots)
-        written = stage_workbooks(rows, f"{folder}/{table}", sheet)
-        written.agg(F.sum("rows")).collect()  # performs the writes, one row back
-    cells = read_workbook_cells(spark, folder)
+        rows = _raw(spark, sf_dir, table).repartition(spark.sparkContext.defaultParallelism)
+        stage_workbooks(rows, folder, sheet).agg(F.sum("rows")).collect()  # one row back
+        return folder
+
+    return _staged_once(spark, sf_dir, f"workbooks_{table}", write)
+
+
+def _staged_workbook_cells(spark: SparkSession, sf_dir: str, sheets=None) -> DataFrame:
+    folders = [_staged_books(spark, sf_dir, s) for s in WORKBOOK_SHEETS if not sheets or s in sheets]
+    cells = read_workbook_cells(spark, folders)
     return stage_cells(cells, scratch_path(spark, "tables", "workbook_cells"))
 
 

@@ -171,7 +171,8 @@ def write_workbook_batches(path: str, sheet: str, columns: list[str],
     strings = _SharedStrings()
     letters = [_col_letters(i) for i in range(len(columns))]
     n = 0
-    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as zf:
+    # Fastest deflate level: staging speed matters more than file size here.
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED, compresslevel=1) as zf:
         with zf.open("xl/worksheets/sheet1.xml", "w") as fh:
             fh.write(
                 b'<?xml version="1.0" encoding="UTF-8" standalone="yes"?>'

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import logging
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -66,6 +68,38 @@ class SaveReport:
         return spark.createDataFrame(rows, schema)
 
 
+# Independent tables written at the same time.  Small tables leave most task
+# slots idle when written one after another; a big table's job fills the
+# cluster either way, so concurrency never slows the large case.
+CONCURRENT_WRITES = 4
+
+
+def run_concurrently(
+    spark: SparkSession,
+    jobs: Mapping[str, Callable[[], object]],
+    workers: int = CONCURRENT_WRITES,
+) -> dict:
+    """Run independent Spark actions from a few driver threads.
+
+    Returns name -> result, or name -> the exception the action raised, so one
+    failing action does not stop the others.  Threads inherit the session's
+    job tags and local properties.
+    """
+    def guarded(fn):
+        def run():
+            try:
+                return fn()
+            except Exception as exc:  # noqa: BLE001 - reported per job
+                return exc
+        return inheritable_thread_target(spark)(run)
+
+    if not jobs:
+        return {}
+    with ThreadPoolExecutor(max_workers=max(1, min(workers, len(jobs)))) as pool:
+        futures = {name: pool.submit(guarded(fn)) for name, fn in jobs.items()}
+        return {name: f.result() for name, f in futures.items()}
+
+
 def save_catalog(
     tables: Mapping[str, DataFrame],
     target_of: Mapping[str, str],
@@ -73,35 +107,40 @@ def save_catalog(
     bucket_of: Mapping[str, str | None] | None = None,
     buckets: int | None = None,
     observe_nulls: bool = False,
+    workers: int = CONCURRENT_WRITES,
 ) -> SaveReport:
     """Overwrite one target per table; a failing table does not stop the rest."""
     report = SaveReport()
+    observations: dict[str, tuple[Observation, list[str]]] = {}
+    jobs = {}
     for name, df in tables.items():
-        target = target_of[name]
-        try:
-            observation = None
-            if observe_nulls and df.columns:
-                # Null counts ride along the write job: no extra scan later.
-                observation = Observation(f"nulls_{name}")
-                df = df.observe(
-                    observation,
-                    *[F.count_if(F.col(f"`{c}`").isNull()).alias(f"n{i}")
-                      for i, c in enumerate(df.columns)],
-                )
-            overwrite_table(
-                df,
-                target,
-                path=(path_of or {}).get(name),
-                bucket_key=(bucket_of or {}).get(name),
-                buckets=buckets,
+        if observe_nulls and df.columns:
+            # Null counts ride along the write job: no extra scan later.
+            observation = Observation(f"nulls_{name}")
+            observations[name] = (observation, df.columns)
+            df = df.observe(
+                observation,
+                *[F.count_if(F.col(f"`{c}`").isNull()).alias(f"n{i}")
+                  for i, c in enumerate(df.columns)],
             )
-            report.saved[name] = target
-            if observation is not None:
-                got = observation.get
-                report.null_counts[name] = {c: int(got[f"n{i}"]) for i, c in enumerate(df.columns)}
-        except Exception as exc:  # noqa: BLE001 - content errors surface here
-            log.error("saving %s failed: %s", name, exc)
-            report.failed[name] = str(exc).splitlines()[0]
+        jobs[name] = (lambda df=df, name=name: overwrite_table(
+            df,
+            target_of[name],
+            path=(path_of or {}).get(name),
+            bucket_key=(bucket_of or {}).get(name),
+            buckets=buckets,
+        ))
+    spark = next(iter(tables.values())).sparkSession if tables else None
+    for name, result in run_concurrently(spark, jobs, workers).items():
+        if isinstance(result, Exception):  # content errors surface here
+            log.error("saving %s failed: %s", name, result)
+            report.failed[name] = str(result).splitlines()[0]
+            continue
+        report.saved[name] = result
+        if name in observations:
+            observation, columns = observations[name]
+            got = observation.get
+            report.null_counts[name] = {c: int(got[f"n{i}"]) for i, c in enumerate(columns)}
     return report
 
 

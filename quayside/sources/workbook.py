@@ -243,7 +243,7 @@ def _read_cells(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 yield pd.DataFrame(rows, columns=["workbook", "sheet", "row_no", "cells"])
 
 
-def read_workbook_cells(spark: SparkSession, path: str, glob: str = "*.xlsx") -> DataFrame:
+def read_workbook_cells(spark: SparkSession, path: str | list[str], glob: str = "*.xlsx") -> DataFrame:
     """(workbook, sheet, row_no, cells) for every row of every sheet."""
     ship_package(spark)
     files = (
