@@ -116,3 +116,33 @@ def test_hot_key_join_is_split_by_aqe(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def _rows(df):
+    return sorted(tuple(r) for r in df.collect())
+
+
+def test_limit_ordered_cutoff_matches_plain_top_n(spark, sf_small):
+    from pyspark.sql import functions as F
+
+    from quayside.plans.standins import read_source
+
+    li = read_source(spark, sf_small, "lineitem")
+    # A null-heavy first key and a first key with few values (heavy ties).
+    li = li.withColumn("l_shipdate", F.when(F.col("l_linenumber") == 1, None).otherwise(F.col("l_shipdate")))
+    for order in (["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"],
+                  ["l_returnflag", "l_linestatus", "l_orderkey", "l_linenumber", "l_partkey",
+                   "l_suppkey", "l_quantity", "l_extendedprice"],
+                  ["l_shipdate"] + [c for c in li.columns if c != "l_shipdate"]):
+        for n in (1, 37, 500, 2_000):
+            plain = li.orderBy(*[F.col(c).asc_nulls_first() for c in order]).limit(n)
+            cut = limit_ordered(li, n, order, sample_rows=300)
+            assert _rows(cut) == _rows(plain), (order[0], n)
+
+
+def test_limit_ordered_filters_before_the_merge(spark, sf_small):
+    from quayside.plans.standins import read_source
+
+    li = read_source(spark, sf_small, "lineitem")
+    plan = _executed(limit_ordered(li, 50, ["l_orderkey", "l_linenumber"], sample_rows=300))
+    assert "TakeOrderedAndProject" in plan and "PushedFilters: [Or(IsNull(l_orderkey)" in plan
