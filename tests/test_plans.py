@@ -82,6 +82,28 @@ def test_plan_at_scale_broadcasts_only_bounded_dimensions(spark, sf_small):
                 spark.conf.set(k, v)
 
 
+def test_star_at_scale_never_shuffles_the_fact_by_date(spark, sf_small):
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        df = QUERIES["star_inner"](spark, sf_small)
+        plan = _executed(df)
+        # The calendar's bound is proven, so it is broadcast; the fact keeps
+        # its partitioning through the date join.
+        assert re.search(r"BroadcastHashJoin \[ShipDateKey#\d+\], \[DateKey#\d+\]", plan)
+        assert "hashpartitioning(ShipDateKey" not in plan
+        assert df.count() > 0
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+
+
 def test_hot_key_join_is_split_by_aqe(spark):
     from pyspark.sql import functions as F
 
