@@ -104,6 +104,28 @@ def test_star_at_scale_never_shuffles_the_fact_by_date(spark, sf_small):
                 spark.conf.set(k, v)
 
 
+def test_inner_chain_joins_members_to_headers_first(spark, sf_small):
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        df = QUERIES["wide_inner_left"](spark, sf_small)
+        plan = _executed(df)
+        kinds = re.findall(r"SortMergeJoin \[[^\]]*\], \[[^\]]*\], (\w+)", plan)
+        assert kinds == ["Inner", "Inner", "Inner", "LeftOuter"]
+        # USING keys still lead in the order the chain was written.
+        assert df.columns[:6] == ["customer_id", "location_id", "franchise_id",
+                                  "menu_item_id", "truck_id", "order_id"]
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+
+
 def test_hot_key_join_is_split_by_aqe(spark):
     from pyspark.sql import functions as F
 
