@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quayside.functions.names import prefix_rename, writable_names
-from quayside.operators.joins import Join, join_chain
+from quayside.operators.joins import Chain, Join, join_chain
 from quayside.operators.limits import WIDE_TABLE_CAP, limit_rows
 from quayside.operators.profile import catalog_null_profile
 from quayside.plans.views import create_namespaces
@@ -55,6 +55,14 @@ INNER_LEFT_CHAIN = (
     Join("customer_loyalty", "customer_id", how="left"),
 )
 
+# The same rows joined in another order: members meet the order headers
+# before the headers meet the lines, so the wide line rows are never shuffled
+# by customer (the left join reads header columns only).
+INNER_LEFT_CHAIN_MEMBERS_FIRST = (
+    Join(Chain("order_header", (Join("customer_loyalty", "customer_id", how="left"),)), "order_id"),
+    *INNER_LEFT_CHAIN[1:5],
+)
+
 # Sales star over the sheet tables: fact first, role-playing ship date.
 SALES_STAR = (
     Join("Sales_Order_data", "SALESORDERLINEKEY"),
@@ -165,7 +173,9 @@ def csv_to_orders(
     loaded = load_catalog(spark, specs or pos_catalog(), stage_root, paths=paths)
     tables = loaded.require(REQUIRED_FOR_JOIN)
     renamed = {n: prefix_rename(tables[n], PREFIX_RENAMES.get(n, {})) for n in REQUIRED_FOR_JOIN}
-    wide = join_chain(renamed, "order_detail", INNER_LEFT_CHAIN)
+    # Columns in the order of the chain as written (analysed, not run).
+    columns = join_chain(renamed, "order_detail", INNER_LEFT_CHAIN).columns
+    wide = join_chain(renamed, "order_detail", INNER_LEFT_CHAIN_MEMBERS_FIRST).select(*columns)
     if sink is not None:
         sink(wide, target)
     return wide

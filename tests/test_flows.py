@@ -57,6 +57,11 @@ def test_csv_to_orders_inner_with_left_members(spark, staged):
     assert len(rows) == 3  # line of the unknown truck dropped (inner chain)
     assert {r["customer_id"] for r in rows} == {500, None}
     assert len({c.lower() for c in wide.columns}) == len(wide.columns)
+    # 73 columns, USING keys first in the order the chain was written, even
+    # though members are joined to the order headers before the lines.
+    assert len(wide.columns) == 73
+    assert wide.columns[:6] == ["customer_id", "location_id", "franchise_id",
+                                "menu_item_id", "truck_id", "order_id"]
 
 
 def test_csv_to_orders_requires_customers(spark, staged):
