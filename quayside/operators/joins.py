@@ -70,9 +70,11 @@ def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
     the bound is exceeded, so checking a big table is cheap too.  Beyond the
     bound the table is returned unhinted and the planner's shuffle join (with
     AQE's runtime re-plan) takes over.  A proof is kept for the session, keyed
-    by the plan's semantic hash (same files, same filters, same bound).
+    by the plan's semantic hash, the files it reads and the bound - a folder
+    that gained files since is proven again.
     """
-    key = (df.sparkSession.sparkContext.applicationId, df.semanticHash(), max_rows)
+    key = (df.sparkSession.sparkContext.applicationId, df.semanticHash(),
+           tuple(sorted(df.inputFiles())), max_rows)
     if key not in _PROVEN:
         _PROVEN[key] = df.limit(max_rows + 1).count() <= max_rows
     return F.broadcast(df) if _PROVEN[key] else df
