@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quayside.sources.parquet import spread_narrow_scan
+
 # Candidate order: narrowest first.
 CANDIDATES = ("int", "bigint", "double", "date", "timestamp_ntz")
 
@@ -75,9 +77,11 @@ def infer_types(df: DataFrame) -> DataFrame:
     first candidate left in that set is the column's type.  Both aggregates
     combine map-side, so a task sends one row whatever its size.
     """
+    # The tests are CPU work per value: an input narrower than the cluster
+    # (one file, one row group) is spread first; a wide input is left as is.
     # Trimmed text is projected once; the optimizer keeps this projection
     # rather than repeating the trim in every expression that reads it.
-    texts = df.select(
+    texts = spread_narrow_scan(df).select(
         *[F.trim(F.col(f"`{name}`").cast("string")).alias(f"__t_{i}") for i, name in enumerate(df.columns)]
     )
     aggs = []
