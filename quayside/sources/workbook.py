@@ -1,10 +1,19 @@
 """Workbook (xlsx) scan.
 
 A folder of workbooks is read with the ``binaryFile`` source - one row per
-file - and a ``mapInPandas`` cell reader turns each workbook into rows of
-``(workbook, sheet, row_no, cells)``.  Files are spread over tasks by Spark;
-inside a task the sheet XML is parsed incrementally and rows leave in batches,
-so memory stays bounded by one batch plus the shared-string table.
+file.  The work is then split in two, so that one big workbook does not end
+up in one task:
+
+1. *Cut* (one task per workbook, as a zip member is one deflate stream): the
+   sheet XML is inflated and cut at row ends into chunks of about 1 MB.  Each
+   chunk is a self-contained XML fragment carrying the row number before it,
+   the shared strings its cells may refer to, and the date styles.  This step
+   only runs C-level regular expressions over the text - far cheaper than
+   parsing.
+2. *Parse* (spread): the chunks are rebalanced over the cluster (AQE sizes
+   the partitions) and each is parsed into rows of
+   ``(workbook, sheet, row_no, cells)`` by parser callbacks, with no element
+   tree.
 
 Typed tables per sheet follow: the header row names the columns (blanks become
 underscores), the other rows are typed with the one-pass inference of
@@ -127,7 +136,6 @@ _TAG_CELL = f"{_NS_MAIN}c"
 _TAG_VALUE = f"{_NS_MAIN}v"
 _TAG_INLINE = f"{_NS_MAIN}is"
 _TAG_TEXT = f"{_NS_MAIN}t"
-_CHUNK = 1 << 20
 
 
 class _SheetRows:
@@ -211,36 +219,141 @@ class _SheetRows:
         return None
 
 
-def iter_workbook_rows(name: str, content: bytes) -> Iterator[tuple[str, str, int, list]]:
-    """Rows of every sheet of one workbook: (workbook, sheet, row_no, cells)."""
+CHUNK_SCHEMA = (
+    "workbook string, sheet string, seq long, row_before long, xml binary, "
+    "string_ids array<int>, string_texts array<string>, "
+    "style_ids array<int>, style_kinds array<string>"
+)
+CHUNK_BYTES = 1 << 20
+# Chunks handed to Spark at a time by the cutting task.
+_CHUNKS_PER_BATCH = 8
+
+# Sheet XML structure, prefix-tolerant (``<x:row>`` as well as ``<row>``).
+_SHEETDATA_OPEN = re.compile(rb"<(?:[\w.-]+:)?sheetData\b[^>]*>")
+_SHEETDATA_CLOSE = re.compile(rb"</(?:[\w.-]+:)?sheetData\s*>")
+_NS_DECL = re.compile(rb"""\s(xmlns(?::[\w.-]+)?)\s*=\s*("[^"]*"|'[^']*')""")
+_ROW_OPEN = re.compile(rb"<(?:[\w.-]+:)?row\b([^>]*)>")
+_ROW_NUMBER = re.compile(rb"""\sr\s*=\s*["'](\d+)["']""")
+_ROW_CLOSE = re.compile(rb"</(?:[\w.-]+:)?row\s*>")
+# Every whole-number cell value; shared-string references are among them.
+_INT_VALUE = re.compile(rb"<(?:[\w.-]+:)?v\s*>\s*(\d+)\s*</")
+
+
+def _sheet_chunks(fh, chunk_bytes: int) -> Iterator[tuple[bytes, bytes]]:
+    """(wrapper open tag, rows) pieces of one sheet's XML, cut after a row end."""
+    head, data = b"", b"."
+    match = None
+    while match is None and data:
+        data = fh.read(chunk_bytes)
+        head += data
+        match = _SHEETDATA_OPEN.search(head)
+    if match is None or head[match.end() - 2:match.end()] == b"/>":
+        return  # no rows
+    # Namespace declarations in scope at <sheetData> make each piece parse alone.
+    decls: dict[bytes, bytes] = {}
+    for name, value in _NS_DECL.findall(head[:match.end()]):
+        decls[name] = value
+    opener = b"<chunk" + b"".join(b" " + k + b"=" + v for k, v in decls.items()) + b">"
+    buf, eof = head[match.end():], False
+    while True:
+        close = _SHEETDATA_CLOSE.search(buf)
+        if close is None and not eof and len(buf) < chunk_bytes:
+            data = fh.read(chunk_bytes)
+            eof, buf = not data, buf + data
+            continue
+        if close is not None:
+            body, buf, final = buf[:close.start()], b"", True
+        else:
+            last = None
+            for last in _ROW_CLOSE.finditer(buf):
+                pass
+            if last is None and not eof:  # one row longer than a chunk: read on
+                data = fh.read(chunk_bytes)
+                eof, buf = not data, buf + data
+                continue
+            if last is None:
+                body, buf, final = buf, b"", True
+            else:
+                body, buf, final = buf[:last.end()], buf[last.end():], False
+        if body.strip():
+            yield opener, body
+        if final:
+            return
+
+
+def iter_sheet_chunks(
+    name: str, content: bytes, chunk_bytes: int = CHUNK_BYTES
+) -> Iterator[tuple]:
+    """Chunks of every sheet of one workbook, in ``CHUNK_SCHEMA`` order."""
     with zipfile.ZipFile(io.BytesIO(content)) as zf:
         strings = _shared_strings(zf)
-        date_styles = _date_styles(zf)
+        styles = _date_styles(zf)
+        style_ids, style_kinds = list(styles), list(styles.values())
         for sheet, path in _sheet_paths(zf):
-            target = _SheetRows(strings, date_styles)
-            parser = ET.XMLParser(target=target)
+            row_before = 0
             with zf.open(path) as fh:
-                while chunk := fh.read(_CHUNK):
-                    parser.feed(chunk)
-                    for row_no, cells in target.done:
-                        yield name, sheet, row_no, cells
-                    target.done = []
-            parser.close()
-            for row_no, cells in target.done:
-                yield name, sheet, row_no, cells
+                for seq, (opener, body) in enumerate(_sheet_chunks(fh, chunk_bytes)):
+                    ids = sorted(i for i in {int(v) for v in set(_INT_VALUE.findall(body))}
+                                 if i < len(strings))
+                    yield (name, sheet, seq, row_before, opener + body + b"</chunk>",
+                           ids, [strings[i] for i in ids], style_ids, style_kinds)
+                    for m in _ROW_OPEN.finditer(body):
+                        r = _ROW_NUMBER.search(m.group(1))
+                        row_before = int(r.group(1)) if r else row_before + 1
+
+
+def parse_chunk(xml: bytes, row_before: int, strings: dict, date_styles: dict) -> list:
+    """(row_no, cells) of every row in one chunk."""
+    target = _SheetRows(strings, date_styles)
+    target.row_no = row_before
+    parser = ET.XMLParser(target=target)
+    parser.feed(xml)
+    parser.close()
+    return target.done
+
+
+def iter_workbook_rows(name: str, content: bytes, chunk_bytes: int = CHUNK_BYTES
+                       ) -> Iterator[tuple[str, str, int, list]]:
+    """Rows of every sheet of one workbook, read in one place: (workbook, sheet, row_no, cells)."""
+    for _, sheet, _, row_before, xml, ids, texts, sids, kinds in iter_sheet_chunks(
+        name, content, chunk_bytes
+    ):
+        for row_no, cells in parse_chunk(xml, row_before, dict(zip(ids, texts)),
+                                         dict(zip(sids, kinds))):
+            yield name, sheet, row_no, cells
+
+
+_CHUNK_COLUMNS = ["workbook", "sheet", "seq", "row_before", "xml", "string_ids",
+                  "string_texts", "style_ids", "style_kinds"]
+_CELL_COLUMNS = ["workbook", "sheet", "row_no", "cells"]
+
+
+def _cut_chunks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for pdf in batches:
+        for path, content in zip(pdf["path"], pdf["content"]):
+            out = []
+            for chunk in iter_sheet_chunks(path, bytes(content)):
+                out.append(chunk)
+                if len(out) >= _CHUNKS_PER_BATCH:
+                    yield pd.DataFrame(out, columns=_CHUNK_COLUMNS)
+                    out = []
+            if out:
+                yield pd.DataFrame(out, columns=_CHUNK_COLUMNS)
 
 
-def _read_cells(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _parse_chunks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
-        for path, content in zip(pdf["path"], pdf["content"]):
-            rows = []
-            for row in iter_workbook_rows(path, bytes(content)):
-                rows.append(row)
+        rows = []
+        for rec in pdf.itertuples(index=False):
+            strings = dict(zip(rec.string_ids, rec.string_texts))
+            styles = dict(zip(rec.style_ids, rec.style_kinds))
+            for row_no, cells in parse_chunk(bytes(rec.xml), rec.row_before, strings, styles):
+                rows.append((rec.workbook, rec.sheet, row_no, cells))
                 if len(rows) >= BATCH_ROWS:
-                    yield pd.DataFrame(rows, columns=["workbook", "sheet", "row_no", "cells"])
+                    yield pd.DataFrame(rows, columns=_CELL_COLUMNS)
                     rows = []
-            if rows:
-                yield pd.DataFrame(rows, columns=["workbook", "sheet", "row_no", "cells"])
+        if rows:
+            yield pd.DataFrame(rows, columns=_CELL_COLUMNS)
 
 
 def read_workbook_cells(spark: SparkSession, path: str | list[str], glob: str = "*.xlsx") -> DataFrame:
@@ -253,7 +366,12 @@ def read_workbook_cells(spark: SparkSession, path: str | list[str], glob: str =
         .load(path)
         .select("path", "content")
     )
-    return files.mapInPandas(_read_cells, CELL_SCHEMA)
+    chunks = files.mapInPandas(_cut_chunks, CHUNK_SCHEMA)
+    # Spread the chunks: hash on their small key columns (no sort of the XML),
+    # and AQE splits or merges partitions to its advisory size, which also
+    # bounds what one parsing task receives.
+    spread = chunks.hint("rebalance", "workbook", "sheet", "seq")
+    return spread.mapInPandas(_parse_chunks, CELL_SCHEMA)
 
 
 def sheet_names(cells: DataFrame) -> list[str]:

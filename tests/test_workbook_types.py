@@ -119,3 +119,44 @@ def test_reader_default_style_rich_text_and_unnumbered_rows(tmp):
     with open(path, "rb") as fh:
         rows = list(iter_workbook_rows("d", fh.read()))
     assert rows == [("d", "D", 1, ["2024-05-01", "7"]), ("d", "D", 2, [None, "a & b"])]
+
+
+def test_chunked_cut_equals_one_piece(tmp):
+    """Cutting a sheet into many small chunks gives exactly the rows of one piece."""
+    path = f"{tmp}/c.xlsx"
+    rows = [(i, f"name {i % 7}", i / 4, dt.date(2024, 1, 1) + dt.timedelta(days=i),
+             None if i % 5 else "x & y") for i in range(500)]
+    write_workbook(path, "C", ["k", "name", "q", "day", "note"], iter(rows))
+    with open(path, "rb") as fh:
+        content = fh.read()
+    small = list(iter_workbook_rows("c", content, chunk_bytes=300))
+    whole = list(iter_workbook_rows("c", content, chunk_bytes=1 << 26))
+    assert len(whole) == 501 and small == whole
+    assert whole[3][3] == ["2", "name 2", "0.5", "2024-01-03"]
+
+
+def test_chunks_keep_prefixed_namespaces_and_row_order(tmp):
+    """``x:``-prefixed sheet XML, rows and cells without references, shared
+    strings: every chunk parses on its own and rows keep their numbers."""
+    main = "http://schemas.openxmlformats.org/spreadsheetml/2006/main"
+    rel = 'xmlns:r="http://schemas.openxmlformats.org/officeDocument/2006/relationships"'
+    path = f"{tmp}/p.xlsx"
+    body = "".join(
+        f'<x:row><x:c t="s"><x:v>{i % 3}</x:v></x:c><x:c><x:v>{i}</x:v></x:c></x:row>'
+        for i in range(40)
+    )
+    with zipfile.ZipFile(path, "w") as zf:
+        zf.writestr("xl/workbook.xml",
+                    f'<workbook xmlns="{main}" {rel}><sheets><sheet name="P" sheetId="1" r:id="rId1"/>'
+                    "</sheets></workbook>")
+        zf.writestr("xl/_rels/workbook.xml.rels",
+                    '<Relationships xmlns="http://schemas.openxmlformats.org/package/2006/relationships">'
+                    '<Relationship Id="rId1" Type="worksheet" Target="worksheets/p.xml"/></Relationships>')
+        zf.writestr("xl/sharedStrings.xml",
+                    f'<sst xmlns="{main}"><si><t>a</t></si><si><t>b</t></si><si><t>c</t></si></sst>')
+        zf.writestr("xl/worksheets/p.xml",
+                    f'<x:worksheet xmlns:x="{main}"><x:sheetData>{body}</x:sheetData></x:worksheet>')
+    with open(path, "rb") as fh:
+        got = list(iter_workbook_rows("p", fh.read(), chunk_bytes=100))
+    assert [r[2] for r in got] == list(range(1, 41))
+    assert [r[3] for r in got] == [["abc"[i % 3], str(i)] for i in range(40)]
