@@ -32,13 +32,17 @@ def overwrite_table(
 
     With ``bucket_key`` the table is hash-bucketed and sorted on that key, so
     later joins and aggregates on the key read it co-partitioned without a
-    shuffle.  Rows are first distributed on the key so each task writes one
-    file per bucket it owns instead of one per bucket and task.
+    shuffle.  Rows are first distributed on the key, into as many partitions
+    as buckets, so each task writes one file per bucket it owns instead of
+    one per bucket and task.  The distribution is a *rebalance*: AQE splits a
+    partition swollen by a hot key over several tasks (that bucket then has
+    several files, which bucketed reads allow), so a key holding a third of
+    the rows is not written by one task.
     """
     writer_df = df
     if bucket_key:
         n = buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        writer_df = df.repartition(n, F.col(bucket_key))
+        writer_df = df.hint("rebalance", n, bucket_key)
     writer = writer_df.write.mode("overwrite").format(fmt)
     if path:
         writer = writer.option("path", path)

@@ -112,3 +112,33 @@ def test_save_catalog_isolates_failures(spark, tmp):
     )
     assert set(report.saved) == {"good"} and set(report.failed) == {"bad"}
     assert report.status(spark).count() == 2
+
+
+def test_bucketed_write_splits_a_hot_key(spark, tmp):
+    """A key holding a third of the rows is written by several tasks (several
+    files in its bucket), and the bucketed table still reads back whole."""
+    import glob
+
+    from pyspark.sql import functions as F
+
+    rows = spark.range(60_000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id")).alias("order_id"),
+        (F.col("id") * 31 % 1000).alias("v"),
+    )
+    conf = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "32k"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        sinks.overwrite_table(rows, "bk_hot", f"{tmp}/hot", bucket_key="order_id", buckets=4)
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+    hot_bucket = spark.range(1).select(F.expr("pmod(hash(CAST(7 AS BIGINT)), 4)")).first()[0]
+    files = glob.glob(f"{tmp}/hot/*_{hot_bucket:05d}.c000*.parquet")
+    assert len(files) > 1, (hot_bucket, sorted(glob.glob(f"{tmp}/hot/*")))
+    assert spark.table("bk_hot").count() == 60_000
+    assert spark.table("bk_hot").filter("order_id = 7").count() == 20_001  # every third id, and id 7
