@@ -21,6 +21,7 @@ from collections.abc import Iterator
 from xml.sax.saxutils import escape
 
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
 from quayside.session import local_dir_of, ship_package
@@ -250,8 +251,13 @@ def stage_workbooks(df: DataFrame, folder: str, sheet: str) -> DataFrame:
         if first is None:
             return
         os.makedirs(target, exist_ok=True)
-        path = os.path.join(target, f"{uuid.uuid4().hex}.xlsx")
-        n = write_workbook_batches(path, sheet, columns, itertools.chain([first], batches))
+        # One name per partition, written under a temporary name and renamed
+        # at the end: a retried task (lost executor) replaces its file instead
+        # of adding a second copy of the rows.
+        path = os.path.join(target, f"part-{TaskContext.get().partitionId():05d}.xlsx")
+        scratch = f"{path}.{uuid.uuid4().hex}.tmp"
+        n = write_workbook_batches(scratch, sheet, columns, itertools.chain([first], batches))
+        os.replace(scratch, path)
         yield pd.DataFrame({"path": [path], "rows": [n]})
 
     return df.mapInPandas(write, "path string, rows long")
