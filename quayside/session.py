@@ -10,7 +10,10 @@ import os
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import SparkSession
 
 # Settings every pipeline relies on.  AQE re-plans joins from runtime sizes
@@ -125,3 +128,29 @@ def ship_package(spark: SparkSession) -> None:
                     zf.write(full, os.path.relpath(full, parent))
     sc.addPyFile(archive)
     _SHIPPED.add(sc.applicationId)
+
+
+def run_concurrently(
+    spark: SparkSession,
+    jobs: Mapping[str, Callable[[], object]],
+    workers: int = 4,
+) -> dict:
+    """Run independent Spark actions from a few driver threads.
+
+    Returns name -> result, or name -> the exception the action raised, so one
+    failing action does not stop the others.  Threads inherit the session's
+    job tags and local properties.
+    """
+    def guarded(fn):
+        def run():
+            try:
+                return fn()
+            except Exception as exc:  # noqa: BLE001 - reported per job
+                return exc
+        return inheritable_thread_target(spark)(run)
+
+    if not jobs:
+        return {}
+    with ThreadPoolExecutor(max_workers=max(1, min(workers, len(jobs)))) as pool:
+        futures = {name: pool.submit(guarded(fn)) for name, fn in jobs.items()}
+        return {name: f.result() for name, f in futures.items()}

@@ -3,15 +3,14 @@
 from __future__ import annotations
 
 import logging
-from collections.abc import Callable, Mapping
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Mapping
 from dataclasses import dataclass, field
 
-from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quayside.session import run_concurrently
 from quayside.sources.jdbc import jdbc_options
 
 log = logging.getLogger(__name__)
@@ -78,32 +77,6 @@ class SaveReport:
 CONCURRENT_WRITES = 4
 
 
-def run_concurrently(
-    spark: SparkSession,
-    jobs: Mapping[str, Callable[[], object]],
-    workers: int = CONCURRENT_WRITES,
-) -> dict:
-    """Run independent Spark actions from a few driver threads.
-
-    Returns name -> result, or name -> the exception the action raised, so one
-    failing action does not stop the others.  Threads inherit the session's
-    job tags and local properties.
-    """
-    def guarded(fn):
-        def run():
-            try:
-                return fn()
-            except Exception as exc:  # noqa: BLE001 - reported per job
-                return exc
-        return inheritable_thread_target(spark)(run)
-
-    if not jobs:
-        return {}
-    with ThreadPoolExecutor(max_workers=max(1, min(workers, len(jobs)))) as pool:
-        futures = {name: pool.submit(guarded(fn)) for name, fn in jobs.items()}
-        return {name: f.result() for name, f in futures.items()}
-
-
 def save_catalog(
     tables: Mapping[str, DataFrame],
     target_of: Mapping[str, str],

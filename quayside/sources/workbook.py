@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 
 from quayside.functions.names import sheet_table_name, underscore_names
 from quayside.functions.types import apply_types, infer_types
-from quayside.session import ship_package
+from quayside.session import run_concurrently, ship_package
 
 CELL_SCHEMA = "workbook string, sheet string, row_no int, cells array<string>"
 BATCH_ROWS = 4096
@@ -379,6 +379,35 @@ def sheet_names(cells: DataFrame) -> list[str]:
     return sorted(r[0] for r in cells.select("sheet").distinct().collect())
 
 
+def sheet_headers(cells: DataFrame) -> dict[str, list]:
+    """Header row of every sheet - row 1 of the first workbook (by name) that
+    has the sheet - from one job; one row per sheet reaches the driver."""
+    rows = (
+        cells.filter(F.col("row_no") == 1)
+        .groupBy("sheet")
+        .agg(F.min_by("cells", "workbook").alias("cells"))
+        .collect()
+    )
+    return {r["sheet"]: list(r["cells"]) for r in rows}
+
+
+def _header_names(header: list) -> list[str]:
+    names = underscore_names([h if h is not None else "" for h in header])
+    return [n if n else f"col_{i}" for i, n in enumerate(names)]
+
+
+def _untyped_sheet(cells: DataFrame, sheet: str, header: list) -> DataFrame:
+    data = cells.filter((F.col("sheet") == sheet) & (F.col("row_no") > 1))
+    return data.select(
+        *[F.try_element_at(F.col("cells"), F.lit(i + 1)).alias(n)
+          for i, n in enumerate(_header_names(header))]
+    )
+
+
+def _inferred(table: DataFrame) -> dict[str, str]:
+    return {r["column_name"]: r["inferred_type"] for r in infer_types(table).collect()}
+
+
 def sheet_frame(cells: DataFrame, sheet: str, typed: bool = True) -> DataFrame:
     """The table of one sheet across all workbooks that contain it.
 
@@ -386,27 +415,37 @@ def sheet_frame(cells: DataFrame, sheet: str, typed: bool = True) -> DataFrame:
     workbook (by name) names the columns.  With ``typed`` the columns get the
     inferred types (one extra aggregate job).
     """
-    rows = cells.filter(F.col("sheet") == sheet)
     header = (
-        rows.filter(F.col("row_no") == 1).orderBy("workbook").select("cells").first()
+        cells.filter((F.col("sheet") == sheet) & (F.col("row_no") == 1))
+        .orderBy("workbook").select("cells").first()
     )
     if header is None:
         raise ValueError(f"sheet {sheet!r} has no header row")
-    names = underscore_names([h if h is not None else "" for h in header["cells"]])
-    names = [n if n else f"col_{i}" for i, n in enumerate(names)]
-    data = rows.filter(F.col("row_no") > 1)
-    table = data.select(
-        *[F.try_element_at(F.col("cells"), F.lit(i + 1)).alias(n) for i, n in enumerate(names)]
-    )
-    if not typed:
-        return table
-    types = {r["column_name"]: r["inferred_type"] for r in infer_types(table).collect()}
-    return apply_types(table, types)
+    table = _untyped_sheet(cells, sheet, list(header["cells"]))
+    return apply_types(table, _inferred(table)) if typed else table
 
 
 def sheet_tables(cells: DataFrame, typed: bool = True) -> dict[str, DataFrame]:
-    """Every sheet as a table named after it (blanks -> underscores)."""
-    return {sheet_table_name(s): sheet_frame(cells, s, typed) for s in sheet_names(cells)}
+    """Every sheet as a table named after it (blanks -> underscores).
+
+    All headers come from one job; the sheets' type inferences are
+    independent jobs and run at the same time.
+    """
+    names = sheet_names(cells)
+    headers = sheet_headers(cells)
+    missing = [s for s in names if s not in headers]
+    if missing:
+        raise ValueError(f"sheets without a header row: {missing}")
+    tables = {s: _untyped_sheet(cells, s, headers[s]) for s in names}
+    if typed:
+        types = run_concurrently(
+            cells.sparkSession, {s: (lambda t=t: _inferred(t)) for s, t in tables.items()}
+        )
+        for s, got in types.items():
+            if isinstance(got, Exception):
+                raise got
+        tables = {s: apply_types(t, types[s]) for s, t in tables.items()}
+    return {sheet_table_name(s): t for s, t in tables.items()}
 
 
 def stage_cells(cells: DataFrame, path: str) -> DataFrame:
