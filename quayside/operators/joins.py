@@ -101,15 +101,28 @@ def _resolve(df: DataFrame, name: str) -> Column:
     return F.col(name) if "." in name else df[name]
 
 
+# Hint for the base of a chain that is the fact table: the biggest input,
+# never to be broadcast.  At scale the planner would not anyway; at toy sizes
+# it would, and the rest of the chain would then run in the probe side's few
+# tasks.  The hint reaches only the first join of the chain.
+FACT_HINT = "merge"
+
+
 def join_chain(
     tables: Mapping[str, DataFrame],
     base: str,
     steps: Sequence[Join],
     base_alias: str | None = None,
+    base_hint: str | None = None,
 ) -> DataFrame:
-    """Fold ``steps`` over ``tables[base]``; every referenced table must exist."""
+    """Fold ``steps`` over ``tables[base]``; every referenced table must exist.
+
+    ``base_hint`` (e.g. ``FACT_HINT``) is a join hint put on the base table.
+    """
     require_tables(tables, _table_names(base, steps))
     df = tables[base]
+    if base_hint:
+        df = df.hint(base_hint)
     if base_alias:
         df = df.alias(base_alias)
     for step in steps:

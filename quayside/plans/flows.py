@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quayside.functions.names import prefix_rename, writable_names
-from quayside.operators.joins import Chain, Join, join_chain
+from quayside.operators.joins import FACT_HINT, Chain, Join, join_chain
 from quayside.operators.limits import WIDE_TABLE_CAP, limit_rows
 from quayside.operators.profile import catalog_null_profile
 from quayside.plans.views import create_namespaces
@@ -153,7 +153,7 @@ def warehouse_to_wide(
         {n: tables[n] for n in needed if n in tables}, known_null_counts=null_counts
     )
     renamed = {n: prefix_rename(df, renames.get(n, {})) for n, df in complete.items()}
-    wide = join_chain(renamed, "order_detail", chain)
+    wide = join_chain(renamed, "order_detail", chain, base_hint=FACT_HINT)
     if cap is not None:
         wide = limit_rows(wide, cap)
     if sink is not None:
@@ -175,7 +175,8 @@ def csv_to_orders(
     renamed = {n: prefix_rename(tables[n], PREFIX_RENAMES.get(n, {})) for n in REQUIRED_FOR_JOIN}
     # Columns in the order of the chain as written (analysed, not run).
     columns = join_chain(renamed, "order_detail", INNER_LEFT_CHAIN).columns
-    wide = join_chain(renamed, "order_detail", INNER_LEFT_CHAIN_MEMBERS_FIRST).select(*columns)
+    wide = join_chain(renamed, "order_detail", INNER_LEFT_CHAIN_MEMBERS_FIRST,
+                      base_hint=FACT_HINT).select(*columns)
     if sink is not None:
         sink(wide, target)
     return wide
@@ -197,7 +198,7 @@ def workbook_to_star(
     if sheet_sink is not None:
         for name, df in tables.items():
             sheet_sink(df, name)
-    joined = writable_names(join_chain(tables, fact, star))
+    joined = writable_names(join_chain(tables, fact, star, base_hint=FACT_HINT))
     if sink is not None:
         sink(joined, target)
     return joined

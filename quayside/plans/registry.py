@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from quayside.functions import names as N
 from quayside.operators.aggregates import row_counts
 from quayside.operators.columns import complete_columns
-from quayside.operators.joins import Chain, Join, join_chain
+from quayside.operators.joins import FACT_HINT, Chain, Join, join_chain
 from quayside.operators.limits import limit_ordered, limit_rows
 from quayside.operators.profile import catalog_null_profile
 from quayside.plans import views
@@ -160,7 +160,8 @@ LEFT JOIN location_p USING (location_id)
 
 @register("wide_left", _WIDE_LEFT_SQL)
 def wide_left(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return join_chain(_chain_tables(spark, sf_dir), "order_detail", _chain("left", None))
+    return join_chain(_chain_tables(spark, sf_dir), "order_detail", _chain("left", None),
+                      base_hint=FACT_HINT)
 
 
 @register(
@@ -187,7 +188,7 @@ def wide_inner_left(spark: SparkSession, sf_dir: str) -> DataFrame:
     # null keys of non-members stay on the narrower header side.
     headers = Chain("order_header", (Join("customer_loyalty", "customer_id", how="left"),))
     steps = [Join(headers, "order_id")] + _chain("inner", None)[1:]
-    return join_chain(tables, "order_detail", steps).select(*columns)
+    return join_chain(tables, "order_detail", steps, base_hint=FACT_HINT).select(*columns)
 
 
 # A calendar holds one row per day: 100,000 rows are 270 years.  The bound is
@@ -248,7 +249,7 @@ def star_inner(spark: SparkSession, sf_dir: str) -> DataFrame:
         Join("menu", "menu_item_id"),
         Join("customer", "customer_id"),
     ]
-    joined = join_chain(_star_tables(spark, sf_dir), "order_detail", steps)
+    joined = join_chain(_star_tables(spark, sf_dir), "order_detail", steps, base_hint=FACT_HINT)
     return N.writable_names(joined)
 
 
@@ -260,6 +261,7 @@ def star_ship_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     return join_chain(
         _star_tables(spark, sf_dir), "order_detail",
         [Join("date", "ShipDateKey", "DateKey", max_broadcast_rows=CALENDAR_MAX_ROWS)],
+        base_hint=FACT_HINT,
     )
 
 

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from quayside.operators.aggregates import member_metrics
 from quayside.operators.columns import select_list, with_date_first
-from quayside.operators.joins import Chain, Join, join_chain
+from quayside.operators.joins import FACT_HINT, Chain, Join, join_chain
 from quayside.specs import NAMESPACES
 
 
@@ -134,7 +134,7 @@ STANDIN_LOYALTY = LoyaltyBinding(
 
 def orders_view(tables: Mapping[str, DataFrame], b: OrdersBinding = POS_ORDERS) -> DataFrame:
     """harmonized.orders_v: inner chain, left join to members, explicit list."""
-    joined = join_chain(tables, b.base, b.joins, base_alias=b.base_alias)
+    joined = join_chain(tables, b.base, b.joins, base_alias=b.base_alias, base_hint=FACT_HINT)
     return select_list(joined, b.select)
 
 

@@ -55,6 +55,14 @@ def test_fixed_dimensions_broadcast(spark, sf_small):
     assert plan.count("BroadcastHashJoin") >= 2
 
 
+def test_fact_is_never_the_broadcast_side(spark, sf_small):
+    # Even at toy size the line items meet the order headers in a shuffle
+    # join, so the rest of the chain runs on as many tasks as there are.
+    for key in ("orders_wide", "wide_left", "star_inner"):
+        plan = _executed(QUERIES[key](spark, sf_small))
+        assert re.search(r"SortMergeJoin \[order_id#\d+L?\], \[order_id#\d+L?\]", plan), key
+
+
 def test_plan_at_scale_broadcasts_only_bounded_dimensions(spark, sf_small):
     # As if every table were huge: no size-based broadcast at plan or run time.
     conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
