@@ -17,8 +17,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 WIDE_TABLE_CAP = 20_000
 QUERY_LOAD_CAP = 50_000
@@ -57,6 +58,18 @@ def limit_ordered(
     return _top_n(df, n, cols, sample_rows)
 
 
+def _literal(value, data_type: T.DataType) -> Column:
+    """A collected value as a literal of the key's own type.
+
+    A wall-clock (``timestamp_ntz``) value goes through its ISO text, which
+    casts exactly; ``lit(datetime)`` would be read in the Python process's
+    zone and shifted by the session zone.
+    """
+    if isinstance(data_type, T.TimestampNTZType):
+        return F.lit(value.isoformat(sep=" ")).cast(data_type)
+    return F.lit(value).cast(data_type)
+
+
 def _order(cols: Sequence[str]) -> list:
     return [F.col(f"`{c}`").asc_nulls_first() for c in cols]
 
@@ -86,9 +99,7 @@ def _top_n(df: DataFrame, n: int, cols: Sequence[str], sample_rows: int) -> Data
         return df.orderBy(*_order(cols)).limit(n)  # sample too thin: exact plan
     c = cut["cut"]
     if c is not None:
-        # Back to the key's own type (a Python datetime would come back as a
-        # session-zone timestamp).
-        c = F.lit(c).cast(df.schema[cols[0]].dataType)
+        c = _literal(c, df.schema[cols[0]].dataType)
     upto = key.isNull() | (key <= c) if c is not None else key.isNull()
     kept = df.filter(upto).count()
     if kept < n:
