@@ -72,31 +72,33 @@ def _fit_mask(text: Column) -> Column:
 def infer_types(df: DataFrame) -> DataFrame:
     """(column_name, inferred_type) for every column, from one job.
 
-    Per column the aggregate keeps two numbers: how many values there are,
-    and the AND of their fit masks - the candidates *every* value fits.  The
-    first candidate left in that set is the column's type.  Both aggregates
-    combine map-side, so a task sends one row whatever its size.
+    Each row is unpivoted into (column index, trimmed text) pairs, and one
+    aggregate grouped by column keeps two numbers per column: how many values
+    there are, and the AND of their fit masks - the candidates *every* value
+    fits.  The first candidate left in that set is the column's type.  The
+    columns are data here, not code: one small expression serves all of them,
+    and both aggregates combine map-side, so a task sends one row per column.
+    Row order of the result is not defined.
     """
+    names = df.columns
     # The tests are CPU work per value: an input narrower than the cluster
     # (one file, one row group) is spread first; a wide input is left as is.
-    # Trimmed text is projected once; the optimizer keeps this projection
-    # rather than repeating the trim in every expression that reads it.
-    texts = spread_narrow_scan(df).select(
-        *[F.trim(F.col(f"`{name}`").cast("string")).alias(f"__t_{i}") for i, name in enumerate(df.columns)]
+    pairs = spread_narrow_scan(df).select(
+        F.inline(F.array(*[
+            F.struct(F.lit(i).alias("i"), F.trim(F.col(f"`{name}`").cast("string")).alias("t"))
+            for i, name in enumerate(names)
+        ]))
+    )
+    counts = pairs.groupBy("i").agg(
+        F.count("t").alias("n"), F.bit_and(_fit_mask(F.col("t"))).alias("fit")
+    )
+    choice = F.when(F.col("n") == 0, F.lit("string"))
+    for t in CANDIDATES:
+        choice = choice.when(F.col("fit").bitwiseAND(F.lit(_BIT[t])) != 0, F.lit(t))
+    return counts.select(
+        F.element_at(F.array(*[F.lit(n) for n in names]), F.col("i") + 1).alias("column_name"),
+        choice.otherwise("string").alias("inferred_type"),
     )
-    aggs = []
-    for i in range(len(df.columns)):
-        t = F.col(f"__t_{i}")
-        aggs.append(F.count(t).alias(f"__n_{i}"))
-        aggs.append(F.bit_and(_fit_mask(t)).alias(f"__fit_{i}"))
-    counts = texts.agg(*aggs)
-    decided = []
-    for i, name in enumerate(df.columns):
-        choice = F.when(F.col(f"__n_{i}") == 0, F.lit("string"))
-        for t in CANDIDATES:
-            choice = choice.when((F.col(f"__fit_{i}").bitwiseAND(F.lit(_BIT[t]))) != 0, F.lit(t))
-        decided.append(F.struct(F.lit(name).alias("column_name"), choice.otherwise("string").alias("inferred_type")))
-    return counts.select(F.inline(F.array(*decided)))
 
 
 def apply_types(df: DataFrame, types: dict[str, str]) -> DataFrame:
