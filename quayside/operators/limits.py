@@ -35,6 +35,8 @@ CUTOFF_SAMPLE_ROWS = 200_000
 CUTOFF_SLACK = 1.5
 # Above this many rows per wanted row at the cutoff, ties are split by the next key.
 TIE_FACTOR = 4
+# Placements of the cutoff (slack doubling) before the plain plan is used.
+CUTOFF_ATTEMPTS = 3
 
 
 def limit_ordered(
@@ -86,24 +88,30 @@ def _top_n(df: DataFrame, n: int, cols: Sequence[str], sample_rows: int) -> Data
         return df.orderBy(*_order(cols)).limit(n)
     key = F.col(f"`{cols[0]}`")
     fraction = sample_rows / total
-    rank = int(n * fraction * CUTOFF_SLACK) + 1
-    # The rank-th smallest key of the sample; a null result means only nulls
-    # (which sort first) are needed.
-    cut = (
-        df.select(key.alias("k")).sample(fraction=fraction, seed=17)
-        .orderBy(F.col("k").asc_nulls_first()).limit(rank)
-        .agg(F.count(F.lit(1)).alias("got"), F.max("k").alias("cut"))
-        .first()
-    )
-    if cut["got"] < rank:
-        return df.orderBy(*_order(cols)).limit(n)  # sample too thin: exact plan
-    c = cut["cut"]
-    if c is not None:
-        c = _literal(c, df.schema[cols[0]].dataType)
-    upto = key.isNull() | (key <= c) if c is not None else key.isNull()
-    kept = df.filter(upto).count()
-    if kept < n:
-        return df.orderBy(*_order(cols)).limit(n)  # cutoff placed too low: exact plan
+    for attempt in range(CUTOFF_ATTEMPTS):
+        # The rank-th smallest key of the sample; a null result means only
+        # nulls (which sort first) are needed.  A cutoff that proves too low
+        # is placed again with twice the slack.
+        rank = int(n * fraction * CUTOFF_SLACK * 2 ** attempt) + 1
+        cut = (
+            df.select(key.alias("k")).sample(fraction=fraction, seed=17 + attempt)
+            .orderBy(F.col("k").asc_nulls_first()).limit(rank)
+            .agg(F.count(F.lit(1)).alias("got"), F.max("k").alias("cut"))
+            .first()
+        )
+        if cut["got"] < rank:
+            break  # sample too thin
+        c = cut["cut"]
+        if c is not None:
+            c = _literal(c, df.schema[cols[0]].dataType)
+        upto = key.isNull() | (key <= c) if c is not None else key.isNull()
+        kept = df.filter(upto).count()
+        if kept >= n:
+            break
+    else:
+        kept = -1
+    if cut["got"] < rank or kept < n:
+        return df.orderBy(*_order(cols)).limit(n)  # no cutoff found: exact plain plan
     if kept <= TIE_FACTOR * n:
         return df.filter(upto).orderBy(*_order(cols)).limit(n)
     # Too many rows at or before the cutoff: split at the cutoff value.
