@@ -198,3 +198,17 @@ def test_limit_ordered_filters_before_the_merge(spark, sf_small):
     li = read_source(spark, sf_small, "lineitem")
     plan = _executed(limit_ordered(li, 50, ["l_orderkey", "l_linenumber"], sample_rows=300))
     assert "TakeOrderedAndProject" in plan and "PushedFilters: [Or(IsNull(l_orderkey)" in plan
+
+
+def test_limit_ordered_low_cutoff_is_placed_again(spark, sf_small, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from quayside.operators import limits
+    from quayside.plans.standins import read_source
+
+    li = read_source(spark, sf_small, "lineitem")
+    order = ["l_extendedprice", "l_orderkey", "l_linenumber"]
+    plain = li.orderBy(*[F.col(c).asc_nulls_first() for c in order]).limit(500)
+    for slack in (0.3, 0.01):  # placed again once or twice / never high enough
+        monkeypatch.setattr(limits, "CUTOFF_SLACK", slack)
+        assert _rows(limit_ordered(li, 500, order, sample_rows=300)) == _rows(plain)
