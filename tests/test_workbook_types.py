@@ -160,3 +160,28 @@ def test_chunks_keep_prefixed_namespaces_and_row_order(tmp):
         got = list(iter_workbook_rows("p", fh.read(), chunk_bytes=100))
     assert [r[2] for r in got] == list(range(1, 41))
     assert [r[3] for r in got] == [["abc"[i % 3], str(i)] for i in range(40)]
+
+
+def test_empty_and_rowless_sheets(tmp):
+    """An empty ``<sheetData/>`` and a sheet without ``sheetData`` give no rows;
+    the other sheet of the workbook is read as usual."""
+    ns = 'xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"'
+    rel = 'xmlns:r="http://schemas.openxmlformats.org/officeDocument/2006/relationships"'
+    path = f"{tmp}/e.xlsx"
+    sheets = {"Empty": "<sheetData/>", "Chart": "<sheetPr/>",
+              "Data": '<sheetData><row r="1"><c r="A1"><v>1</v></c></row></sheetData>'}
+    with zipfile.ZipFile(path, "w") as zf:
+        zf.writestr("xl/workbook.xml",
+                    f'<workbook {ns} {rel}><sheets>'
+                    + "".join(f'<sheet name="{n}" sheetId="{i}" r:id="rId{i}"/>'
+                              for i, n in enumerate(sheets, start=1))
+                    + "</sheets></workbook>")
+        zf.writestr("xl/_rels/workbook.xml.rels",
+                    '<Relationships xmlns="http://schemas.openxmlformats.org/package/2006/relationships">'
+                    + "".join(f'<Relationship Id="rId{i}" Type="worksheet" Target="worksheets/s{i}.xml"/>'
+                              for i in range(1, len(sheets) + 1))
+                    + "</Relationships>")
+        for i, body in enumerate(sheets.values(), start=1):
+            zf.writestr(f"xl/worksheets/s{i}.xml", f"<worksheet {ns}>{body}</worksheet>")
+    with open(path, "rb") as fh:
+        assert list(iter_workbook_rows("e", fh.read())) == [("e", "Data", 1, ["1"])]
