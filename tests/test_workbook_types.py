@@ -185,3 +185,13 @@ def test_empty_and_rowless_sheets(tmp):
             zf.writestr(f"xl/worksheets/s{i}.xml", f"<worksheet {ns}>{body}</worksheet>")
     with open(path, "rb") as fh:
         assert list(iter_workbook_rows("e", fh.read())) == [("e", "Data", 1, ["1"])]
+
+
+def test_rows_longer_than_a_chunk(tmp):
+    path = f"{tmp}/l.xlsx"
+    rows = [(i, "text " * 20, i * 1.5) for i in range(30)]
+    write_workbook(path, "L", ["k", "t", "q"], iter(rows))
+    with open(path, "rb") as fh:
+        content = fh.read()
+    tiny = list(iter_workbook_rows("l", content, chunk_bytes=40))
+    assert tiny == list(iter_workbook_rows("l", content)) and len(tiny) == 31
