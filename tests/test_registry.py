@@ -8,8 +8,10 @@ import pytest
 import __spark_entry__ as entry_mod
 from tools.check_oracles import TABLES, rows_key
 
-QUERIES = entry_mod.queries()
-ORACLES = entry_mod.oracle_sql()
+from quayside.plans import registry
+
+QUERIES = registry.QUERIES
+ORACLES = registry.ORACLES
 
 
 @pytest.fixture(scope="module")
