@@ -6,7 +6,8 @@
    prefixes hold come last, so common passages do not bring unlike texts together.
 3. Vertices with identical prefixes and size are one group; posting lists hold groups.
 4. Group pairs from the lists pass a size filter and a positional filter; then they
-   are expanded to members, and these are verified on their whole sets.
+   are expanded to members.  Member pairs pass a bitmap filter (the parities of ``BITS``
+   hash classes differ at most as often as the sets do) and are verified on whole sets.
 
 Components, not pairs, are wanted, so pairs inside a component are not formed:
 star rounds first verify one leader of each list against the others.
@@ -30,13 +31,17 @@ from quayside.llm.common import (
 )
 from quayside.llm.components import components
 
-#: A shingle in more prefixes than this comes last in the order ...
-COMMON = 48
+#: A shingle in more prefixes (of twice the length) than this comes last in the order ...
+COMMON = 1
 #: ... if it is among this many most frequent ones; they are broadcast (8 bytes each).
 MAX_COMMON = 500_000
+#: Bits of the bitmap of a set, in longs of 64.
+BITS = 1024
+#: Longs of the folded bitmap (parities of coarser classes) that joins compare.
+FOLD = 4
 #: Row keys up to this number are broadcast (16 bytes each), more are shuffled.
 MAX_KEYS = 1_000_000
-STAR_ROUNDS = 3
+STAR_ROUNDS = 2
 WORD_TABLE = byte_table("\t\n\v\f\r ")
 
 
@@ -55,6 +60,13 @@ class Rule:
         small, large = F.least(a, b), F.greatest(a, b)
         return small * self.over >= large * self.least
 
+    def bitmaps(self, n1: str, bits1: str, n2: str, bits2: str, longs: int = BITS // 64):
+        """Parities differ in no more bits than linked sets may differ in shingles."""
+        differ = sum(F.bit_count(F.col(bits1)[i].bitwiseXOR(F.col(bits2)[i]))
+                     for i in range(longs))
+        return differ * (self.over + self.least) <= \
+            (F.col(n1) + F.col(n2)) * (self.over - self.least)
+
     def positions(self, n1: str, p1: str, n2: str, p2: str):
         """Shingles after a first shared one at p1, p2 still allow the overlap."""
         most = F.least(F.col(n1) - F.col(p1), F.col(n2) - F.col(p2))
@@ -96,6 +108,17 @@ def _ordered(s: np.ndarray, common: np.ndarray) -> np.ndarray:
     return np.concatenate([s[~late], s[late]])
 
 
+def _longs(arrays: list[np.ndarray]) -> pa.Array:
+    at = np.concatenate([[0], np.cumsum([len(a) for a in arrays])]).astype(np.int32)
+    flat = np.concatenate(arrays) if arrays else np.zeros(0, U)
+    return pa.ListArray.from_arrays(pa.array(at), pa.array(flat.view(np.int64)))
+
+
+def _parities(s: np.ndarray) -> np.ndarray:
+    odd = np.bincount((s & U(BITS - 1)).astype(np.int64), minlength=BITS) & 1
+    return np.packbits(odd.astype(np.uint8)).view(U)
+
+
 def _emit(batches: Iterator[pa.RecordBatch], rule: Rule, common, what: str):
     for batch in batches:
         texts = encoded(batch.column("text").to_pylist())
@@ -108,14 +131,17 @@ def _emit(batches: Iterator[pa.RecordBatch], rule: Rule, common, what: str):
                 yield pa.RecordBatch.from_arrays(
                     [v, pa.array([s.tobytes() for s in sets], pa.binary())], ["v", "shingles"])
                 continue
-            order = common.value if common is not None else np.zeros(0, U)
-            prefix = [_ordered(s, order)[:rule.prefix(len(s))] for s in sets]
-            flat = np.concatenate(prefix) if prefix else np.zeros(0, U)
-            at = np.concatenate([[0], np.cumsum([len(p) for p in prefix])]).astype(np.int32)
+            if common is None:  # to count shingles
+                prefix = [s[:2 * rule.prefix(len(s))] for s in sets]
+            else:
+                prefix = [_ordered(s, common.value)[:rule.prefix(len(s))] for s in sets]
+            columns, names = [_longs(prefix)], ["prefix"]
+            if common is not None:
+                columns.append(_longs([_parities(s) for s in sets]))
+                names.append("bits")
             yield pa.RecordBatch.from_arrays(
-                [*keys.slice(a, b - a).columns, v, n,
-                 pa.ListArray.from_arrays(pa.array(at), pa.array(flat.view(np.int64)))],
-                [*keys.schema.names, "v", "n", "prefix"])
+                [*keys.slice(a, b - a).columns, v, n, *columns],
+                [*keys.schema.names, "v", "n", *names])
 
 
 def _verify(batches: Iterator[pa.RecordBatch], rule: Rule):
@@ -183,50 +209,49 @@ def labelled_rows(docs: DataFrame, rule: Rule, text: str, key: str) -> DataFrame
     vertices = stored(vertices.select("v", "n", "row.r1", "row.r2", "id"), "join_vertices")
     chosen = vertices.select("v", "r1", "r2")
 
-    common = _common_shingles(first.join(chosen, ["v", "r1", "r2"]))
-    if len(common):
-        order = spark.sparkContext.broadcast(common)
-        again = base.mapInArrow(
-            lambda it: _emit(it, rule, order, "prefix"),
-            f"id {kind}, r1 long, r2 long, v binary, n long, prefix array<long>")
-    else:
-        again = first
-    prefixes = again.filter("v is not null").join(chosen, ["v", "r1", "r2"]) \
-        .groupBy("v", "n").agg(F.first("prefix").alias("prefix"))
+    common = spark.sparkContext.broadcast(_common_shingles(first.join(chosen, ["v", "r1", "r2"])))
+    prefixes = base.mapInArrow(
+        lambda it: _emit(it, rule, common, "prefix"),
+        f"id {kind}, r1 long, r2 long, v binary, n long, prefix array<long>, bits array<long>") \
+        .filter("v is not null").join(chosen, ["v", "r1", "r2"]) \
+        .groupBy("v", "n").agg(F.first("prefix").alias("prefix"), F.first("bits").alias("bits"))
     prefixes = stored(prefixes.withColumn("g1", F.xxhash64("prefix", "n"))
                       .withColumn("g2", F.xxhash64(F.lit(1), "prefix", "n")), "join_prefix")
     members = stored(
         prefixes.join(prefixes.groupBy("g1", "g2").agg(
             F.min("v").alias("gid"), F.count("*").alias("size")), ["g1", "g2"])
-        .select("v", "n", "gid", "size"), "join_members")
+        .select("v", "n", "gid", "size", "bits", F.array(*[
+            _xor([F.col("bits")[i] for i in range(j, BITS // 64, FOLD)])
+            for j in range(FOLD)]).alias("fold")), "join_members")
     groups = prefixes.join(members.filter("v = gid").select("v"), "v", "left_semi")
     posted = groups.select(F.col("v").alias("gid"), "n", F.posexplode("prefix").alias("pos", "s"))
     shared = posted.groupBy("s").agg(F.count("*").alias("c")).filter("c > 1").select("s")
-    lists = stored(posted.join(shared, "s"), "join_lists")
+    folds = members.filter("v = gid").select("gid", "fold")
+    lists = stored(posted.join(shared, "s").join(folds, "gid"), "join_lists")
     members = stored(
         members.join(lists.select("gid").distinct()
                      .unionByName(members.filter("size > 1").select("gid")).distinct(),
                      "gid", "left_semi"), "join_members")
 
-    sets = stored(_semi(base, chosen.join(members.select("v"), "v", "left_semi")
-                        .select("r1", "r2"))
-                  .select("text").mapInArrow(lambda it: _emit(it, rule, None, "set"),
-                                             "v binary, shingles binary")
-                  .groupBy("v").agg(F.first("shingles").alias("shingles")), "join_sets")
-
     links = None
     label = members.select("v", F.col("v").alias("root"))
     for r in range(STAR_ROUNDS + 1):
-        state = members.join(label, "v", "left") \
-            .select("v", "n", "gid", F.coalesce("root", "v").alias("root"))
+        state = stored(members.join(label, "v", "left").select(
+            "v", "n", "gid", "fold", F.coalesce("root", "v").alias("root")), "join_state")
         pairs = (_star_pairs(lists, state, rule, r) if r < STAR_ROUNDS
                  else _remaining_pairs(lists, state, rule))
-        found = stored(_linked(pairs, sets, rule), "join_links")
-        n = found.count()
-        if r < STAR_ROUNDS and not n:
+        pairs = stored(_alike(pairs, members, rule), "join_pairs")
+        if not pairs.take(1):
             continue
-        links = found if links is None else links.unionByName(found)
-        if n:
+        ends = pairs.select(F.col("a").alias("v")).unionByName(
+            pairs.select(F.col("b").alias("v"))).distinct()
+        rows = _semi(base, chosen.join(ends, "v", "left_semi").select("r1", "r2"))
+        sets = stored(rows.select("text").mapInArrow(lambda it: _emit(it, rule, None, "set"),
+                                                     "v binary, shingles binary")
+                      .groupBy("v").agg(F.first("shingles").alias("shingles")), "join_sets")
+        found = stored(_linked(pairs, sets, rule), "join_links")
+        if found.take(1):
+            links = found if links is None else links.unionByName(found)
             label = components(links)
 
     rows = first.select("id", "r1", "r2", "v", "n")
@@ -241,11 +266,24 @@ def labelled_rows(docs: DataFrame, rule: Rule, text: str, key: str) -> DataFrame
 
 
 def _common_shingles(first: DataFrame) -> np.ndarray:
-    """The most frequent prefix shingles, at most ``MAX_COMMON``, sorted."""
-    counts = (first.select(F.explode("prefix").alias("s")).groupBy("s")
-              .agg(F.count("*").alias("c")).filter(F.col("c") > COMMON)
-              .orderBy(F.desc("c"), "s").limit(MAX_COMMON).select("s"))
-    return np.sort(counts.toPandas()["s"].to_numpy(np.int64).view(U))
+    """The most frequent prefix shingles, at most ``MAX_COMMON``, sorted.
+
+    All shingles of a step of counts are taken or none, so there is no sort by count.
+    """
+    counts = stored(first.select(F.explode("prefix").alias("s")).groupBy("s")
+                    .agg(F.count("*").alias("c")).filter(F.col("c") > COMMON)
+                    .withColumn("step", F.floor(F.log2("c") * 8)), "join_counts")
+    steps = sorted(((r["step"], r["n"]) for r in
+                    counts.groupBy("step").agg(F.count("*").alias("n")).collect()), reverse=True)
+    total, least = 0, None
+    for step, n in steps:
+        if total + n > MAX_COMMON:
+            break
+        total, least = total + n, step
+    if least is None:
+        return np.zeros(0, U)
+    found = counts.filter(F.col("step") >= least).select("s").toPandas()
+    return np.sort(found["s"].to_numpy(np.int64).view(U))
 
 
 def _semi(base: DataFrame, keys: DataFrame) -> DataFrame:
@@ -255,6 +293,21 @@ def _semi(base: DataFrame, keys: DataFrame) -> DataFrame:
     return base.join(keys, ["r1", "r2"], "left_semi")
 
 
+def _xor(columns: list):
+    out = columns[0]
+    for c in columns[1:]:
+        out = out.bitwiseXOR(c)
+    return out
+
+
+def _alike(pairs: DataFrame, members: DataFrame, rule: Rule) -> DataFrame:
+    """Pairs (a, b) that pass the bitmap filter."""
+    side = lambda c: members.select(
+        F.col("v").alias(c), F.col("n").alias(f"n_{c}"), F.col("bits").alias(f"bits_{c}"))
+    return pairs.join(side("b"), "b").join(side("a"), "a") \
+        .filter(rule.bitmaps("n_a", "bits_a", "n_b", "bits_b")).select("a", "b")
+
+
 def _linked(pairs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
     side = lambda c: sets.select(F.col("v").alias(c), F.col("shingles").alias(f"set_{c}"))
     return pairs.join(side("b"), "b").join(side("a"), "a") \
@@ -268,12 +321,12 @@ def _star_pairs(lists: DataFrame, state: DataFrame, rule: Rule, r: int) -> DataF
         state.filter("v = gid").select("gid", F.col("root").alias("root_a")), "gid") \
         .filter("root != root_a").select(F.col("gid").alias("a"), F.col("v").alias("b"))
     head = lists.groupBy("s").agg(
-        F.min(F.struct(F.xxhash64(F.lit(r), "gid"), "gid", "n", "pos")).alias("h")) \
+        F.min(F.struct(F.xxhash64(F.lit(r), "gid"), "gid", "n", "pos", "fold")).alias("h")) \
         .select("s", F.col("h.gid").alias("a"), F.col("h.n").alias("n_a"),
-                F.col("h.pos").alias("pos_a"))
+                F.col("h.pos").alias("pos_a"), F.col("h.fold").alias("fold_a"))
     groups = lists.join(head, "s").filter(F.col("gid") != F.col("a")) \
         .filter(rule.sizes("n", "n_a")).filter(rule.positions("n", "pos", "n_a", "pos_a")) \
-        .select("a", "gid").distinct()
+        .filter(rule.bitmaps("n", "fold", "n_a", "fold_a", FOLD)).select("a", "gid").distinct()
     across = groups.join(state, "gid").join(
         state.select(F.col("v").alias("a"), F.col("root").alias("root_a")), "a") \
         .filter("root != root_a").select("a", F.col("v").alias("b"))
@@ -287,16 +340,18 @@ def _remaining_pairs(lists: DataFrame, state: DataFrame, rule: Rule) -> DataFram
     own = grouped.filter("low != high").select(
         F.xxhash64("gid").alias("s"), "gid", "n", F.lit(0).alias("pos"))
     posted = lists.select("s", "gid", "n", "pos").unionByName(own) \
-        .join(state.select("gid", "v", "root"), "gid")
+        .join(state.select("gid", "v", "root", "fold"), "gid")
     mixed_lists = posted.groupBy("s").agg(F.min("root").alias("low"), F.max("root").alias("high")) \
         .filter("low != high").select("s")
-    posted = stored(posted.join(mixed_lists, "s").select("s", "v", "n", "pos", "root"),
-                    "join_remaining")
+    posted = stored(posted.join(mixed_lists, "s")
+                    .select("s", "v", "n", "pos", "root", "fold"), "join_remaining")
     main = posted.groupBy("s", "root").agg(F.count("*").alias("c")) \
         .groupBy("s").agg(F.max_by("root", F.struct("c", "root")).alias("main"))
     strays = posted.join(main, "s").filter("root != main").select(
         "s", F.col("v").alias("a"), F.col("n").alias("n_a"), F.col("pos").alias("pos_a"),
-        F.col("root").alias("root_a"))
+        F.col("root").alias("root_a"), F.col("fold").alias("fold_a"))
+    # All filters belong to the join: only pairs that pass them become rows.
     pairs = strays.join(posted, "s").filter("root != root_a") \
-        .filter(rule.sizes("n", "n_a")).filter(rule.positions("n", "pos", "n_a", "pos_a"))
+        .filter(rule.sizes("n", "n_a")).filter(rule.positions("n", "pos", "n_a", "pos_a")) \
+        .filter(rule.bitmaps("n", "fold", "n_a", "fold_a", FOLD))
     return pairs.select(F.least("a", "v").alias("a"), F.greatest("a", "v").alias("b")).distinct()
