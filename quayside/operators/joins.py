@@ -20,6 +20,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 class MissingTablesError(LookupError):
@@ -108,6 +109,20 @@ def _resolve(df: DataFrame, name: str) -> Column:
 FACT_HINT = "merge"
 
 
+_INTEGRAL = ("tinyint", "smallint", "int", "integer", "bigint", "long")
+
+
+def _exact(df: DataFrame, key, key_type: str):
+    """``key`` as ``key_type``; a fraction, NaN or number out of range is null.
+
+    So a floating-point key matches an integer key only when both are equal.
+    """
+    kind = df.select(key).schema[0].dataType
+    if isinstance(kind, (T.FloatType, T.DoubleType)) and key_type in _INTEGRAL:
+        return F.when(key == F.floor(key.cast("double")), key.try_cast(key_type))
+    return key.cast(key_type)
+
+
 def join_chain(
     tables: Mapping[str, DataFrame],
     base: str,
@@ -136,8 +151,8 @@ def join_chain(
         if step.right is None:
             key = step.left
             if step.key_type:
-                df = df.withColumn(key, F.col(key).cast(step.key_type))
-                right = right.withColumn(key, F.col(key).cast(step.key_type))
+                df = df.withColumn(key, _exact(df, F.col(key), step.key_type))
+                right = right.withColumn(key, _exact(right, F.col(key), step.key_type))
             if step.alias:
                 right = right.alias(step.alias)
             df = df.join(right, [key], step.how)
@@ -150,6 +165,7 @@ def join_chain(
             else:
                 rk = F.col(step.right) if "." in step.right else right[step.right]
             if step.key_type:
-                lk, rk = lk.cast(step.key_type), rk.cast(step.key_type)
+                lk = _exact(df, lk, step.key_type)
+                rk = _exact(right, rk, step.key_type)
             df = df.join(right, lk == rk, step.how)
     return df

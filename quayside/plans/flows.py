@@ -139,7 +139,7 @@ def warehouse_to_wide(
     tables: Mapping[str, DataFrame],
     sink: Sink | None = None,
     target: str = "joined_data",
-    cap: int | None = WIDE_TABLE_CAP,
+    cap: int | None = None,
     renames: Mapping[str, Mapping[str, str]] = PREFIX_RENAMES,
     chain: Sequence[Join] = WIDE_LEFT_CHAIN,
     null_counts: Mapping[str, Mapping[str, int]] | None = None,

@@ -12,7 +12,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayside.functions.names import sheet_table_name
 from quayside.functions.types import infer_types
 from quayside.functions.variant import parse_variant, variant_field
 from quayside.plans import views
@@ -320,22 +319,12 @@ def _staged_workbook_cells(spark: SparkSession, sf_dir: str, sheets=None) -> Dat
     return stage_cells(cells, scratch_path(spark, "tables", "workbook_cells"))
 
 
-@register(
-    "workbook_scan",
-    "SELECT CAST(p_partkey AS INTEGER) AS p_partkey, p_name, p_brand, p_type, p_size, "
-    "p_retailprice FROM part",
-)
+# The two workbook flows are library functions, not registered queries: their input is
+# a workbook that this package would have to write itself.
 def workbook_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sheet_frame(_staged_workbook_cells(spark, sf_dir, ["Product data"]), "Product data")
 
 
-@register(
-    "sheet_tables",
-    "\nUNION ALL\n".join(
-        f"SELECT '{sheet_table_name(s)}' AS table_name, count(*) AS row_count FROM {t}"
-        for s, t in WORKBOOK_SHEETS.items()
-    ),
-)
 def sheet_tables_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables = workbook_sheet_tables(_staged_workbook_cells(spark, sf_dir))
     root = scratch_path(spark, "tables", "sheets")

@@ -110,12 +110,20 @@ STANDIN_PREFIX_RENAMES = {
 }
 
 FINISHED_STATUS = "F"
+ANONYMOUS_PRIORITY = "5-LOW"
 
 
-def _chain_tables(spark, sf_dir):
+def _chain_tables(spark, sf_dir, finished_only: bool):
+    """All tables whole.  Misses come from keys: unfinished orders get a negative id (then
+    their lines have no header), and orders of one priority get no customer."""
     t = standin_tables(spark, sf_dir)
-    # Orders limited to finished ones, so line items have misses on the left.
-    t["order_header"] = t["order_header"].filter(F.col("o_orderstatus") == FINISHED_STATUS)
+    head = t["order_header"]
+    if finished_only:
+        head = head.withColumn("order_id", F.when(
+            F.col("o_orderstatus") == FINISHED_STATUS, F.col("order_id"))
+            .otherwise(-F.col("order_id") - 1))
+    t["order_header"] = head.withColumn("customer_id", F.when(
+        F.col("o_orderpriority") != ANONYMOUS_PRIORITY, F.col("customer_id")))
     return {k: N.prefix_rename(v, STANDIN_PREFIX_RENAMES.get(k, {})) for k, v in t.items()}
 
 
@@ -135,7 +143,10 @@ def _chain(how_first: str, customers: str | None):
 _CHAIN_CTES = ",\n".join(
     [
         standin_sql_ctes(),
-        "oh_f AS (SELECT * FROM order_header WHERE o_orderstatus = 'F')",
+        "oh_a AS (SELECT * REPLACE (CASE WHEN o_orderpriority <> '5-LOW' THEN customer_id END "
+        "AS customer_id) FROM order_header)",
+        "oh_f AS (SELECT * REPLACE (CASE WHEN o_orderstatus = 'F' THEN order_id "
+        "ELSE -order_id - 1 END AS order_id) FROM oh_a)",
         "truck_p AS (SELECT * EXCLUDE (s_name, s_acctbal), s_name AS truck_name, "
         "s_acctbal AS truck_acctbal FROM truck)",
         "menu_p AS (SELECT * EXCLUDE (p_name), p_name AS menu_item_name FROM menu)",
@@ -160,7 +171,7 @@ LEFT JOIN location_p USING (location_id)
 
 @register("wide_left", _WIDE_LEFT_SQL)
 def wide_left(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return join_chain(_chain_tables(spark, sf_dir), "order_detail", _chain("left", None),
+    return join_chain(_chain_tables(spark, sf_dir, True), "order_detail", _chain("left", None),
                       base_hint=FACT_HINT)
 
 
@@ -169,7 +180,7 @@ def wide_left(spark: SparkSession, sf_dir: str) -> DataFrame:
     _CHAIN_CTES
     + """
 SELECT * FROM order_detail
-JOIN oh_f USING (order_id)
+JOIN oh_a USING (order_id)
 JOIN truck_p USING (truck_id)
 JOIN menu_p USING (menu_item_id)
 JOIN franchise_p USING (franchise_id)
@@ -178,7 +189,7 @@ LEFT JOIN members_p USING (customer_id)
 """,
 )
 def wide_inner_left(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tables = _chain_tables(spark, sf_dir)
+    tables = _chain_tables(spark, sf_dir, False)
     # Column order of the chain as written (USING keys lead, latest first).
     # Only analysed, never run.
     columns = join_chain(tables, "order_detail", _chain("inner", "customer_loyalty")).columns

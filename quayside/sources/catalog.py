@@ -80,6 +80,6 @@ def load_catalog(
         reader = read_csv_gz if name in gz else read_csv
         try:
             result.tables[name] = reader(spark, path, spec.schema, spec.header, spec.options)
-        except AnalysisException as exc:
-            result.failures[name] = str(exc).splitlines()[0]
+        except Exception as exc:  # noqa: BLE001 - access denied, time-outs: any table may fail
+            result.failures[name] = (str(exc).splitlines() or [type(exc).__name__])[0]
     return result

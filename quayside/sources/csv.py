@@ -11,19 +11,17 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quayside.specs import TableSpec
 
-# Text form of timestamps in staged files (no zone, second precision first,
-# fractions optional on read).
-TIMESTAMP_WRITE_FORMAT = "yyyy-MM-dd HH:mm:ss"
-TIMESTAMP_READ_FORMAT = "yyyy-MM-dd HH:mm:ss[.SSSSSS]"
+# Quotes inside a value are doubled, by the writer and for the reader.
+_QUOTING = {"quote": '"', "escape": '"'}
 
-_READ_DEFAULTS = {
-    "mode": "PERMISSIVE",
-    "timestampNTZFormat": TIMESTAMP_READ_FORMAT,
-    "timestampFormat": TIMESTAMP_READ_FORMAT,
-}
+# No timestamp pattern: the scan takes every form that a cast from text takes.  A table
+# whose text needs a pattern says so in its options.
+_READ_DEFAULTS = {"mode": "PERMISSIVE", **_QUOTING}
 
 
 def read_csv(
@@ -77,14 +75,18 @@ def write_stage(
     mode: str = "overwrite",
     options: Mapping[str, str] | None = None,
 ) -> str:
-    """Write a table as CSV files (one per partition) under ``path``."""
-    writer = (
-        df.write.mode(mode)
-        .option("header", "true" if header else "false")
-        .option("timestampNTZFormat", TIMESTAMP_WRITE_FORMAT)
-        .option("timestampFormat", TIMESTAMP_WRITE_FORMAT)
-        .option("escape", '"')
-    )
+    """Write a table as CSV files (one per partition) under ``path``.
+
+    Timestamps are written as a cast to text gives them: all digits of the fraction, and
+    none where it is zero.
+    """
+    df = df.select(*[
+        F.col(f"`{f.name}`").cast("string").alias(f.name)
+        if isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType)) else F.col(f"`{f.name}`")
+        for f in df.schema.fields])
+    writer = df.write.mode(mode).option("header", "true" if header else "false")
+    for key, value in _QUOTING.items():
+        writer = writer.option(key, value)
     if compression:
         writer = writer.option("compression", compression)
     for key, value in (options or {}).items():

@@ -27,6 +27,9 @@ class StageLoad:
     fmt: str = "parquet"
     max_files_per_trigger: int | None = None
     options: Mapping[str, str] | None = None
+    # Files older than this, against the newest one seen, are never loaded.  The default
+    # lies beyond any retention: a file that arrives late with an old date is loaded.
+    max_file_age: str = "36500d"
 
 
 def run_stage_load(spark: SparkSession, load: StageLoad) -> int:
@@ -36,6 +39,7 @@ def run_stage_load(spark: SparkSession, load: StageLoad) -> int:
     )
     for key, value in {**_READ_DEFAULTS, **(load.options or {})}.items():
         reader = reader.option(key, value)
+    reader = reader.option("maxFileAge", load.max_file_age)
     if load.max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(load.max_files_per_trigger))
     stream = reader.csv(load.source)

@@ -100,3 +100,32 @@ def test_spread_narrow_scan(spark, tmp):
     assert df.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
     wide = spark.range(0, 100, 1, 16)
     assert spread_narrow_scan(wide, 4) is wide
+
+
+def test_stage_round_trip_of_quotes_and_fractions(spark, tmp):
+    src = spark.sql(
+        """SELECT * FROM VALUES
+           (1, 'say "hi", ok', TIMESTAMP_NTZ '2024-01-02 10:00:00.123456'),
+           (2, '{"a": 1, "b": "c\\\\d"}', TIMESTAMP_NTZ '2024-01-02 10:00:00.5'),
+           (3, 'back\\\\slash', TIMESTAMP_NTZ '2024-01-02 10:00:00') AS t(id, s, ts)""")
+    path = write_stage(src, f"{tmp}/quotes")
+    back = read_csv(spark, path, ddl_of(src))
+    assert sorted(map(tuple, back.collect())) == sorted(map(tuple, src.collect()))
+
+
+def test_timestamps_without_a_pattern(spark, tmp):
+    _write(f"{tmp}/ts/x.csv", "id,ts\n1,2022-10-16T20:06:55\n2,2022-10-16\n3,2022-10-16 20:06:55.25\n")
+    rows = read_csv(spark, f"{tmp}/ts", "id int, ts timestamp_ntz").collect()
+    assert [str(r["ts"]) for r in rows] == [
+        "2022-10-16 20:06:55", "2022-10-16 00:00:00", "2022-10-16 20:06:55.250000"]
+
+
+def test_catalog_isolates_any_error(spark, tmp, monkeypatch):
+    from quayside.sources import catalog
+
+    def denied(*args, **kwargs):
+        raise PermissionError("access denied")
+
+    monkeypatch.setattr(catalog, "read_csv", denied)
+    loaded = load_catalog(spark, {"t": TableSpec("t", "t/", "id int")}, tmp)
+    assert loaded.failures == {"t": "access denied"}

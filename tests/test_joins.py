@@ -78,3 +78,15 @@ def test_bounded_broadcast_respects_bound(spark):
         assert hinted.count() == unhinted.count() == 50
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_float_key_matches_equal_integers_only(spark):
+    from quayside.operators.joins import Join, join_chain
+
+    left = spark.createDataFrame(
+        [(1, 1.0), (2, 1.7), (3, float("nan")), (4, None), (5, 3e38), (6, float("inf"))],
+        "row int, k double")
+    right = spark.createDataFrame([(1, "a"), (2, "b")], "k int, name string")
+    out = join_chain({"l": left, "r": right}, "l", [Join("r", "k", how="left", key_type="bigint")])
+    assert {r["row"]: r["name"] for r in out.collect()} == {
+        1: "a", 2: None, 3: None, 4: None, 5: None, 6: None}

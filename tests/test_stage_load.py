@@ -21,3 +21,20 @@ def test_each_file_loaded_once(spark, tmp):
         fh.write("id,v\n3,z\n")
     run_stage_load(spark, load)
     assert sorted(r["id"] for r in read_loaded(spark, load).collect()) == [1, 2, 3]
+
+
+def test_a_late_file_with_an_old_date_is_loaded(spark, tmp):
+    src = f"{tmp}/stage"
+    os.makedirs(src)
+    load = StageLoad(source=src, schema="id int, v string", target=f"{tmp}/out",
+                     checkpoint=f"{tmp}/ckpt")
+    for i, name in enumerate("abc", 1):
+        path = f"{src}/{name}.csv"
+        with open(path, "w") as fh:
+            fh.write(f"id,v\n{i},x\n")
+        if name == "b":
+            old = os.path.getmtime(path) - 30 * 86_400
+            os.utime(path, (old, old))
+        if name != "b":
+            run_stage_load(spark, load)
+    assert sorted(r["id"] for r in read_loaded(spark, load).collect()) == [1, 2, 3]
