@@ -10,7 +10,7 @@
    hash classes differ at most as often as the sets do) and are verified on whole sets.
 
 Components, not pairs, are wanted, so pairs inside a component are not formed:
-star rounds first verify one leader of each list against the others.
+star rounds first verify a few leaders of each list against the others.
 What remains is exact: in every list with more than one component, each member
 outside the list's largest component is verified against all members of other
 components.
@@ -42,6 +42,8 @@ FOLD = 4
 #: Row keys up to this number are broadcast (16 bytes each), more are shuffled.
 MAX_KEYS = 1_000_000
 STAR_ROUNDS = 2
+#: Leaders of a list in a round.
+LEADERS = 8
 WORD_TABLE = byte_table("\t\n\v\f\r ")
 
 
@@ -316,14 +318,16 @@ def _linked(pairs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
 
 
 def _star_pairs(lists: DataFrame, state: DataFrame, rule: Rule, r: int) -> DataFrame:
-    """Each list's leader (another one in every round) with the others' members."""
+    """Each list's leaders (others in every round) with the other groups' members."""
     inside = state.filter("v != gid").join(
         state.filter("v = gid").select("gid", F.col("root").alias("root_a")), "gid") \
         .filter("root != root_a").select(F.col("gid").alias("a"), F.col("v").alias("b"))
-    head = lists.groupBy("s").agg(
-        F.min(F.struct(F.xxhash64(F.lit(r), "gid"), "gid", "n", "pos", "fold")).alias("h")) \
+    picks = [F.min(F.struct(F.xxhash64(F.lit(r * LEADERS + j), "gid"), "gid", "n", "pos", "fold"))
+             for j in range(LEADERS)]
+    head = lists.groupBy("s").agg(F.array(*picks).alias("heads")) \
+        .select("s", F.explode("heads").alias("h")) \
         .select("s", F.col("h.gid").alias("a"), F.col("h.n").alias("n_a"),
-                F.col("h.pos").alias("pos_a"), F.col("h.fold").alias("fold_a"))
+                F.col("h.pos").alias("pos_a"), F.col("h.fold").alias("fold_a")).distinct()
     groups = lists.join(head, "s").filter(F.col("gid") != F.col("a")) \
         .filter(rule.sizes("n", "n_a")).filter(rule.positions("n", "pos", "n_a", "pos_a")) \
         .filter(rule.bitmaps("n", "fold", "n_a", "fold_a", FOLD)).select("a", "gid").distinct()
