@@ -108,7 +108,7 @@ def scan_sql(notices=NOTICES) -> str:
         words = f"replace({words}, {quoted(f' {other} ')}, {quoted(f' {one} ')})"
     low = "translate(l, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
     line = f"CASE WHEN regexp_matches({low}, {quoted(_COPYRIGHT)}) THEN '' ELSE trim({words}, ' ') END"
-    lines = f"list_filter(list_transform(string_split(t, chr(10)), l -> {line}), x -> x <> '')"
+    lines = f"list_filter(list_transform(string_split(t, chr(10)), lambda l: {line}), lambda x: x <> '')"
     values = ", ".join(f"({quoted(a)}, {quoted(b)})" for a, b in notices)
     return f"""
 WITH known AS (
@@ -118,7 +118,7 @@ base AS (
   SELECT doc_id, {lines} AS lines FROM (SELECT doc_id, coalesce(text, '') AS t FROM documents)),
 digests AS (
   SELECT doc_id, sha256(array_to_string(lines, ' ')) AS text_digest,
-         list_transform(lines, x -> sha256(x)) AS line_digests FROM base),
+         list_transform(lines, lambda x: sha256(x)) AS line_digests FROM base),
 named AS (
   SELECT d.doc_id, string_agg(DISTINCT k.license, ',' ORDER BY k.license) AS line_licenses,
          count(*) AS n_lines
