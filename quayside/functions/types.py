@@ -14,23 +14,17 @@ from pyspark.sql import functions as F
 from quayside.sources.parquet import spread_narrow_scan
 
 # Candidate order: narrowest first.
-CANDIDATES = ("int", "bigint", "double", "date", "timestamp_ntz")
+CANDIDATES = ("int", "bigint", "double", "date", "timestamp_ntz", "boolean")
 
 # Literal shapes.  Each candidate cast runs only on text of its shape, so a
 # text column never reaches a failing cast (which costs a caught exception
-# per value under ANSI semantics).
-_INTEGER = r"^[+-]?[0-9]+$"
-_DECIMAL = r"^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?$"
+# per value under ANSI semantics).  A number with leading zeros is a code and
+# stays text.
+_INTEGER = r"^[+-]?(0|[1-9][0-9]*)$"
+_DECIMAL = r"^[+-]?((0|[1-9][0-9]*)([.][0-9]*)?|[.][0-9]+)([eE][+-]?[0-9]+)?$"
 _DATE = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$"
 _TIMESTAMP = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}([ T][0-9]{2}:[0-9]{2}(:[0-9]{2}([.][0-9]{1,9})?)?)?$"
-_SHAPE = {
-    "int": _INTEGER,
-    "bigint": _INTEGER,
-    "double": _DECIMAL,
-    "date": _DATE,
-    "timestamp_ntz": _TIMESTAMP,
-}
-
+_BOOLEAN = r"^(?i:true|false)$"
 
 # One bit per candidate; a value's mask holds the bits of every type it fits.
 _BIT = {t: 1 << i for i, t in enumerate(CANDIDATES)}
@@ -65,6 +59,7 @@ def _fit_mask(text: Column) -> Column:
             .otherwise(F.lit(0))
             .bitwiseOR(_bit_if_casts(text, "timestamp_ntz")),
         )
+        .when(text.rlike(_BOOLEAN), F.lit(_BIT["boolean"]))
         .otherwise(F.lit(0))
     )
 

@@ -61,24 +61,16 @@ class Join:
     max_broadcast_rows: int | None = None
 
 
-_PROVEN: dict = {}
-
-
 def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
     """Broadcast hint only after proving the table has at most ``max_rows`` rows.
 
     The proof is ``limit(max_rows + 1).count()``: it stops reading as soon as
     the bound is exceeded, so checking a big table is cheap too.  Beyond the
     bound the table is returned unhinted and the planner's shuffle join (with
-    AQE's runtime re-plan) takes over.  A proof is kept for the session, keyed
-    by the plan's semantic hash, the files it reads and the bound - a folder
-    that gained files since is proven again.
+    AQE's runtime re-plan) takes over.  Each call proves anew: a table
+    rewritten since is never broadcast on an old proof.
     """
-    key = (df.sparkSession.sparkContext.applicationId, df.semanticHash(),
-           tuple(sorted(df.inputFiles())), max_rows)
-    if key not in _PROVEN:
-        _PROVEN[key] = df.limit(max_rows + 1).count() <= max_rows
-    return F.broadcast(df) if _PROVEN[key] else df
+    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
 
 
 def require_tables(tables: Mapping[str, DataFrame], required: Iterable[str]) -> None:

@@ -35,8 +35,6 @@ CUTOFF_SAMPLE_ROWS = 200_000
 CUTOFF_SLACK = 1.5
 # Above this many rows per wanted row at the cutoff, ties are split by the next key.
 TIE_FACTOR = 4
-# Placements of the cutoff (slack doubling) before the plain plan is used.
-CUTOFF_ATTEMPTS = 3
 
 
 def limit_ordered(
@@ -46,15 +44,16 @@ def limit_ordered(
     sample_rows: int = CUTOFF_SAMPLE_ROWS,
 ) -> DataFrame:
     """The first ``n`` rows in ascending, nulls-first order of ``order_by``
-    (default: all columns).  Exact; no task merges more than a few times n rows.
-
-    The order is cut on its first key: a cutoff is placed from a bounded
-    sample so that about ``1.5 n`` rows fall at or before it, and an exact
-    count confirms at least ``n`` do.  Those rows are a prefix of the order,
-    so they hold the answer; only they enter the final top-n (the filter
-    reaches the scan).  When many rows tie at the cutoff, the rows before it
-    are all in the answer and the rest is the top of the tied rows by the
-    next keys.  Small inputs (up to ``sample_rows``) take the plain top-n.
+    (default: all columns), returned in that order.  Exact; no task merges more
+    than a few times n rows.
+
+    One path at every size.  The order is cut on its first key: a cutoff is
+    placed from a bounded sample so that about ``1.5 n`` rows fall at or before
+    it, and an exact count confirms at least ``n`` do; a cutoff that is too low
+    is placed twice as deep.  The rows up to it are a prefix of the order, so
+    they hold the answer; only they enter the final top-n (the filter reaches
+    the scan).  When many rows tie at the cutoff, the rows before it are all in
+    the answer and the rest is the top of the tied rows by the next keys.
     """
     cols = list(order_by) if order_by else df.columns
     return _top_n(df, n, cols, sample_rows)
@@ -81,26 +80,22 @@ def _top_n(df: DataFrame, n: int, cols: Sequence[str], sample_rows: int) -> Data
         return df.limit(0)
     if not cols:
         return df.limit(n)  # rows equal on every key: any n of them
-    total = df.count()
-    if total <= n:
-        return df
-    if total <= sample_rows:
-        return df.orderBy(*_order(cols)).limit(n)
     key = F.col(f"`{cols[0]}`")
-    fraction = sample_rows / total
-    for attempt in range(CUTOFF_ATTEMPTS):
+    fraction = min(1.0, sample_rows / max(1, df.count()))
+    keys = df.select(key.alias("k"))
+    if fraction < 1:
+        keys = keys.sample(fraction=fraction, seed=17)
+    rank = int(n * fraction * CUTOFF_SLACK) + 1
+    while True:
         # The rank-th smallest key of the sample; a null result means only
-        # nulls (which sort first) are needed.  A cutoff that proves too low
-        # is placed again with twice the slack.
-        rank = int(n * fraction * CUTOFF_SLACK * 2 ** attempt) + 1
+        # nulls (which sort first) are needed.
         cut = (
-            df.select(key.alias("k")).sample(fraction=fraction, seed=17 + attempt)
-            .orderBy(F.col("k").asc_nulls_first()).limit(rank)
+            keys.orderBy(F.col("k").asc_nulls_first()).limit(rank)
             .agg(F.count(F.lit(1)).alias("got"), F.max("k").alias("cut"))
             .first()
         )
-        if cut["got"] < rank:
-            break  # sample too thin
+        if cut["got"] < rank:  # the input has few rows more than the answer: no cutoff
+            return df.orderBy(*_order(cols)).limit(n)
         c = cut["cut"]
         if c is not None:
             c = _literal(c, df.schema[cols[0]].dataType)
@@ -108,10 +103,7 @@ def _top_n(df: DataFrame, n: int, cols: Sequence[str], sample_rows: int) -> Data
         kept = df.filter(upto).count()
         if kept >= n:
             break
-    else:
-        kept = -1
-    if cut["got"] < rank or kept < n:
-        return df.orderBy(*_order(cols)).limit(n)  # no cutoff found: exact plain plan
+        rank *= 2
     if kept <= TIE_FACTOR * n:
         return df.filter(upto).orderBy(*_order(cols)).limit(n)
     # Too many rows at or before the cutoff: split at the cutoff value.
@@ -121,7 +113,8 @@ def _top_n(df: DataFrame, n: int, cols: Sequence[str], sample_rows: int) -> Data
     if m >= n:
         return _top_n(head, n, cols, sample_rows)
     tied = key == c if c is not None else key.isNull()
-    return head.unionByName(_top_n(df.filter(tied), n - m, cols[1:], sample_rows))
+    rest = _top_n(df.filter(tied), n - m, cols[1:], sample_rows)
+    return head.unionByName(rest).orderBy(*_order(cols)).limit(n)
 
 
 def preview(df: DataFrame, n: int = PREVIEW_ROWS) -> list:

@@ -243,29 +243,32 @@ def stage_load(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _ORDERS_COLUMNS = ("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate",
                    "o_orderpriority")
+#: A flag and a code with leading zeros, the same expression in Spark and in SQL.
+_DERIVED = {"is_open": "o_orderstatus = 'O'", "member_code": "lpad(CAST(o_custkey AS STRING), 12, '0')"}
 
 
 def _infer_sql() -> str:
     """Inference rules stated in SQL: first type no non-null value fails."""
     rules = {
-        "int": "regexp_full_match(trim(s), '[+-]?[0-9]+') AND TRY_CAST(trim(s) AS INTEGER) IS NOT NULL",
-        "bigint": "regexp_full_match(trim(s), '[+-]?[0-9]+') AND TRY_CAST(trim(s) AS BIGINT) IS NOT NULL",
-        "double": "regexp_full_match(trim(s), '[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?') "
+        "int": "regexp_full_match(trim(s), '[+-]?(0|[1-9][0-9]*)') AND TRY_CAST(trim(s) AS INTEGER) IS NOT NULL",
+        "bigint": "regexp_full_match(trim(s), '[+-]?(0|[1-9][0-9]*)') AND TRY_CAST(trim(s) AS BIGINT) IS NOT NULL",
+        "double": "regexp_full_match(trim(s), '[+-]?((0|[1-9][0-9]*)([.][0-9]*)?|[.][0-9]+)([eE][+-]?[0-9]+)?') "
                   "AND TRY_CAST(trim(s) AS DOUBLE) IS NOT NULL",
         "date": "regexp_full_match(trim(s), '[0-9]{4}-[0-9]{2}-[0-9]{2}') AND TRY_CAST(trim(s) AS DATE) IS NOT NULL",
         "timestamp_ntz": "regexp_full_match(trim(s), "
                          "'[0-9]{4}-[0-9]{2}-[0-9]{2}([ T][0-9]{2}:[0-9]{2}(:[0-9]{2}([.][0-9]{1,9})?)?)?') "
                          "AND TRY_CAST(trim(s) AS TIMESTAMP) IS NOT NULL",
+        "boolean": "regexp_full_match(lower(trim(s)), 'true|false')",
     }
     parts = []
-    for c in _ORDERS_COLUMNS:
+    for c, value in ({c: c for c in _ORDERS_COLUMNS} | _DERIVED).items():
         cases = " ".join(
             f"WHEN count(*) FILTER (WHERE s IS NOT NULL AND NOT ({rule})) = 0 THEN '{t}'"
             for t, rule in rules.items()
         )
         parts.append(
             f"SELECT '{c}' AS column_name, CASE WHEN count(s) = 0 THEN 'string' {cases} "
-            f"ELSE 'string' END AS inferred_type FROM (SELECT CAST({c} AS VARCHAR) AS s FROM orders)"
+            f"ELSE 'string' END AS inferred_type FROM (SELECT CAST({value} AS VARCHAR) AS s FROM orders)"
         )
     return "\nUNION ALL\n".join(parts)
 
@@ -274,7 +277,8 @@ def _infer_sql() -> str:
 def infer_types_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = _raw(spark, sf_dir, "orders")
     as_text = orders.select(*[F.col(c).cast("string").alias(c) for c in orders.columns])
-    return infer_types(as_text)
+    derived = [F.expr(f"CAST({value} AS STRING)").alias(c) for c, value in _DERIVED.items()]
+    return infer_types(as_text.select("*", *derived))
 
 
 @register(

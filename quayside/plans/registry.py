@@ -9,6 +9,7 @@ the stand-in projections are spelled out as common table expressions.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,7 +18,9 @@ from quayside.functions import names as N
 from quayside.operators.aggregates import row_counts
 from quayside.operators.columns import complete_columns
 from quayside.operators.joins import FACT_HINT, Chain, Join, join_chain
-from quayside.operators.limits import limit_ordered, limit_rows
+from quayside.operators.limits import (
+    QUERY_LOAD_CAP, WIDE_TABLE_CAP, limit_ordered, limit_rows,
+)
 from quayside.operators.profile import catalog_null_profile
 from quayside.plans import views
 from quayside.plans.standins import read_source, standin_sql_ctes, standin_tables
@@ -175,6 +178,11 @@ def wide_left(spark: SparkSession, sf_dir: str) -> DataFrame:
                       base_hint=FACT_HINT)
 
 
+def _unbounded(steps: list[Join]) -> list[Join]:
+    """The steps without row bounds, for plans that are only analysed."""
+    return [replace(s, max_broadcast_rows=None) for s in steps]
+
+
 @register(
     "wide_inner_left",
     _CHAIN_CTES
@@ -192,7 +200,8 @@ def wide_inner_left(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables = _chain_tables(spark, sf_dir, False)
     # Column order of the chain as written (USING keys lead, latest first).
     # Only analysed, never run.
-    columns = join_chain(tables, "order_detail", _chain("inner", "customer_loyalty")).columns
+    flat = _unbounded(_chain("inner", "customer_loyalty"))
+    columns = join_chain(tables, "order_detail", flat).columns
     # Same rows, joined in another order: members meet the order headers
     # before the headers meet the lines (the left join reads header columns
     # only).  The wide line rows are then never shuffled by customer, and the
@@ -203,18 +212,21 @@ def wide_inner_left(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # A calendar holds one row per day: 100,000 rows are 270 years.  The bound is
-# proven on the data before the date dimension is broadcast, which keeps the
-# wide fact from being shuffled by ship date.
+# proven before the date dimension is broadcast, which keeps the wide fact from
+# being shuffled by ship date.
 CALENDAR_MAX_ROWS = 100_000
 
 
 def _star_tables(spark, sf_dir):
     t = standin_tables(spark, sf_dir)
     fact = t["order_detail"].withColumn("ShipDateKey", F.to_date("l_shipdate"))
-    # Role-playing date dimension: the calendar of ship dates.
+    # Role-playing date dimension: every day between the first and the last ship
+    # date, from one scan of the date column.
+    span = fact.agg(F.min("ShipDateKey").alias("lo"), F.max("ShipDateKey").alias("hi")).first()
+    days = 0 if span["lo"] is None else (span["hi"] - span["lo"]).days + 1
     dates = (
-        fact.select(F.col("ShipDateKey").alias("DateKey"))
-        .distinct()
+        spark.range(days)
+        .select(F.date_add(F.lit(span["lo"]).cast("date"), F.col("id").cast("int")).alias("DateKey"))
         .select(
             "DateKey",
             F.year("DateKey").alias("CalendarYear"),
@@ -260,8 +272,14 @@ def star_inner(spark: SparkSession, sf_dir: str) -> DataFrame:
         Join("menu", "menu_item_id"),
         Join("customer", "customer_id"),
     ]
-    joined = join_chain(_star_tables(spark, sf_dir), "order_detail", steps, base_hint=FACT_HINT)
-    return N.writable_names(joined)
+    tables = _star_tables(spark, sf_dir)
+    columns = join_chain(tables, "order_detail", _unbounded(steps)).columns
+    # Same rows: customers meet the order headers first, so the wide line rows
+    # are not shuffled by customer.
+    headers = Chain("order_header", (steps[-1],))
+    joined = join_chain(tables, "order_detail", [Join(headers, "order_id"), *steps[1:-1]],
+                        base_hint=FACT_HINT)
+    return N.writable_names(joined.select(*columns))
 
 
 @register(
@@ -451,19 +469,26 @@ def limit_rows_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return capped.agg(F.count(F.lit(1)).alias("row_count"))
 
 
-@register(
-    "limit_ordered",
-    standin_sql_ctes()
-    + "\nSELECT * FROM order_detail ORDER BY order_id, menu_item_id, truck_id, l_linenumber, "
-    "l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, "
-    "l_shipdate LIMIT 20000",
-)
+_LINE_ORDER = ("order_id", "menu_item_id", "truck_id", "l_linenumber", "l_quantity",
+               "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus",
+               "l_shipdate")
+
+
+def _first_lines_sql(n: int) -> str:
+    return standin_sql_ctes() + (
+        f"\nSELECT * FROM order_detail ORDER BY {', '.join(_LINE_ORDER)} LIMIT {n}")
+
+
+@register("limit_ordered", _first_lines_sql(WIDE_TABLE_CAP))
 def limit_ordered_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     od = standin_tables(spark, sf_dir, ["order_detail"])["order_detail"]
-    order = ["order_id", "menu_item_id", "truck_id", "l_linenumber", "l_quantity",
-             "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus",
-             "l_shipdate"]
-    return limit_ordered(od, 20_000, order)
+    return limit_ordered(od, WIDE_TABLE_CAP, _LINE_ORDER)
+
+
+@register("limit_query_load", _first_lines_sql(QUERY_LOAD_CAP))
+def limit_query_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    od = standin_tables(spark, sf_dir, ["order_detail"])["order_detail"]
+    return limit_ordered(od, QUERY_LOAD_CAP, _LINE_ORDER)
 
 
 # Load-side keys register themselves on import.

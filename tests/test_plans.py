@@ -195,6 +195,18 @@ def test_limit_ordered_cutoff_matches_plain_top_n(spark, sf_small):
             assert _rows(cut) == _rows(plain), (order[0], n)
 
 
+def test_limit_ordered_returns_rows_in_order(spark):
+    """Fewer rows than asked for, ties, a hot value, nulls: always sorted."""
+    rows = [(None if i % 50 == 0 else 7 if i % 3 else i % 40, -i) for i in range(3_000)]
+    df = spark.createDataFrame(rows, "k int, x int").repartition(5)
+    want = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
+    for n in (1, 60, 400, 1_500, 3_000, 5_000):
+        for sample_rows in (100, 10_000):
+            got = [tuple(r) for r in limit_ordered(df, n, ["k", "x"], sample_rows).collect()]
+            assert got == want[:n], (n, sample_rows)
+    assert limit_ordered(df.limit(0), 5, ["k", "x"]).collect() == []
+
+
 def test_limit_ordered_filters_before_the_merge(spark, sf_small):
     from quayside.plans.standins import read_source
 

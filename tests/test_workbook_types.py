@@ -95,6 +95,19 @@ def test_infer_types_order_and_rules(spark):
     assert typed.first()["b"] == 3000000000
 
 
+def test_infer_types_booleans_and_codes(spark):
+    df = spark.createDataFrame(
+        [("true", "00501", "0", "0.50", "01.5", "true"), (" FALSE ", "12345", "-7", ".5", "2", "1")],
+        "flag string, zip string, i string, d string, padded string, mixed string",
+    )
+    got = {r["column_name"]: r["inferred_type"] for r in infer_types(df).collect()}
+    assert got == {"flag": "boolean", "zip": "string", "i": "int", "d": "double",
+                   "padded": "string", "mixed": "string"}
+    typed = apply_types(df, got)
+    assert [r["flag"] for r in typed.collect()] == [True, False]
+    assert typed.first()["zip"] == "00501"
+
+
 def test_reader_default_style_rich_text_and_unnumbered_rows(tmp):
     """A cell without ``s`` takes style 0; inline rich text joins its runs;
     a row without ``r`` follows the previous row."""
