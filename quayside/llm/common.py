@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 from quayside.session import checkpoint_root, scratch_path, ship_package
 
 SLICE_BYTES = 1 << 20
+#: Bytes of an Arrow batch between Spark and a task's Python worker; one row may exceed it.
+BATCH_BYTES = 4 << 20
 U = np.uint64
 MULT = U(0x9E3779B97F4A7C15)
 SEED = U(0x632BE59BD9B4E019)
@@ -26,7 +28,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def prepare(spark: SparkSession) -> None:
-    """Make the package importable in tasks and the shared scratch folder known."""
+    """Make the package importable in tasks and the shared scratch folder known.
+
+    Arrow batches are cut by bytes, so the memory of a task does not grow with the length
+    of 10,000 texts (Spark's default batch).
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     ship_package(spark)
     checkpoint_root(spark)
 
