@@ -7,6 +7,7 @@ the size of an Arrow batch.  One text longer than that is a slice of its own.
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -38,17 +39,33 @@ def prepare(spark: SparkSession) -> None:
     checkpoint_root(spark)
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared scratch folder and read it back.
+def stored(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
+    """Write ``df`` to the shared scratch folder (or ``path``) and read it back.
 
     Cuts the lineage: a lost executor only costs tasks that read the files.
     """
     spark = df.sparkSession
-    path = scratch_path(spark, "llm", name)
+    path = path or scratch_path(spark, "llm", name)
     df.write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def free_shuffles(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of ended queries.
+
+    Its cleaner follows the garbage collections of the driver, which may come late.
+    Call it between stored steps: nothing that is still to run reads those files.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
+def drop_stored(spark: SparkSession, path: str) -> None:
+    """Delete a stored table that no later query reads."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def text_column(df: DataFrame, name: str = "text") -> Column:
     """The text, null as the empty string."""
     return F.coalesce(df[name].cast("string"), F.lit(""))

@@ -27,9 +27,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quayside.llm.common import (
-    MULT, U, Words, byte_table, encoded, joined_hash, mixed, prepare, slices, stored, text_column,
+    MULT, U, Words, byte_table, drop_stored, encoded, free_shuffles, joined_hash, mixed, prepare,
+    slices, stored, text_column,
 )
 from quayside.llm.components import components
+from quayside.session import scratch_path
 
 #: A shingle in more prefixes (of twice the length) than this comes last in the order ...
 COMMON = 1
@@ -203,15 +205,20 @@ def labelled_rows(docs: DataFrame, rule: Rule, text: str, key: str) -> DataFrame
     value = text_column(docs, text)
     base = docs.select(docs[key].alias("id"), value.alias("text"), *row_hashes(docs, text, key))
     kind = docs.schema[key].dataType.simpleString()
+    counted = scratch_path(spark, "llm", "join_counted")
     first = stored(base.mapInArrow(
         lambda it: _emit(it, rule, None, "prefix"),
-        f"id {kind}, r1 long, r2 long, v binary, n long, prefix array<long>"), "join_prefix")
-    vertices = first.filter("v is not null").groupBy("v", "n").agg(
+        f"id {kind}, r1 long, r2 long, v binary, n long, prefix array<long>"),
+        "join_counted", counted)
+    rows = stored(first.drop("prefix"), "join_rows")
+    vertices = rows.filter("v is not null").groupBy("v", "n").agg(
         F.min(F.struct("r1", "r2")).alias("row"), F.min("id").alias("id"))
     vertices = stored(vertices.select("v", "n", "row.r1", "row.r2", "id"), "join_vertices")
     chosen = vertices.select("v", "r1", "r2")
 
     common = spark.sparkContext.broadcast(_common_shingles(first.join(chosen, ["v", "r1", "r2"])))
+    drop_stored(spark, counted)  # the wide rows only serve the counts
+    free_shuffles(spark)
     prefixes = base.mapInArrow(
         lambda it: _emit(it, rule, common, "prefix"),
         f"id {kind}, r1 long, r2 long, v binary, n long, prefix array<long>, bits array<long>") \
@@ -219,6 +226,7 @@ def labelled_rows(docs: DataFrame, rule: Rule, text: str, key: str) -> DataFrame
         .groupBy("v", "n").agg(F.first("prefix").alias("prefix"), F.first("bits").alias("bits"))
     prefixes = stored(prefixes.withColumn("g1", F.xxhash64("prefix", "n"))
                       .withColumn("g2", F.xxhash64(F.lit(1), "prefix", "n")), "join_prefix")
+    free_shuffles(spark)
     members = stored(
         prefixes.join(prefixes.groupBy("g1", "g2").agg(
             F.min("v").alias("gid"), F.count("*").alias("size")), ["g1", "g2"])
@@ -230,6 +238,7 @@ def labelled_rows(docs: DataFrame, rule: Rule, text: str, key: str) -> DataFrame
     shared = posted.groupBy("s").agg(F.count("*").alias("c")).filter("c > 1").select("s")
     folds = members.filter("v = gid").select("gid", "fold")
     lists = stored(posted.join(shared, "s").join(folds, "gid"), "join_lists")
+    free_shuffles(spark)
     members = stored(
         members.join(lists.select("gid").distinct()
                      .unionByName(members.filter("size > 1").select("gid")).distinct(),
@@ -247,16 +256,16 @@ def labelled_rows(docs: DataFrame, rule: Rule, text: str, key: str) -> DataFrame
             continue
         ends = pairs.select(F.col("a").alias("v")).unionByName(
             pairs.select(F.col("b").alias("v"))).distinct()
-        rows = _semi(base, chosen.join(ends, "v", "left_semi").select("r1", "r2"))
-        sets = stored(rows.select("text").mapInArrow(lambda it: _emit(it, rule, None, "set"),
+        texts = _semi(base, chosen.join(ends, "v", "left_semi").select("r1", "r2"))
+        sets = stored(texts.select("text").mapInArrow(lambda it: _emit(it, rule, None, "set"),
                                                      "v binary, shingles binary")
                       .groupBy("v").agg(F.first("shingles").alias("shingles")), "join_sets")
         found = stored(_linked(pairs, sets, rule), "join_links")
         if found.take(1):
             links = found if links is None else links.unionByName(found)
             label = components(links)
+        free_shuffles(spark)
 
-    rows = first.select("id", "r1", "r2", "v", "n")
     ends = vertices.select("v", "id").join(label, "v", "left") \
         .select("v", "id", F.coalesce("root", "v").alias("root"))
     least = ends.groupBy("root").agg(F.min("id").alias("component_id"))
