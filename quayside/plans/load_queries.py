@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from quayside.functions.types import infer_types
 from quayside.functions.variant import parse_variant, variant_field
 from quayside.plans import views
-from quayside.plans.registry import register
+from quayside.plans.registry import ORACLES, register
 from quayside.plans.workbook_stage import stage_workbooks
 from quayside.plans.standins import KEY_RENAMES, read_source, standin_sql_ctes, standin_tables
 from quayside.session import scratch_path
@@ -25,7 +25,9 @@ from quayside.sources.csv import ddl_of, read_csv, read_csv_gz, write_stage
 from quayside.specs import RAW_FOLDERS, TableSpec, pos_catalog
 from quayside.sources.workbook import read_workbook_cells, sheet_frame, stage_cells
 from quayside.sources.workbook import sheet_tables as workbook_sheet_tables
-from quayside.streaming.stage_load import StageLoad, read_loaded, run_stage_load
+from quayside.streaming.stage_load import (
+    StageLoad, read_loaded, run_stage_load, run_stage_loads, stage_loads,
+)
 
 
 def _raw(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -154,50 +156,87 @@ def load_catalog_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load_catalog(spark, specs, root).status(spark)
 
 
-def _save_loaded(spark: SparkSession, sf_dir: str):
+def _save_loaded(spark: SparkSession, sf_dir: str, extra=None):
     root, specs = _stage_catalog(spark, sf_dir)
     loaded = load_catalog(spark, specs, root)
     views.create_namespaces(spark, scratch_path(spark, "warehouse"))
     tables_root = scratch_path(spark, "tables")
+    tables = loaded.tables | (extra(loaded.tables) if extra else {})
+    layer = {n: specs[n].namespace if n in specs else "raw_pos" for n in tables}
     report = save_catalog(
-        loaded.tables,
-        target_of={n: f"{specs[n].namespace}.{n}" for n in loaded.tables},
-        path_of={n: f"{tables_root}/{specs[n].namespace}/{n}" for n in loaded.tables},
-        bucket_of={n: specs[n].bucket_key for n in loaded.tables},
+        tables,
+        target_of={n: f"{layer[n]}.{n}" for n in tables},
+        path_of={n: f"{tables_root}/{layer[n]}/{n}" for n in tables},
     )
     return loaded, report
 
 
+def _key_of(name: str) -> str:
+    return next(iter(KEY_RENAMES[name][1].values()))
+
+
+def _unwritable(tables) -> dict[str, DataFrame]:
+    """A copy of the order headers whose content fails when it is written."""
+    return {"order_header_copy": tables["order_header"].withColumn(
+        "checked", F.raise_error(F.lit("unreadable content")).cast("string"))}
+
+
 @register(
     "save_catalog",
     standin_sql_ctes() + "\n" + "\nUNION ALL\n".join(
-        f"SELECT '{t}' AS table_name, 'saved' AS status, count(*) AS row_count FROM {t}"
-        for t in CATALOG_TABLES
+        [f"SELECT '{t}' AS table_name, 'saved' AS status, count(*) AS row_count, "
+         f"CAST(sum({_key_of(t)}) AS BIGINT) AS key_sum FROM {t}" for t in CATALOG_TABLES]
+        + ["SELECT 'order_header_copy', 'failed', CAST(NULL AS BIGINT), CAST(NULL AS BIGINT)"]
     ),
 )
 def save_catalog_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    loaded, report = _save_loaded(spark, sf_dir)
+    """Status of each table of the save, with rows and key sum read back from the target."""
+    _, report = _save_loaded(spark, sf_dir, _unwritable)
     parts = [
-        spark.table(target).agg(F.count(F.lit(1)).alias("row_count")).select(
-            F.lit(name).alias("table_name"), F.lit("saved").alias("status"), "row_count")
+        spark.table(target).agg(
+            F.count(F.lit(1)).alias("row_count"),
+            F.sum(_key_of(name)).cast("bigint").alias("key_sum"),
+        ).select(F.lit(name).alias("table_name"), "row_count", "key_sum")
         for name, target in report.saved.items()
     ]
-    out = parts[0]
+    content = parts[0]
     for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+        content = content.unionByName(p)
+    return report.status(spark).select("table_name", "status").join(content, "table_name", "left")
+
+
+def _create_layer_views(spark: SparkSession, sf_dir: str) -> None:
+    _, report = _save_loaded(spark, sf_dir)
+    views.create_views(spark, report.saved, views.STANDIN_ORDERS, views.STANDIN_LOYALTY)
+
 
+@register("catalog_orders_view", ORACLES["orders_dated"])
+def catalog_orders_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``analytics.orders_v``, a persistent view over the saved raw tables."""
+    _create_layer_views(spark, sf_dir)
+    return spark.table("analytics.orders_v")
 
-def _orders_wide_oracle() -> str:
-    from quayside.plans.registry import ORACLES
 
-    return ORACLES["orders_wide"]
+@register("catalog_loyalty_view", ORACLES["loyalty_view"])
+def catalog_loyalty_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``analytics.customer_loyalty_metrics_v``, a persistent view over the saved raw tables."""
+    _create_layer_views(spark, sf_dir)
+    return spark.table("analytics.customer_loyalty_metrics_v")
+
+
+@register("stage_load_catalog", _catalog_status_sql())
+def stage_load_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every stage folder loaded incrementally into its table; a missing folder is reported."""
+    root, specs = _stage_catalog(spark, sf_dir)
+    loads = stage_loads(specs, root, scratch_path(spark, "tables", "loaded"),
+                        scratch_path(spark, "checkpoints", "loaded"))
+    return run_stage_loads(spark, loads).status(spark)
 
 
-@register("raw_tables", _orders_wide_oracle())
+@register("raw_tables", ORACLES["orders_wide"])
 def raw_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The harmonised orders view over the typed, bucketed raw tables."""
-    loaded, report = _save_loaded(spark, sf_dir)
+    """The harmonised orders view over the typed raw tables."""
+    _, report = _save_loaded(spark, sf_dir)
     tables = {name: spark.table(target) for name, target in report.saved.items()}
     return views.orders_view(tables, views.STANDIN_ORDERS)
 

@@ -208,6 +208,77 @@ def create_raw_tables(
     return made
 
 
+def _relation(names: Mapping[str, str], base: str, steps, base_alias: str | None) -> str:
+    """``FROM`` text of a join list with ON steps over catalog tables."""
+    base_alias = base_alias or base
+    out = f"{names[base]} AS {base_alias}"
+    for s in steps:
+        if isinstance(s.table, Chain):
+            sub = s.table
+            alias = sub.base_alias or sub.base
+            right = f"({_relation(names, sub.base, sub.steps, sub.base_alias)})"
+        else:
+            alias = s.alias or s.table
+            right = f"{names[s.table]} AS {alias}"
+        keys = [s.left if "." in s.left else f"{base_alias}.{s.left}",
+                s.right if "." in s.right else f"{alias}.{s.right}"]
+        if s.key_type:  # only whole numbers match, as in ``join_chain``
+            keys = [f"CASE WHEN {k} = floor({k}) THEN try_cast({k} AS {s.key_type}) END"
+                    for k in keys]
+        out += f"\n{s.how.upper()} JOIN {right} ON {keys[0]} = {keys[1]}"
+    return out
+
+
+def view_sql(
+    names: Mapping[str, str],
+    orders: OrdersBinding = POS_ORDERS,
+    loyalty: LoyaltyBinding = POS_LOYALTY,
+) -> dict[str, str]:
+    """Text of the four views over catalog tables, in the order of their creation.
+
+    Orders are summed by member key before they meet the members, as in
+    ``member_metrics``.
+    """
+    columns = [c if isinstance(c, str) else f"{c[0]} AS {c[1]}" for c in orders.select]
+    group = ", ".join(f"m.{c}" for c in loyalty.group_cols)
+    money = "DECIMAL(38,4)"
+    return {
+        "harmonized.orders_v":
+            f"SELECT {', '.join(columns)}\n"
+            f"FROM {_relation(names, orders.base, orders.joins, orders.base_alias)}",
+        "harmonized.customer_loyalty_metrics_v":
+            f"SELECT {group}, CAST(sum(o.total) AS {money}) AS total_sales,\n"
+            "array_sort(array_distinct(flatten(collect_list(o.visited)))) "
+            "AS visited_location_ids_array\n"
+            f"FROM {names[loyalty.members]} AS m JOIN (\n"
+            f"SELECT {loyalty.order_member_key} AS member, "
+            f"sum(CAST({loyalty.amount_col} AS {money})) AS total, "
+            f"collect_set({loyalty.set_col}) AS visited\n"
+            f"FROM {names[loyalty.orders]} GROUP BY {loyalty.order_member_key}) AS o\n"
+            f"ON m.{loyalty.member_key} = o.member GROUP BY {group}",
+        "analytics.orders_v":
+            f"SELECT CAST({orders.ts_col} AS DATE) AS date, * FROM harmonized.orders_v",
+        "analytics.customer_loyalty_metrics_v":
+            "SELECT * FROM harmonized.customer_loyalty_metrics_v",
+    }
+
+
+def create_views(
+    spark: SparkSession,
+    names: Mapping[str, str],
+    orders: OrdersBinding = POS_ORDERS,
+    loyalty: LoyaltyBinding = POS_LOYALTY,
+) -> list[str]:
+    """Create (or replace) the four views in their namespaces; they outlive the session.
+
+    ``names`` maps the tables of the model to catalog tables; the namespaces must exist.
+    """
+    texts = view_sql(names, orders, loyalty)
+    for view, text in texts.items():
+        spark.sql(f"CREATE OR REPLACE VIEW {view} AS {text}")
+    return list(texts)
+
+
 def register_views(spark: SparkSession, tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
     """Register the four views as session views named after their layer."""
     views = {

@@ -29,24 +29,24 @@ def overwrite_table(
 ) -> str:
     """Replace a catalog table's content (and schema) with ``df``.
 
-    With ``bucket_key`` the table is hash-bucketed and sorted on that key, so
-    later joins and aggregates on the key read it co-partitioned without a
-    shuffle.  Rows are first distributed on the key, into as many partitions
+    With ``bucket_key`` and ``buckets`` the table is hash-bucketed and sorted on
+    that key, so later joins and aggregates on the key read it co-partitioned
+    without a shuffle.  A bucket is read by one task, whatever its size: the caller
+    states a count that fits the table, and leaves it out (the default: no buckets,
+    joins shuffle and AQE splits hot keys) where one key holds much of it.  Rows are first distributed on the key, into as many partitions
     as buckets, so each task writes one file per bucket it owns instead of
     one per bucket and task.  The distribution is a *rebalance*: AQE splits a
     partition swollen by a hot key over several tasks (that bucket then has
     several files, which bucketed reads allow), so a key holding a third of
     the rows is not written by one task.
     """
-    writer_df = df
-    if bucket_key:
-        n = buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        writer_df = df.hint("rebalance", n, bucket_key)
+    bucketed = bool(bucket_key and buckets)
+    writer_df = df.hint("rebalance", buckets, bucket_key) if bucketed else df
     writer = writer_df.write.mode("overwrite").format(fmt)
     if path:
         writer = writer.option("path", path)
-    if bucket_key:
-        writer = writer.bucketBy(n, bucket_key).sortBy(bucket_key)
+    if bucketed:
+        writer = writer.bucketBy(buckets, bucket_key).sortBy(bucket_key)
     writer.saveAsTable(table)
     return table
 
@@ -151,10 +151,16 @@ def jdbc_truncate_load(
 ) -> str:
     """Empty the target (cascading to dependants), then load it.
 
-    Keeps the target's definition, grants and dependants.  If the target's
-    columns no longer fit the data, the truncating write fails; the load then
-    falls back to a drop-and-recreate overwrite.  Returns the path taken.
+    Keeps the target's definition, grants and dependants.  Only a target whose
+    columns, read before the write, no longer fit the data is dropped and
+    recreated; any failure of the write itself is raised and leaves the target's
+    definition.  Returns the path taken.
     """
+    columns = _target_columns(df, jdbc_options(url, properties, dbtable=table))
+    if columns is not None and {c.lower() for c in columns} != {c.lower() for c in df.columns}:
+        log.warning("columns of %s no longer fit the data; recreating it", table)
+        jdbc_overwrite(df, url, table, properties, batch_size, num_partitions)
+        return "recreate"
     opts = jdbc_options(
         url,
         properties,
@@ -164,10 +170,14 @@ def jdbc_truncate_load(
         truncate="true",
         cascadeTruncate="true" if cascade else "false",
     )
+    df.write.format("jdbc").options(**opts).mode("overwrite").save()
+    return "truncate"
+
+
+def _target_columns(df: DataFrame, opts: Mapping[str, str]) -> list[str] | None:
+    """Columns of a JDBC target; None if it cannot be read (the write then says why)."""
     try:
-        df.write.format("jdbc").options(**opts).mode("overwrite").save()
-        return "truncate"
-    except Exception as exc:  # noqa: BLE001
-        log.warning("truncating load of %s failed (%s); recreating it", table, exc)
-    jdbc_overwrite(df, url, table, properties, batch_size, num_partitions)
-    return "recreate"
+        return df.sparkSession.read.format("jdbc").options(**opts).load().columns
+    except Exception as exc:  # noqa: BLE001 - no such table, mostly
+        log.info("target not readable before the load: %s", exc)
+        return None

@@ -14,7 +14,10 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+from quayside.session import run_concurrently
+from quayside.sources.catalog import CatalogLoad
 from quayside.sources.csv import _READ_DEFAULTS
+from quayside.specs import TableSpec
 
 
 @dataclass(frozen=True)
@@ -57,6 +60,40 @@ def run_stage_load(spark: SparkSession, load: StageLoad) -> int:
     return len(query.recentProgress)
 
 
+def stage_loads(
+    specs: Mapping[str, TableSpec], root: str, tables_root: str, checkpoints_root: str
+) -> dict[str, StageLoad]:
+    """One load per table of a catalog: its stage folder to ``tables_root/<name>``."""
+    return {
+        name: StageLoad(
+            source=spec.path(root),
+            schema=spec.schema,
+            target=f"{tables_root.rstrip('/')}/{name}",
+            checkpoint=f"{checkpoints_root.rstrip('/')}/{name}",
+            header=spec.header,
+            options=spec.options,
+        )
+        for name, spec in specs.items()
+    }
+
+
+def run_stage_loads(spark: SparkSession, loads: Mapping[str, StageLoad]) -> CatalogLoad:
+    """Run the loads; a failing one is recorded and does not stop the others.
+
+    Returns the loaded targets; a load that never had a file (no stage folder yet)
+    is a failure of that table.
+    """
+    jobs = {n: (lambda load=load: (run_stage_load(spark, load), read_loaded(spark, load))[1])
+            for n, load in loads.items()}
+    result = CatalogLoad()
+    for name, got in run_concurrently(spark, jobs).items():
+        if isinstance(got, Exception):
+            result.failures[name] = (str(got).splitlines() or [type(got).__name__])[0]
+        else:
+            result.tables[name] = got
+    return result
+
+
 def read_loaded(spark: SparkSession, load: StageLoad) -> DataFrame:
     """The target as committed by the file sink (its log names the files)."""
     return spark.read.format(load.fmt).load(load.target)

@@ -30,10 +30,27 @@ class _FakeWriter:
             raise RuntimeError("column mismatch")
 
 
+class _FakeReader:
+    def __init__(self, columns):
+        self.columns = columns
+
+    def format(self, fmt):
+        return self
+
+    def options(self, **kw):
+        return self
+
+    def load(self):
+        return self
+
+
 class _FakeFrame:
-    def __init__(self, fail_on_truncate=False):
+    columns = ["id", "v"]
+
+    def __init__(self, fail_on_truncate=False, target=("ID", "V")):
         self.log = []
         self.fail = fail_on_truncate
+        self.sparkSession = type("Session", (), {"read": _FakeReader(list(target))})
 
     @property
     def write(self):
@@ -50,9 +67,17 @@ def test_truncate_load_options():
 
 def test_truncate_load_falls_back_to_recreate():
     # H11: a target whose columns no longer fit is dropped and recreated.
-    df = _FakeFrame(fail_on_truncate=True)
+    df = _FakeFrame(fail_on_truncate=True, target=("id", "v", "old"))
     assert sinks.jdbc_truncate_load(df, "jdbc:x://h/db", "t") == "recreate"
-    assert [o.get("truncate") for o in df.log] == ["true", None]
+    assert [o.get("truncate") for o in df.log] == [None]
+
+
+def test_truncate_load_keeps_the_target_when_the_write_fails():
+    # A lost connection or a bad row is no reason to drop a target that fits.
+    df = _FakeFrame(fail_on_truncate=True)
+    with pytest.raises(RuntimeError):
+        sinks.jdbc_truncate_load(df, "jdbc:x://h/db", "t")
+    assert [o.get("truncate") for o in df.log] == ["true"]
 
 
 def test_jdbc_overwrite_reraises():

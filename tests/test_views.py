@@ -58,6 +58,24 @@ def test_register_views(spark, pos):
     assert spark.sql("SELECT count(*) FROM analytics_orders_v").first()[0] == 3
 
 
+def test_persistent_views_equal_the_frames(spark, pos, tmp):
+    from quayside.sinks.tables import overwrite_table
+
+    views.create_namespaces(spark, f"{tmp}/db")
+    names = {n: overwrite_table(df, f"raw_pos.{n}", f"{tmp}/views/{n}") for n, df in pos.items()}
+    made = views.create_views(spark, names)
+    frames = [views.orders_view(pos), views.loyalty_metrics_view(pos),
+              views.orders_dated_view(pos), views.loyalty_pass_through(pos)]
+    for name, frame in zip(made, frames):
+        got = spark.table(name)
+        assert got.dtypes == frame.dtypes, name
+        key = lambda r: str(tuple(r))
+        assert sorted(map(key, got.collect())) == sorted(map(key, frame.collect())), name
+    spark.catalog.setCurrentDatabase("default")
+    assert {t.name for t in spark.catalog.listTables("analytics")} >= {
+        "orders_v", "customer_loyalty_metrics_v"}
+
+
 def test_literal_row(spark):
     assert views.literal_row(spark).collect()[0]["note"] == views.setup_note()
 
