@@ -293,8 +293,8 @@ def _common_shingles(first: DataFrame) -> np.ndarray:
         total, least = total + n, step
     if least is None:
         return np.zeros(0, U)
-    found = counts.filter(F.col("step") >= least).select("s").toPandas()
-    return np.sort(found["s"].to_numpy(np.int64).view(U))
+    found = counts.filter(F.col("step") >= least).select("s").toArrow()
+    return np.sort(found.column("s").to_numpy().view(U))
 
 
 def _semi(base: DataFrame, keys: DataFrame) -> DataFrame:
