@@ -13,6 +13,10 @@ first T tokens in order of their due times have been sent.  So every partition
 computes the blocks it touches by itself, deficits carry from window to window
 and from block to block, and no task sees more than its own rows.
 
+Every source has its own queue.  Those beyond the largest ``MAX_QUEUES`` that are not named
+in the proportions are dealt into groups, and a group's tokens are put in order by the same
+schedule over the queues of its sources; the group is one queue of the outer schedule.
+
 Work per row: texts are tokenised once and the ids stored; queue positions are a
 running count inside a stored partition plus the totals of the partitions before.
 """
@@ -21,7 +25,7 @@ from __future__ import annotations
 
 import functools
 from collections import OrderedDict
-from collections.abc import Iterator, Mapping
+from collections.abc import Iterator, Mapping, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -33,19 +37,23 @@ from quayside.llm.common import prepare, slices, stored, text_column
 
 WINDOW = 4096
 END_ID = 2
-#: Queues at most; sources beyond the largest ``MAX_QUEUES - 1`` share the last queue.
+#: Sources with a queue in the outer schedule, besides named ones; groups of others at most.
 MAX_QUEUES = 1024
+#: Sources in a group, about (more, if there are over ``MAX_QUEUES`` such groups).
+GROUP = 512
 
 
 class Schedule:
     """Deficit round-robin over queues with ``total`` tokens and given ``weight``."""
 
-    def __init__(self, total: list[int], weight: list[float], window: int):
+    def __init__(self, total: Sequence[int], weight: Sequence[float], window: int,
+                 cells: int = 65536, least: int = 16, keep: int = 32):
         self.total = np.asarray(total, np.int64)
         self.weight = np.asarray(weight, np.float64)
         self.window = window
         self.all = int(self.total.sum())
-        self.per_block = max(16, min(1024, 65536 // max(1, len(total))))
+        self.per_block = max(least, min(1024, cells // max(1, len(total))))
+        self.keep = keep
         self._cache: OrderedDict[int, tuple] = OrderedDict()
 
     def sent(self, tau: float) -> np.ndarray:
@@ -111,7 +119,7 @@ class Schedule:
         take = np.diff(before, axis=0)
         offset = np.cumsum(take, axis=1) - take
         self._cache[b] = before, offset
-        if len(self._cache) > 32:
+        if len(self._cache) > self.keep:
             self._cache.popitem(last=False)
         return self._cache[b]
 
@@ -136,6 +144,30 @@ class Schedule:
             b += 1
 
 
+class Groups:
+    """Schedules inside groups of sources; ``total[first[g]:first[g + 1]]`` are group g's.
+
+    Holds 8 bytes for each source; a schedule is built when a row of its group comes.
+    """
+
+    def __init__(self, first: np.ndarray, total: np.ndarray):
+        self.first, self.total = first, total
+        self.share = [0.0] * (len(first) - 1)  # tokens of a group in an outer window
+        self._made: dict[int, Schedule] = {}
+
+    def cuts(self, group: int, member: int, start: int, stop: int) \
+            -> Iterator[tuple[int, int, int]]:
+        """(from, to, position of from in the group's queue) of a range of a source's queue."""
+        if group not in self._made:
+            own = self.total[self.first[group]:self.first[group + 1]]
+            # Blocks of few windows: a task may hold two of each group.
+            window = max(len(own), round(self.share[group]))
+            self._made[group] = Schedule(own, own, window, 8192, 1, 2)
+        made = self._made[group]
+        for a, b, window, offset in made.cuts(member, start, stop):
+            yield a, b, window * made.window + offset
+
+
 @functools.cache
 def _tokenizer(path: str):
     import os
@@ -174,19 +206,31 @@ _PIECES = ("doc_id long, source string, start long, length long, doc_tokens long
            "sequence_id long, offset long, ids binary")
 
 
-def _cut(batches: Iterator[pa.RecordBatch], schedule: Schedule):
+def _cut(batches: Iterator[pa.RecordBatch], schedule: Schedule, groups: Groups | None):
     for batch in batches:
         rows = [batch.column(c).to_pylist() for c in
-                ("doc_id", "source", "queue", "position", "doc_tokens")]
+                ("doc_id", "source", "queue", "member", "position", "doc_tokens")]
         stored_ids = batch.column("ids")
         out: list[tuple] = []
         size = 0
-        for i, (doc_id, source, queue, position, n) in enumerate(zip(*rows)):
+        for i, (doc_id, source, queue, member, position, n) in enumerate(zip(*rows)):
             ids = np.frombuffer(stored_ids[i].as_py(), np.uint16).astype("<u4")
-            for a, b, window, offset in schedule.cuts(queue, position, position + n):
-                part = ids[a - position:b - position]
-                out.append((doc_id, source, a - position, b - a, n, window, offset,
-                            part.tobytes()))
+            if member is None:
+                runs = [(position, position + n, queue, position)]
+            else:
+                runs = ((a, b, len(schedule.total) - len(groups.first) + 1 + queue, at) for a, b, at in
+                        groups.cuts(queue, member, position, position + n))
+            for start, stop, own, at in runs:
+                for a, b, window, offset in schedule.cuts(own, at, at + stop - start):
+                    a, b = a - at + start - position, b - at + start - position
+                    last = out[-1] if out else None
+                    if a and last and last[5] == window and last[6] + last[3] == offset:
+                        # The text goes on where its piece before ended.
+                        out[-1] = (doc_id, source, last[2], last[3] + b - a, n, window, last[6],
+                                   last[7] + ids[a:b].tobytes())
+                    else:
+                        out.append((doc_id, source, a, b - a, n, window, offset,
+                                    ids[a:b].tobytes()))
             size += 4 * n
             if size > 1 << 24:
                 yield _pieces(out)
@@ -226,27 +270,57 @@ def pack(docs: DataFrame, tokenizer_path: str, window: int = WINDOW, end_id: int
     chunks = stored(
         tokens.groupBy("chunk", "source").agg(F.sum("doc_tokens").alias("n")), "pack_chunks")
     sizes = chunks.groupBy("source").agg(F.sum("n").alias("n"))
-    top = [(r.source, int(r.n)) for r in
-           sizes.orderBy(F.desc("n"), "source").limit(MAX_QUEUES - 1).collect()]
-    rest = int(chunks.agg(F.sum("n")).first()[0] or 0) - sum(n for _, n in top)
-    total = [n for _, n in top] + ([rest] if rest else [])
-    weight = _weights([s for s, _ in top], total, proportions or {})
+    named = proportions or {}
+    largest = sizes.orderBy(F.desc("n"), "source").limit(MAX_QUEUES).collect()
+    # Bounded: MAX_QUEUES rows and those that the caller names.
+    top = {r.source: int(r.n) for r in [*largest, *(
+        sizes.filter(F.col("source").isin(list(named))).orderBy(F.desc("n"), "source").collect()
+        if named else [])]}
+    queues = spark.createDataFrame([(s, i) for i, s in enumerate(top)], "source string, queue int")
+    total, groups = list(top.values()), None
+    places = queues.withColumn("member", F.lit(None).cast("int")).withColumn("size", F.lit(1))
+    if len(largest) == MAX_QUEUES:
+        others = sizes.join(F.broadcast(queues), "source", "left_anti")
+        n_groups = min(MAX_QUEUES, -(-others.count() // GROUP))
+        if n_groups:
+            inside, groups = _groups(others, n_groups)
+            total += np.add.reduceat(groups.total, groups.first[:-1]).tolist()
+            places = places.unionByName(inside)
+    weight = _weights(list(top), total, named)
     schedule = Schedule(total, weight, window)
+    if groups is not None:
+        groups.share = [window * w / sum(weight) for w in weight[len(top):]]
 
-    # Bounded: at most MAX_QUEUES - 1 rows.
-    queues = spark.createDataFrame([(s, i) for i, (s, _) in enumerate(top)],
-                                   "source string, queue int")
-    before = F.sum("n").over(
-        _window("queue").orderBy("chunk", "source").rowsBetween(_FIRST, -1))
+    before = F.sum("n").over(_window("source").orderBy("chunk").rowsBetween(_FIRST, -1))
     base = stored(
-        chunks.join(F.broadcast(queues), "source", "left")
-        .withColumn("queue", F.coalesce("queue", F.lit(len(top))))
-        .select("chunk", "source", "queue", F.coalesce(before, F.lit(0)).alias("base")),
+        chunks.join(places, "source")
+        .select("chunk", "source", "queue", "member", "size",
+                F.coalesce(before, F.lit(0)).alias("base")),
         "pack_base")
     placed = tokens.join(base, ["chunk", "source"]).select(
-        "doc_id", "source", "queue", (F.col("base") + F.col("at")).alias("position"),
+        "doc_id", "source", "queue", "member", "size", (F.col("base") + F.col("at")).alias("position"),
         "doc_tokens", "ids")
-    return placed.mapInArrow(lambda it: _cut(it, schedule), _PIECES)
+    if groups is not None:  # rows that are due at about the same time share blocks
+        placed = placed.sortWithinPartitions(
+            F.when(F.col("member").isNotNull(), F.col("position") / F.col("size")))
+    return placed.drop("size").mapInArrow(lambda it: _cut(it, schedule, groups), _PIECES)
+
+
+def _groups(others: DataFrame, n_groups: int) -> tuple[DataFrame, Groups]:
+    """Group, number in the group and size of each source, and the groups' schedules."""
+    group = F.pmod(F.xxhash64("source"), F.lit(n_groups)).cast("int")
+    placed = others.withColumn("group", group)
+    number = F.row_number().over(_window("group").orderBy("source"))
+    inside = stored(placed.withColumn("member", number - 1), "pack_groups")
+    # 16 bytes a source: no names.
+    rows = inside.select("group", "member", "n").toPandas().sort_values(["group", "member"])
+    used, count = np.unique(rows["group"].to_numpy(), return_counts=True)
+    first = np.concatenate([[0], np.cumsum(count)])
+    queue = others.sparkSession.createDataFrame(
+        [(int(g), i) for i, g in enumerate(used)], "group int, queue int")  # n_groups at most
+    inside = inside.join(F.broadcast(queue), "group").select(
+        "source", "queue", "member", F.col("n").alias("size"))
+    return inside, Groups(first, rows["n"].to_numpy())
 
 
 def _window(*columns: str):

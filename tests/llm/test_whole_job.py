@@ -1,6 +1,11 @@
 """Cases that the operators once left out."""
 
-from quayside.llm import licenses
+from collections import defaultdict
+
+import numpy as np
+import pytest
+
+from quayside.llm import licenses, packing
 
 MIT = """MIT License
 
@@ -41,3 +46,39 @@ def test_whole_licence_texts_and_wrapped_notices(spark, make):
     assert (rows[6]["line_licenses"], rows[6]["n_lines"]) == ("GPL-3.0", 1)
     assert (rows[7]["line_licenses"], rows[7]["n_lines"]) == ("ISC,LGPL-2.1-or-later", 2)
     assert rows[8]["line_licenses"] == "" and rows[9]["text_license"] is None
+
+
+@pytest.mark.parametrize("proportions", [None, {"s00": 3.0, "s29": 1.0}])
+def test_every_source_has_its_queue(make, rnd, tokenizer, monkeypatch, proportions):
+    monkeypatch.setattr(packing, "MAX_QUEUES", 4)
+    monkeypatch.setattr(packing, "GROUP", 5)
+    if proportions:  # blocks of a few windows
+        monkeypatch.setattr(packing.Schedule.__init__, "__defaults__", (64, 4, 32))
+    # s00 is the least source, s29 the largest.
+    docs = [(i * 100 + j, "cat sat on " * rnd.randint(20, 60), f"s{i:02}")
+            for i in range(30) for j in range(i + 1)]
+    pieces = packing.pack(make(docs, "doc_id long, text string, source string"), tokenizer,
+                          window=512, proportions=proportions).collect()
+    by_doc, windows, total = defaultdict(list), defaultdict(list), defaultdict(int)
+    for p in pieces:
+        by_doc[p["doc_id"]].append(p)
+        windows[p["sequence_id"]].append(p)
+        total[p["source"]] += p["length"]
+    for own in by_doc.values():
+        own.sort(key=lambda p: p["start"])
+        assert [p["start"] for p in own] == [0, *np.cumsum([p["length"] for p in own])[:-1]]
+        assert sum(p["length"] for p in own) == own[0]["doc_tokens"]
+        assert all(len(p["ids"]) == 4 * p["length"] for p in own)
+    assert len(by_doc) == len(docs) and len(total) == 30
+    for k, own in windows.items():
+        own.sort(key=lambda p: p["offset"])
+        assert [p["offset"] for p in own] == [0, *np.cumsum([p["length"] for p in own])[:-1]]
+        assert sum(p["length"] for p in own) == 512 or k == max(windows)
+    share = {s: [sum(p["length"] for p in windows[k] if p["source"] == s)
+                 for k in range(max(windows))] for s in total}
+    if proportions:  # the least source ends first, the largest one last
+        assert sum(share["s00"][:8]) == total["s00"]
+        assert sum(share["s29"][-8:]) > 8 * 512 // 2
+    else:
+        for s, n in total.items():
+            assert max(abs(x - 512 * n / sum(total.values())) for x in share[s]) <= 12, s
