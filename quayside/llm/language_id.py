@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quayside.llm.common import U, mixed, prepare, slices, stored, text_column
+from quayside.llm.labelled import texts_of
 
 BUCKETS = 1 << 18
 #: Texts of a language in the training sample, at most; languages at most.
@@ -62,9 +63,9 @@ def trigrams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def train(docs: DataFrame, max_rows: int = MAX_ROWS) -> Model:
-    """Trigram frequencies of each language in at most ``max_rows`` texts of it.
+    """Trigram frequencies of each language in the texts of at most ``max_rows`` ids of it.
 
-    Rows without a language are no samples.  No sample at all gives a model without
+    A repeated text of an id counts once.  Rows without a language or id are no samples.  No sample at all gives a model without
     languages, by which every page's language is null.
     """
     known = docs.select(F.col("doc_id"), F.col("lang").cast("string").alias("lang"),
@@ -75,9 +76,10 @@ def train(docs: DataFrame, max_rows: int = MAX_ROWS) -> Model:
     counts = np.full((BUCKETS, len(names)), ADDED / 64)
     for i, name in enumerate(names):
         own = known.filter(F.col("lang") == name)
-        picked = own.select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows)
-        # Bounded: max_rows numbers.
-        rows = own.join(F.broadcast(picked.distinct()), "doc_id", "left_semi")
+        picked = own.select("doc_id").filter("doc_id is not null").distinct() \
+            .orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows)
+        # Bounded: max_rows numbers, and as many times TEXTS_PER_ID texts.
+        rows = texts_of(own, picked)
         for r in rows.select("text").toLocalIterator():
             bucket, _ = trigrams([r["text"]])
             np.add.at(counts[:, i], bucket, 1.0)

@@ -5,7 +5,9 @@ from collections import defaultdict
 import numpy as np
 import pytest
 
-from quayside.llm import licenses, packing
+from pyspark.sql import functions as F
+
+from quayside.llm import labelled, language_id, licenses, packing
 
 MIT = """MIT License
 
@@ -82,3 +84,23 @@ def test_every_source_has_its_queue(make, rnd, tokenizer, monkeypatch, proportio
     else:
         for s, n in total.items():
             assert max(abs(x - 512 * n / sum(total.values())) for x in share[s]) <= 12, s
+
+
+def test_samples_are_bounded_in_ids_and_texts(spark, make):
+    docs = make([(i, f"text {i}") for i in range(1, 60)] + [(7, f"other {i}") for i in range(50)]
+                + [(7, "text 7")] * 50)
+    labels = spark.createDataFrame([(i, 1) for i in range(1, 60)] + [(7, 1)] * 1000, "doc_id long, y int")
+    first = [r["doc_id"] for r in labels.distinct().filter(~labelled.held_out(F.col("doc_id")))
+             .orderBy(F.xxhash64("doc_id"), "doc_id").limit(30).collect()]
+    rows = labelled.training_sample(docs, labels, F.col("y"), {1: 30})
+    assert sorted(set(rows["doc_id"])) == sorted(first)
+    hot = first[0]  # repeated label rows do not take the places of others
+    rows = labelled.training_sample(
+        docs, labels.unionByName(spark.createDataFrame([(hot, 1)] * 100, labels.schema)), F.col("y"), {1: 30})
+    assert sorted(set(rows["doc_id"])) == sorted(first)
+    every = labelled.training_sample(docs, labels, F.col("y"), {1: 100})
+    assert (every["doc_id"] == 7).sum() <= labelled.TEXTS_PER_ID
+    known = make([(1, "abc", "en")] * 20 + [(2, "xyz", "en"), (3, "uvw", "en")],
+                 "doc_id long, text string, lang string")
+    one = known.distinct()
+    assert (language_id.train(known, 3).loglik == language_id.train(one, 3).loglik).all()
