@@ -22,8 +22,10 @@ from pyspark.sql import functions as F
 from quayside.llm.common import text_column
 
 MIN_SCORE = 0.6
-#: Characters before a span that are searched for context words.
+#: Characters before and after a span that are searched for context words.
 CONTEXT = 48
+#: Signs of the shortest match; so many matches may lie in a context.
+SHORTEST = 2
 #: Matches that are placed one after another; longer lists are placed in blocks of this size.
 BLOCK = 500
 
@@ -117,14 +119,14 @@ _SPAN = ("array<struct<start:long,rank:int,kind:string,stop:long,base:boolean,"
 
 
 def _placed(cells: Column, base: Column, rank: int, kind: Kind) -> Column:
-    """Cells of (gap, match) to spans and the length of all cells, from position ``base``."""
+    """Cells of (gap, match, before, after) to spans and the length of all cells, from position ``base``."""
     empty = F.expr(f"cast(array() as {_SPAN})")
     start = F.struct(base.cast("long").alias("at"), empty.alias("spans"))
 
     def step(acc, cell):
         begin = acc["at"] + F.length(cell["gap"])
         stop = begin + F.coalesce(F.length(cell["match"]), F.lit(0))
-        near = F.lower(F.right(cell["gap"], F.lit(CONTEXT))).rlike(kind.words)
+        near = F.lower(cell["before"]).rlike(kind.words) | F.lower(cell["after"]).rlike(kind.words)
         score = F.lit(kind.score) + F.when(near, 0.25).otherwise(0.0)
         ok = cell["match"].isNotNull()
         if kind.valid:
@@ -144,6 +146,35 @@ def _placed(cells: Column, base: Column, rank: int, kind: Kind) -> Column:
     return F.aggregate(cells, start, step)
 
 
+def _in_context(cells: Column) -> Column:
+    """Cells of (gap, match) with the ``CONTEXT`` characters before and after the match.
+
+    Only the ends of a cell can lie in the context of another one.
+    """
+    def whole(cell):
+        return F.concat(cell["gap"], F.coalesce(cell["match"], F.lit("")))
+
+    ends = F.transform(cells, lambda c: F.struct(
+        F.right(whole(c), F.lit(CONTEXT)).alias("tail"),
+        F.left(whole(c), F.lit(CONTEXT)).alias("head")))
+    most = CONTEXT // SHORTEST + 1
+
+    def placed(cells, ends):
+        def with_context(cell, i):
+            first = F.greatest(i - most, F.lit(0))
+            tails = F.transform(F.slice(ends, first + 1, i - first), lambda e: e["tail"])
+            heads = F.transform(F.slice(ends, i + 2, F.lit(most)), lambda e: e["head"])
+            before = F.right(F.concat(F.array_join(tails, ""), cell["gap"]), F.lit(CONTEXT))
+            after = F.left(F.array_join(heads, ""), F.lit(CONTEXT))
+            return F.struct(cell["gap"].alias("gap"), cell["match"].alias("match"),
+                            before.alias("before"), after.alias("after"))
+
+        return F.transform(cells, with_context)
+
+    both = F.struct(cells.alias("cells"), ends.alias("ends"))
+    return _let(both, lambda b: placed(b["cells"], b["ends"]))
+
+
 def _shifted(block: Column, by: Column) -> Column:
     return F.transform(block["spans"], lambda s: F.struct(
         (s["start"] + by).alias("start"), s["rank"].alias("rank"), s["kind"].alias("kind"),
@@ -170,7 +201,7 @@ def _spans(text: Column, rank: int, kind: Kind) -> Column:
         return F.flatten(joined["lists"])
 
     none = F.expr(f"cast(array() as {_SPAN})")
-    found = _let(cells, in_blocks)
+    found = _let(_let(cells, _in_context), in_blocks)
     return F.when(F.contains(text, F.lit(kind.guard)), found).otherwise(none) \
         if kind.guard else F.when(text.rlike("[0-9]"), found).otherwise(none)
 

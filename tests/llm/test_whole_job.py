@@ -7,7 +7,7 @@ import pytest
 
 from pyspark.sql import functions as F
 
-from quayside.llm import labelled, language_id, licenses, packing
+from quayside.llm import labelled, language_id, licenses, packing, pii
 
 MIT = """MIT License
 
@@ -86,6 +86,20 @@ def test_every_source_has_its_queue(make, rnd, tokenizer, monkeypatch, proportio
             assert max(abs(x - 512 * n / sum(total.values())) for x in share[s]) <= 12, s
 
 
+def test_context_words_around_lists_of_numbers(make):
+    rows = [(1, "SSN: 123-45-6789, 234-56-7890, 345-67-8901 end"), (2, "123-45-6789 (SSN)"),
+            (3, "ssn" + " " * 45 + "123-45-6789"), (4, "ssn" + " " * 46 + "123-45-6789"),
+            (5, "123-45-6789" + " " * 45 + "ssn"), (6, "123-45-6789" + " " * 46 + "ssn"),
+            (7, "ssn " + "000-11-2222 " * 3 + "123-45-6789 " + "x" * 60 + " 234-56-7890")]
+    rows.append((8, "tax " + "123-45-6789\n" * 1200))
+    out = {r["doc_id"]: [(s["start"], s["stop"]) for s in r["pii"] if s["kind"] == "ssn"]
+           for r in pii.find_pii(make(rows)).collect()}
+    assert out[1] == [(5, 16), (18, 29), (31, 42)] and out[2] == [(0, 11)]
+    assert [len(out[i]) for i in (3, 4, 5, 6)] == [1, 0, 1, 0]
+    assert out[7] == [(40, 51)]
+    assert out[8] == [(4 + 12 * i, 15 + 12 * i) for i in range(4)]
+
+
 def test_samples_are_bounded_in_ids_and_texts(spark, make):
     docs = make([(i, f"text {i}") for i in range(1, 60)] + [(7, f"other {i}") for i in range(50)]
                 + [(7, "text 7")] * 50)
