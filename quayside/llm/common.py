@@ -98,8 +98,11 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h
 
 
-def byte_table(separators: str | set[int], lower: bool = True) -> bytes:
-    """Translation table: separator bytes to 0, A-Z to a-z, other bytes as they are."""
+def byte_table(separators: str | set[int], lower: bool = True, nul: int = 0) -> bytes:
+    """Translation table: separator bytes to 0, A-Z to a-z, other bytes as they are.
+
+    Byte 0 separates words too, unless ``nul`` is another byte for it (0xFF is not in UTF-8).
+    """
     seps = {ord(c) for c in separators} if isinstance(separators, str) else separators
     out = bytearray(range(256))
     for b in range(256):
@@ -107,6 +110,8 @@ def byte_table(separators: str | set[int], lower: bool = True) -> bytes:
             out[b] = 0
         elif lower and 65 <= b <= 90:
             out[b] = b + 32
+    if 0 not in seps:
+        out[0] = nul
     return bytes(out)
 
 
@@ -118,7 +123,7 @@ class Words:
     """
 
     def __init__(self, texts: Sequence[bytes], table: bytes):
-        self.raw = b"\0".join([b"", *texts, b"\0" * 16]).translate(table)
+        self.raw = b"\0".join([b"", *(t.translate(table) for t in texts), b"\0" * 16])
         buf = np.frombuffer(self.raw, np.uint8)
         inside = buf != 0
         edges = np.flatnonzero(inside[1:] != inside[:-1]) + 1

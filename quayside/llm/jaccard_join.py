@@ -46,7 +46,7 @@ MAX_KEYS = 1_000_000
 STAR_ROUNDS = 2
 #: Leaders of a list in a round.
 LEADERS = 8
-WORD_TABLE = byte_table("\t\n\v\f\r ")
+WORD_TABLE = byte_table("\t\n\v\f\r ", nul=0xFF)
 
 
 @dataclass(frozen=True)

@@ -7,7 +7,7 @@ import pytest
 
 from pyspark.sql import functions as F
 
-from quayside.llm import labelled, language_id, licenses, packing, pii
+from quayside.llm import jaccard_join, labelled, language_id, licenses, packing, pii
 
 MIT = """MIT License
 
@@ -118,3 +118,10 @@ def test_samples_are_bounded_in_ids_and_texts(spark, make):
                  "doc_id long, text string, lang string")
     one = known.distinct()
     assert (language_id.train(known, 3).loglik == language_id.train(one, 3).loglik).all()
+
+
+def test_nul_is_a_word_character_of_the_join(make):
+    rows = [(1, "a\0b c"), (2, "a b c"), (3, "a\0B c"), (4, "\0"), (5, "")]
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in
+           jaccard_join.jaccard_components(make(rows), jaccard_join.Rule(1, 90, 100)).collect()}
+    assert got == {1: (2, 1), 2: (3, 2), 3: (2, 1), 4: (1, 4), 5: (0, 5)}
