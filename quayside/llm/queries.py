@@ -1,4 +1,4 @@
-"""Query keys of the ten operators and of the pipeline, and their SQL.
+"""Query keys of the operators and of the pipeline, and their SQL.
 
 Each query applies its operator with production parameters to a whole table and derives
 the digest columns of its contract from the operator's output.
@@ -12,19 +12,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quayside.llm import (
-    decontaminate, jaccard_join, language_id, licenses, packing, pii, quality, repeats, spotsigs,
-    toxicity,
+    decontaminate, jaccard_join, language_id, licenses, packing, piece_encoding, pii, quality, repeats,
+    spotsigs, toxicity,
 )
 from quayside.llm.common import table
 from quayside.llm.labelled import held_out
 
 TOKENIZER = "word_bpe_49k.json"
+PIECES = "piece_bpe_32k.model"
 
 
-def tokenizer_path() -> str:
+def tokenizer_path(name: str = TOKENIZER) -> str:
     from public_tokenizers import path
 
-    return path(TOKENIZER)
+    return path(name)
 
 
 def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -94,6 +95,12 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *pii.digests(found))
 
 
+def op13_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = tokenizer_path(PIECES)
+    return piece_encoding.digests(
+        piece_encoding.encode(table(spark, sf_dir, "documents"), model), model)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -103,7 +110,8 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_packing, op2_decontamination, op3_license_scan, op4_language_id, op5_jaccard_join,
-        op6_quality, op7_toxicity, op8_suffix_dedup, op9_fingerprints, op10_pii, pipeline)
+        op6_quality, op7_toxicity, op8_suffix_dedup, op9_fingerprints, op10_pii,
+        op13_pieces, pipeline)
 }
 
 ORACLES: dict[str, str] = {"op3_license_scan": licenses.scan_sql()}
