@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from quayside.llm import (
     decontaminate, hard_negatives, jaccard_join, language_id, licenses, packing, piece_encoding, pii,
-    quality, repeats, spotsigs, toxicity,
+    quality, ranked_search, repeats, spotsigs, toxicity,
 )
 from quayside.llm.common import table
 from quayside.llm.labelled import held_out
@@ -95,6 +95,11 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *pii.digests(found))
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.rank_documents(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives.hard_negatives(table(spark, sf_dir, "embeddings"))
 
@@ -115,10 +120,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_packing, op2_decontamination, op3_license_scan, op4_language_id, op5_jaccard_join,
         op6_quality, op7_toxicity, op8_suffix_dedup, op9_fingerprints, op10_pii,
-        op12_hard_negatives, op13_pieces, pipeline)
+        op11_ranked_search, op12_hard_negatives, op13_pieces, pipeline)
 }
 
 ORACLES: dict[str, str] = {
     "op3_license_scan": licenses.scan_sql(),
+    "op11_ranked_search": ranked_search.ranked_sql(),
     "op12_hard_negatives": hard_negatives.negatives_sql(),
 }
