@@ -20,6 +20,7 @@ from quayside.plans.workbook_stage import stage_workbooks
 from quayside.plans.standins import KEY_RENAMES, read_source, standin_sql_ctes, standin_tables
 from quayside.session import scratch_path
 from quayside.sinks.tables import overwrite_table, run_concurrently, save_catalog
+from quayside.sinks.versions import restore_table
 from quayside.sources.catalog import load_catalog
 from quayside.sources.csv import ddl_of, read_csv, read_csv_gz, write_stage
 from quayside.specs import RAW_FOLDERS, TableSpec, pos_catalog
@@ -251,6 +252,68 @@ def table_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table("orders_target")
 
 
+#: What the second save of ``failed_save`` does to a table: key shift, added columns.
+_SECOND_SAVE = {"menu": (1_000_000, 0), "truck": (2_000_000, 1), "order_header": (0, 0)}
+
+
+def _failed_save_sql() -> str:
+    parts = []
+    for name, (shift, added) in _SECOND_SAVE.items():
+        status = "failed" if name == "order_header" else "saved"
+        parts.append(
+            f"SELECT '{name}' AS table_name, '{status}' AS status, count(*) AS row_count, "
+            f"CAST(sum({_key_of(name)} + {shift}) AS BIGINT) AS key_sum, "
+            f"(SELECT count(*) FROM (DESCRIBE {KEY_RENAMES[name][0]})) + {added} AS column_count "
+            f"FROM {name}")
+    return standin_sql_ctes() + "\n" + "\nUNION ALL\n".join(parts)
+
+
+@register("failed_save", _failed_save_sql())
+def failed_save(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A catalog is saved twice; the second time one table's write breaks off.
+
+    That table keeps its rows and columns; one table gets new rows in the same definition,
+    one a new definition as well.
+    """
+    views.create_namespaces(spark, scratch_path(spark, "warehouse"))
+    root = scratch_path(spark, "tables", "replaced")
+    targets = {n: f"raw_pos.replaced_{n}" for n in _SECOND_SAVE}
+    paths = {n: f"{root}/{n}" for n in _SECOND_SAVE}
+    first = standin_tables(spark, sf_dir, list(_SECOND_SAVE))
+    save_catalog(first, targets, paths)
+    second = {}
+    for name, (shift, added) in _SECOND_SAVE.items():
+        key = _key_of(name)
+        second[name] = first[name].withColumn(key, (F.col(key) + shift).cast("long"))
+        for i in range(added):
+            second[name] = second[name].withColumn(f"added_{i}", F.lit(i))
+    # Most rows are written before the write meets the one that cannot be read.
+    last = first["order_header"].agg(F.max("order_id")).first()[0]
+    second["order_header"] = second["order_header"].filter(
+        F.when(F.col("order_id") == last, F.raise_error(F.lit("unreadable content")).cast("boolean"))
+        .otherwise(F.lit(True)))
+    report = save_catalog(second, targets, paths)
+    content = [
+        spark.table(targets[n]).agg(F.count(F.lit(1)).alias("row_count"),
+                                    F.sum(_key_of(n)).cast("bigint").alias("key_sum"))
+        .select(F.lit(n).alias("table_name"), "row_count", "key_sum",
+                F.lit(len(spark.table(targets[n]).columns)).cast("bigint").alias("column_count"))
+        for n in _SECOND_SAVE]
+    status = report.status(spark).select("table_name", "status")
+    return status.join(content[0].unionByName(content[1]).unionByName(content[2]), "table_name")
+
+
+@register("table_restore", "SELECT * FROM orders WHERE o_orderstatus = 'F'")
+def table_restore(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A refresh is taken back: the table's name stands for the version before it again."""
+    orders = _raw(spark, sf_dir, "orders")
+    path = scratch_path(spark, "tables", "orders_restored")
+    overwrite_table(orders.filter(F.col("o_orderstatus") == "F"), "orders_restored", path)
+    overwrite_table(orders.withColumn("wrong", F.lit(1)), "orders_restored", path)
+    restore_table(spark, "orders_restored")
+    return spark.table("orders_restored")
+
+
 # ---------------------------------------------------------------------------
 # Incremental stage load
 # ---------------------------------------------------------------------------

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quayside.session import run_concurrently
+from quayside.sinks.versions import replace_table
 from quayside.sources.jdbc import jdbc_options
 
 log = logging.getLogger(__name__)
@@ -27,27 +28,23 @@ def overwrite_table(
     bucket_key: str | None = None,
     buckets: int | None = None,
 ) -> str:
-    """Replace a catalog table's content (and schema) with ``df``.
+    """Replace a catalog table's content (and schema) with ``df``, or leave both.
+
+    A failing write leaves the old table (see ``sinks.versions``); ``path`` is the folder
+    of the table's versions.
 
     With ``bucket_key`` and ``buckets`` the table is hash-bucketed and sorted on
     that key, so later joins and aggregates on the key read it co-partitioned
     without a shuffle.  A bucket is read by one task, whatever its size: the caller
     states a count that fits the table, and leaves it out (the default: no buckets,
-    joins shuffle and AQE splits hot keys) where one key holds much of it.  Rows are first distributed on the key, into as many partitions
-    as buckets, so each task writes one file per bucket it owns instead of
-    one per bucket and task.  The distribution is a *rebalance*: AQE splits a
-    partition swollen by a hot key over several tasks (that bucket then has
-    several files, which bucketed reads allow), so a key holding a third of
-    the rows is not written by one task.
+    joins shuffle and AQE splits hot keys) where one key holds much of it.  Rows are
+    first distributed on the key, into as many partitions as buckets, so each task
+    writes one file per bucket it owns instead of one per bucket and task.  The
+    distribution is a *rebalance*: AQE splits a partition swollen by a hot key over
+    several tasks (that bucket then has several files, which bucketed reads allow),
+    so a key holding a third of the rows is not written by one task.
     """
-    bucketed = bool(bucket_key and buckets)
-    writer_df = df.hint("rebalance", buckets, bucket_key) if bucketed else df
-    writer = writer_df.write.mode("overwrite").format(fmt)
-    if path:
-        writer = writer.option("path", path)
-    if bucketed:
-        writer = writer.bucketBy(buckets, bucket_key).sortBy(bucket_key)
-    writer.saveAsTable(table)
+    replace_table(df, table, path, fmt, bucket_key, buckets)
     return table
 
 

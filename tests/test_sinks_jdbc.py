@@ -163,7 +163,7 @@ def test_bucketed_write_splits_a_hot_key(spark, tmp):
             else:
                 spark.conf.set(k, v)
     hot_bucket = spark.range(1).select(F.expr("pmod(hash(CAST(7 AS BIGINT)), 4)")).first()[0]
-    files = glob.glob(f"{tmp}/hot/*_{hot_bucket:05d}.c000*.parquet")
-    assert len(files) > 1, (hot_bucket, sorted(glob.glob(f"{tmp}/hot/*")))
+    files = glob.glob(f"{tmp}/hot/*/*_{hot_bucket:05d}.c000*.parquet")
+    assert len(files) > 1, (hot_bucket, sorted(glob.glob(f"{tmp}/hot/*/*")))
     assert spark.table("bk_hot").count() == 60_000
     assert spark.table("bk_hot").filter("order_id = 7").count() == 20_001  # every third id, and id 7
