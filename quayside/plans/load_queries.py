@@ -26,6 +26,11 @@ from quayside.sources.csv import ddl_of, read_csv, read_csv_gz, write_stage
 from quayside.specs import RAW_FOLDERS, TableSpec, pos_catalog
 from quayside.sources.workbook import read_workbook_cells, sheet_frame, stage_cells
 from quayside.sources.workbook import sheet_tables as workbook_sheet_tables
+from quayside.streaming.member_state import MemberState
+from quayside.streaming.recorded_load import (
+    BATCH, FILE, RecordedLoad, load_history, read_recorded, record_batch, reload_changed_files,
+    run_recorded_load,
+)
 from quayside.streaming.stage_load import (
     StageLoad, read_loaded, run_stage_load, run_stage_loads, stage_loads,
 )
@@ -339,6 +344,139 @@ def stage_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_loaded(spark, load)
 
 
+#: Order states in the order in which their files arrive.
+_DROPS = ("F", "O", "P")
+
+
+def _recorded(spark: SparkSession, orders: DataFrame, name: str) -> RecordedLoad:
+    root = scratch_path(spark, "recorded", name)
+    return RecordedLoad(
+        StageLoad(source=f"{root}/stage/*", schema=ddl_of(orders), target=f"{root}/rows",
+                  checkpoint=f"{root}/checkpoint"),
+        history=f"{root}/history")
+
+
+def _drop_folder(load: RecordedLoad, state: str) -> str:
+    return load.stage.source.replace("*", f"drop_{state}")
+
+
+def _replace_file(spark: SparkSession, source: str, folder: str) -> None:
+    """Put the one data file of ``source`` in the place of the one in ``folder``."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    files = []
+    for path in (source, folder):
+        at = jvm.org.apache.hadoop.fs.Path(path)
+        fs = at.getFileSystem(conf)
+        files += [f.getPath() for f in fs.listStatus(at) if f.getPath().getName().startswith("part-")]
+    new, old = files
+    jvm.org.apache.hadoop.fs.FileUtil.copy(fs, new, fs, old, False, True, conf)
+
+
+def _arrive(orders: DataFrame, load: RecordedLoad, state: str) -> None:
+    write_stage(orders.filter(F.col("o_orderstatus") == state), _drop_folder(load, state))
+
+
+def _change_in_place(load: RecordedLoad, orders: DataFrame, state: str) -> None:
+    """Files of a drop get new content under their old names: amounts and customers change."""
+    new = read_csv(orders.sparkSession, _drop_folder(load, state), schema=load.stage.schema) \
+        .withColumn("o_totalprice", F.col("o_totalprice") * 2) \
+        .withColumn("o_custkey", F.when(F.col("o_orderkey") % 3 == 0, 1).otherwise(F.col("o_custkey"))
+                    .cast(orders.schema["o_custkey"].dataType))
+    changed = scratch_path(orders.sparkSession, "stage", "changed")
+    write_stage(new.coalesce(1), changed)
+    _replace_file(orders.sparkSession, changed, _drop_folder(load, state))
+
+
+_CHANGED_ORDERS = (
+    "changed AS (SELECT * REPLACE (CASE WHEN o_orderstatus = 'P' THEN o_totalprice * 2 "
+    "ELSE o_totalprice END AS o_totalprice, CASE WHEN o_orderstatus = 'P' AND o_orderkey % 3 = 0 "
+    "THEN 1 ELSE o_custkey END AS o_custkey) FROM orders)")
+
+
+@register("load_history", """
+SELECT 'drop_' || o_orderstatus AS folder, CAST(1 AS BIGINT) AS n_batches, false AS superseded,
+       count(*) AS row_count, count(*) AS rows_read
+FROM orders GROUP BY o_orderstatus
+UNION ALL
+SELECT 'drop_P', 1, true, count(*), 0 FROM orders WHERE o_orderstatus = 'P'
+""")
+def load_history_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the history says of three drops, a batch written twice and a file that changed,
+    beside the rows that the target then has of each folder."""
+    orders = _raw(spark, sf_dir, "orders")
+    load = _recorded(spark, orders, "history")
+    for state in _DROPS:
+        _arrive(orders.coalesce(1) if state == "P" else orders, load, state)
+        run_recorded_load(spark, load)
+    run_recorded_load(spark, load)  # nothing new
+    first = read_recorded(spark, load).filter(F.col(BATCH) == "s000000000").drop(BATCH)
+    record_batch(spark, load, stored_rows(spark, first), "s000000000")  # as after a lost driver
+    _change_in_place(load, orders, "P")
+    reload_changed_files(spark, load)
+    folder = F.element_at(F.split(FILE, "/"), -2)
+    read = read_recorded(spark, load).groupBy(folder.alias("folder")).agg(
+        F.count(F.lit(1)).alias("n"))
+    return load_history(spark, load).groupBy(folder.alias("folder"), "superseded").agg(
+        F.countDistinct(BATCH).alias("n_batches"), F.sum("row_count").alias("row_count")
+    ).join(read, "folder").select(
+        "folder", "n_batches", "superseded", "row_count",
+        F.when(F.col("superseded"), 0).otherwise(F.col("n")).alias("rows_read"))
+
+
+def stored_rows(spark: SparkSession, df: DataFrame) -> DataFrame:
+    path = scratch_path(spark, "tables", "copy")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def _loyalty_after(states: int, orders: str = "orders") -> str:
+    wanted = ", ".join(f"'{s}'" for s in _DROPS[:states])
+    sql = ORACLES["loyalty_metrics"]
+    select = sql[sql.rindex("SELECT cl."):]
+    return (f"SELECT CAST({len(_DROPS) + 1 if orders == 'changed' else states} AS INTEGER) AS step, "
+            f"* FROM ({select.replace('order_header', f'{orders}_{states}')})", wanted)
+
+
+def _loyalty_steps_sql() -> str:
+    ctes, parts = [_CHANGED_ORDERS], []
+    for states, orders in ((1, "orders"), (2, "orders"), (3, "orders"), (3, "changed")):
+        select, wanted = _loyalty_after(states, orders)
+        ctes.append(f"{orders}_{states} AS (SELECT o_custkey AS customer_id, o_totalprice, "
+                    f"o_orderpriority FROM {orders} WHERE o_orderstatus IN ({wanted}))")
+        parts.append(select)
+    return standin_sql_ctes() + ",\n" + ",\n".join(ctes) + "\n" + "\nUNION ALL\n".join(parts)
+
+
+@register("loyalty_kept_up", _loyalty_steps_sql())
+def loyalty_kept_up(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The loyalty metrics after each of three drops and after a file changed in place.
+
+    Each step reads its own files only; the state is compacted after the second drop.
+    """
+    orders = _raw(spark, sf_dir, "orders")
+    members = standin_tables(spark, sf_dir, ["customer_loyalty"])["customer_loyalty"]
+    load = _recorded(spark, orders, "loyalty")
+    b = views.STANDIN_LOYALTY
+    state = MemberState(scratch_path(spark, "tables", "member_state"), load, "o_custkey",
+                        b.amount_col, b.set_col)
+    steps = []
+    for step, name in enumerate((*_DROPS, "changed"), 1):
+        if name == "changed":
+            _change_in_place(load, orders, _DROPS[-1])
+            reload_changed_files(spark, load, state.on_batch)
+        else:
+            _arrive(orders.coalesce(1) if name == "P" else orders, load, name)
+            run_recorded_load(spark, load, state.on_batch)
+        if step == 2:
+            state.compact(spark)
+        metrics = state.metrics(members, b.member_key, b.group_cols)
+        steps.append(stored_rows(spark, metrics.select(F.lit(step).alias("step"), "*")))
+    out = steps[0]
+    for s in steps[1:]:
+        out = out.unionByName(s)
+    return out
+
+
 # ---------------------------------------------------------------------------
 # Type inference, semi-structured column
 # ---------------------------------------------------------------------------
