@@ -23,6 +23,7 @@ from quayside.sinks.tables import overwrite_table, run_concurrently, save_catalo
 from quayside.sinks.versions import restore_table
 from quayside.sources.catalog import load_catalog
 from quayside.sources.csv import ddl_of, read_csv, read_csv_gz, write_stage
+from quayside.sources.rejects import LoadedRows, load_with_rejects, reject_counts
 from quayside.specs import RAW_FOLDERS, TableSpec, pos_catalog
 from quayside.sources.workbook import read_workbook_cells, sheet_frame, stage_cells
 from quayside.sources.workbook import sheet_tables as workbook_sheet_tables
@@ -107,6 +108,73 @@ def csv_dir_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_csv(spark, path, schema=ddl_of(part))
 
 
+#: Planted faults by order key: (condition, reason); the same expressions in Spark and SQL.
+_FAULTS = (
+    ("o_orderkey % 23 = 0", "short"), ("o_orderkey % 29 = 0 AND o_orderkey % 23 <> 0", "long"),
+    ("o_orderkey % 17 = 0", "bad o_totalprice"),
+    ("o_orderkey % 19 = 0 AND o_orderkey % 23 <> 0", "bad o_orderdate"),
+)
+
+
+def _faulty_line(day: str) -> str:
+    """Text of an order's line, with the faults of its key."""
+    return (
+        "concat(CAST(o_orderkey AS STRING), ',', CAST(o_custkey AS STRING), ',', o_orderstatus, ',', "
+        "CASE WHEN o_orderkey % 17 = 0 THEN 'n/a' "
+        "ELSE CAST(CAST(o_totalprice AS DECIMAL(15,2)) AS STRING) END, "
+        "CASE WHEN o_orderkey % 23 = 0 THEN '' ELSE concat(',', "
+        f"CASE WHEN o_orderkey % 19 = 0 THEN '2001-13-45' ELSE {day} END, ',', o_orderpriority) END, "
+        "CASE WHEN o_orderkey % 29 = 0 AND o_orderkey % 23 <> 0 THEN ',extra' ELSE '' END)")
+
+
+def _faulty_orders(spark: SparkSession, sf_dir: str) -> LoadedRows:
+    """The orders as text with planted faults, loaded with their rejects."""
+    orders = _raw(spark, sf_dir, "orders")
+
+    def write() -> str:
+        path = scratch_path(spark, "stage", "faulty")
+        orders.select(F.expr(_faulty_line("date_format(o_orderdate, 'yyyy-MM-dd')"))).write.text(path)
+        return path
+
+    path = _staged_once(spark, sf_dir, "faulty_orders", write)
+    return load_with_rejects(spark, path, ddl_of(orders), scratch_path(spark, "tables", "checked"),
+                             header=False)
+
+
+_SQL_DAY = "strftime(o_orderdate, '%Y-%m-%d')"
+_ANY_FAULT = " OR ".join(f"({c})" for c, _ in _FAULTS)
+
+
+@register("reject_counts", "\nUNION ALL\n".join(
+    f"SELECT 'orders' AS table_name, '{reason}' AS reason, count(*) AS row_count FROM orders "
+    f"WHERE {condition}"
+    for condition, reason in (("true", "rows"), (_ANY_FAULT, "rejected"), *_FAULTS)))
+def reject_counts_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reject_counts(spark, {"orders": _faulty_orders(spark, sf_dir)})
+
+
+@register("rejected_rows", f"""
+SELECT {_faulty_line(_SQL_DAY)} AS line, concat_ws(', ', {', '.join(
+    f"CASE WHEN {c} THEN '{r}' END" for c, r in _FAULTS)}) AS reasons
+FROM orders WHERE {_ANY_FAULT}""")
+def rejected_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rejects = _faulty_orders(spark, sf_dir).rejects(spark)
+    return rejects.select("line", F.array_join("reasons", ", ").alias("reasons"))
+
+
+@register("rows_with_faults", """
+SELECT o_orderkey, o_custkey, o_orderstatus,
+       CASE WHEN o_orderkey % 17 <> 0 THEN CAST(CAST(o_totalprice AS DECIMAL(15,2)) AS DOUBLE) END
+         AS o_totalprice,
+       CASE WHEN o_orderkey % 19 <> 0 AND o_orderkey % 23 <> 0
+            THEN CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP) END AS o_orderdate,
+       CASE WHEN o_orderkey % 23 <> 0 THEN o_orderpriority END AS o_orderpriority
+FROM orders""")
+def rows_with_faults(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The load itself: every row is there, with nulls for what could not be read."""
+    return _faulty_orders(spark, sf_dir).table(spark)
+
+
 # ---------------------------------------------------------------------------
 # Catalog load / save, typed raw tables
 # ---------------------------------------------------------------------------
