@@ -11,13 +11,19 @@ task keeps its n best rows and one last task merges them - n rows times the
 number of input partitions, which grows with the data (20,000 x 500,000
 splits is ten billion rows in one task).  ``limit_ordered`` therefore cuts the
 first sort key before the merge (see ``limit_ordered``).
+
+Through an inner join no limit is pushed: ``join(...).limit(n)`` shuffles the whole fact
+table first.  ``limit_joined`` joins a prefix of the fact and takes more of it until the
+cap is reached.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -117,6 +123,71 @@ def _top_n(df: DataFrame, n: int, cols: Sequence[str], sample_rows: int) -> Data
     return head.unionByName(rest).orderBy(*_order(cols)).limit(n)
 
 
+#: Fact rows joined first for each wanted row, and by how much the prefix then grows.
+PREFIX_SLACK = 2
+PREFIX_GROWTH = 4
+
+
+@dataclass(frozen=True)
+class Capped:
+    """Rows of a capped query, and what each attempt joined: (files or None, fact rows)."""
+
+    rows: DataFrame
+    attempts: tuple[tuple[int | None, int], ...]
+
+
+def _rows_seen(seen: Observation) -> int:
+    """Rows of an observed part; none where the optimizer found that it need not be read."""
+    try:
+        return int(seen.get["rows"])
+    except Py4JJavaError:
+        return 0
+
+
+def limit_joined(
+    fact: DataFrame,
+    join: Callable[[DataFrame], DataFrame],
+    n: int,
+    path: str,
+    read: Callable[[list[str]], DataFrame] | None = None,
+) -> Capped:
+    """``join(fact).limit(n)``: any ``n`` rows of the join, all of them if there are fewer.
+
+    ``join`` must give each fact row's results from that row alone (inner or left joins from
+    the fact, filters, projections), so rows of a part of the fact are rows of the whole.
+    The first attempt joins ``PREFIX_SLACK * n`` fact rows of the first file, the next ones
+    whole files, ``PREFIX_GROWTH`` times as many each time, and the last one the whole fact,
+    whose result is final.  So a join that keeps most rows reads a bounded part of the fact, and
+    one that drops nearly all reads at most a third more than the whole.  Each attempt's
+    result is written below ``path`` and counted there; what is counted is returned.
+
+    ``read`` reads some of the fact's files as ``fact`` reads them all (default: its files
+    as Parquet under its schema).
+    """
+    spark = fact.sparkSession
+    files = sorted(fact.inputFiles())
+    read = read or (lambda some: spark.read.schema(fact.schema).parquet(*some))
+    attempts: list[tuple[int | None, int]] = []
+    steps: list[tuple[int | None, DataFrame]] = []
+    if files:
+        steps.append((1, read(files[:1]).limit(PREFIX_SLACK * n)))
+        taken = 1
+        while taken * PREFIX_GROWTH <= len(files):
+            steps.append((taken, read(files[:taken])))
+            taken *= PREFIX_GROWTH
+    for i, (taken, part) in enumerate([*steps, (None, fact)]):
+        seen = Observation()
+        part = part.observe(seen, F.count(F.lit(1)).alias("rows"))
+        target = f"{path.rstrip('/')}/attempt_{i}"
+        capped = join(part).limit(n)
+        capped.write.mode("overwrite").parquet(target)
+        rows = spark.read.schema(capped.schema).parquet(target)
+        attempts.append((taken, _rows_seen(seen)))
+        if taken is None or rows.count() >= n:
+            break
+    return Capped(rows, tuple(attempts))
+
+
 def preview(df: DataFrame, n: int = PREVIEW_ROWS) -> list:
     """The first ``n`` rows for a log line (reads only as far as needed)."""
     return df.take(n)

@@ -19,11 +19,12 @@ from quayside.operators.aggregates import row_counts
 from quayside.operators.columns import complete_columns
 from quayside.operators.joins import FACT_HINT, Chain, Join, join_chain
 from quayside.operators.limits import (
-    QUERY_LOAD_CAP, WIDE_TABLE_CAP, limit_ordered, limit_rows,
+    PREFIX_SLACK, QUERY_LOAD_CAP, WIDE_TABLE_CAP, limit_joined, limit_ordered, limit_rows,
 )
 from quayside.operators.profile import catalog_null_profile
 from quayside.plans import views
-from quayside.plans.standins import read_source, standin_sql_ctes, standin_tables
+from quayside.plans.standins import KEY_RENAMES, read_source, standin_sql_ctes, standin_tables
+from quayside.session import scratch_path
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -491,5 +492,51 @@ def limit_query_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     return limit_ordered(od, QUERY_LOAD_CAP, _LINE_ORDER)
 
 
+def _inner_chain(spark: SparkSession, sf_dir: str, odd_trucks: bool = False):
+    """The fact and what the harmonised orders view joins to it.
+
+    With ``odd_trucks`` all but one truck in 50 have keys that no line has.
+    """
+    tables = standin_tables(spark, sf_dir)
+    if odd_trucks:
+        tables["truck"] = tables["truck"].withColumn("truck_id", F.expr(
+            "CASE WHEN truck_id % 50 = 1 THEN truck_id ELSE -truck_id - 1 END"))
+
+    def join(lines: DataFrame) -> DataFrame:
+        return views.orders_view({**tables, "order_detail": lines}, views.STANDIN_ORDERS)
+
+    def read(files: list[str]) -> DataFrame:
+        return spark.read.parquet(*files).withColumnsRenamed(KEY_RENAMES["order_detail"][1])
+
+    return tables["order_detail"], join, read
+
+
+@register("limit_joined", standin_sql_ctes() + f"""
+SELECT least(count(*), {QUERY_LOAD_CAP}) AS row_count,
+       least(count(*), {QUERY_LOAD_CAP}) AS rows_of_the_view,
+       least(count(*), {PREFIX_SLACK * QUERY_LOAD_CAP}) AS fact_rows_joined
+FROM ({_ORDERS_WIDE_SQL})
+""")
+def limit_joined_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cap over the joined query: how many rows, how many of them are rows of the whole
+    view, and how many fact rows were joined for that."""
+    fact, join, read = _inner_chain(spark, sf_dir)
+    capped = limit_joined(fact, join, QUERY_LOAD_CAP, scratch_path(spark, "tables", "capped"), read)
+    key = ["order_id", "l_linenumber", "menu_item_id", "truck_id", "l_quantity", "l_extendedprice",
+           "customer_id", "p_name", "s_name", "location_name"]
+    found = capped.rows.select(*key).join(join(fact).select(*key).distinct(), key, "left_semi")
+    return capped.rows.agg(F.count(F.lit(1)).alias("row_count")).crossJoin(
+        found.agg(F.count(F.lit(1)).alias("rows_of_the_view"))
+    ).withColumn("fact_rows_joined", F.lit(sum(n for _, n in capped.attempts)).cast("bigint"))
+
+
+@register("limit_joined_few", standin_sql_ctes() + _ORDERS_WIDE_SQL.replace(
+    "JOIN menu m", "AND t.truck_id % 50 = 1\nJOIN menu m"))
+def limit_joined_few(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A chain that drops nearly all rows: the cap is not reached, every row is returned."""
+    fact, join, read = _inner_chain(spark, sf_dir, odd_trucks=True)
+    return limit_joined(fact, join, QUERY_LOAD_CAP, scratch_path(spark, "tables", "capped"), read).rows
+
+
 # Load-side keys register themselves on import.
 from quayside.plans import load_queries  # noqa: E402,F401

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quayside.session import run_concurrently
-from quayside.sinks.versions import replace_table
+from quayside.sinks.versions import replace_rows, replace_table
 from quayside.sources.jdbc import jdbc_options
 
 log = logging.getLogger(__name__)
@@ -48,6 +48,28 @@ def overwrite_table(
     return table
 
 
+def declared_columns(schema: str, types: Mapping[str, str]) -> str:
+    """DDL of a scan schema with the types that the stored table is declared with."""
+    return ", ".join(f"`{f.name}` {types.get(f.name) or f.dataType.simpleString()}"
+                     for f in T.StructType.fromDDL(schema).fields)
+
+
+def write_declared(df: DataFrame, table: str, columns: str, path: str | None = None) -> str:
+    """Replace a table's rows under a declared definition; text becomes VARIANT as JSON.
+
+    Money gets its declared scale; a number beyond its digits, a text beyond its length or
+    text that is not JSON is an error, and the table keeps what it had.
+    """
+    variants = {f.name for f in T.StructType.fromDDL(columns).fields
+                if isinstance(f.dataType, T.VariantType)}
+    df = df.select(*[
+        F.parse_json(F.col(f"`{f.name}`")).alias(f.name)
+        if f.name in variants and isinstance(f.dataType, T.StringType) else F.col(f"`{f.name}`")
+        for f in df.schema.fields])
+    replace_rows(df, table, columns, path)
+    return table
+
+
 @dataclass
 class SaveReport:
     saved: dict[str, str] = field(default_factory=dict)
@@ -82,8 +104,14 @@ def save_catalog(
     buckets: int | None = None,
     observe_nulls: bool = False,
     workers: int = CONCURRENT_WRITES,
+    columns_of: Mapping[str, str] | None = None,
 ) -> SaveReport:
-    """Overwrite one target per table; a failing table does not stop the rest."""
+    """Overwrite one target per table; a failing table keeps its old rows and does not
+    stop the rest.
+
+    ``columns_of`` states the definition of a table (``declared_columns``); values that
+    do not fit it make that table fail.  Others take the types of their rows.
+    """
     report = SaveReport()
     observations: dict[str, tuple[Observation, list[str]]] = {}
     jobs = {}
@@ -97,6 +125,10 @@ def save_catalog(
                 *[F.count_if(F.col(f"`{c}`").isNull()).alias(f"n{i}")
                   for i, c in enumerate(df.columns)],
             )
+        if columns := (columns_of or {}).get(name):
+            jobs[name] = (lambda df=df, name=name, columns=columns: write_declared(
+                df, target_of[name], columns, (path_of or {}).get(name)))
+            continue
         jobs[name] = (lambda df=df, name=name: overwrite_table(
             df,
             target_of[name],

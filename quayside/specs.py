@@ -8,6 +8,7 @@ once per table.
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass, field
 
 # ---------------------------------------------------------------------------
@@ -61,6 +62,39 @@ COUNTRY_DDL = (
     "city_population STRING"
 )
 
+# Types that a raw table is declared with, where they differ from those of the scan:
+# exact money, codes of a fixed length, whole numbers of stated digits, times, JSON.
+DECLARED_TYPES = {
+    "country": {
+        "country_id": "DECIMAL(18,0)", "iso_currency": "VARCHAR(3)", "iso_country": "VARCHAR(2)",
+        "city_id": "DECIMAL(19,0)",
+    },
+    "franchise": {"franchise_id": "DECIMAL(38,0)"},
+    "location": {"location_id": "DECIMAL(19,0)"},
+    "menu": {
+        "menu_id": "DECIMAL(19,0)", "menu_type_id": "DECIMAL(38,0)",
+        "menu_item_id": "DECIMAL(38,0)", "cost_of_goods_usd": "DECIMAL(38,4)",
+        "sale_price_usd": "DECIMAL(38,4)", "menu_item_health_metrics_obj": "VARIANT",
+    },
+    "truck": {
+        "truck_id": "DECIMAL(38,0)", "menu_type_id": "DECIMAL(38,0)",
+        "franchise_flag": "DECIMAL(38,0)", "year": "DECIMAL(38,0)", "ev_flag": "DECIMAL(38,0)",
+        "franchise_id": "DECIMAL(38,0)",
+    },
+    "order_header": {
+        "order_id": "DECIMAL(38,0)", "truck_id": "DECIMAL(38,0)", "location_id": "DOUBLE",
+        "customer_id": "DECIMAL(38,0)", "shift_id": "DECIMAL(38,0)",
+        "order_currency": "VARCHAR(3)", "order_amount": "DECIMAL(38,4)",
+        "order_total": "DECIMAL(38,4)",
+    },
+    "order_detail": {
+        "order_detail_id": "DECIMAL(38,0)", "order_id": "DECIMAL(38,0)",
+        "menu_item_id": "DECIMAL(38,0)", "line_number": "DECIMAL(38,0)",
+        "quantity": "DECIMAL(5,0)", "unit_price": "DECIMAL(38,4)", "price": "DECIMAL(38,4)",
+    },
+    "customer_loyalty": {"customer_id": "DECIMAL(38,0)", "children_count": "STRING"},
+}
+
 # Table name -> folder below the stage root.
 RAW_FOLDERS = {
     "order_detail": "raw_pos/order_detail/",
@@ -151,6 +185,11 @@ class TableSpec:
         return f"{root.rstrip('/')}/{self.folder.lstrip('/')}"
 
 
+def ddl_columns(ddl: str) -> list[tuple[str, str]]:
+    """(name, type) of the columns of a flat DDL, without a session."""
+    return re.findall(r"`?(\w+)`? (\w+(?:\([\d, ]+\))?)", ddl)
+
+
 def pos_catalog(header: bool = True) -> dict[str, TableSpec]:
     """The eight raw point-of-sale tables with their declared schemas."""
     ddl = {
