@@ -16,21 +16,25 @@ The page's own vote is taken out of the host's counts, so no evidence counts twi
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quayside.llm.common import U, mixed, prepare, slices, stored, text_column
-from quayside.llm.labelled import texts_of
+from quayside.llm.labelled import TEXTS_PER_ID
 
 BUCKETS = 1 << 18
-#: Texts of a language in the training sample, at most; languages at most.
+#: Ids of a language in the training sample, at most.
 MAX_ROWS = 500
-MAX_LANGUAGES = 64
+#: Sampled ids that are broadcast; beyond that the planner joins them as it sees fit.
+MAX_PICKED = 1_000_000
+#: Entries of the model that a task looks up at a time.
+LOOKUPS = 4_000_000
 TEMPER = 4.0
 MOST = 400
 #: Weight of the level above in a smoothed prior; added count of a frequency.
@@ -43,8 +47,33 @@ _TABLE = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else
 
 @dataclass(frozen=True)
 class Model:
+    """Trigram log-likelihoods of any number of languages, by bucket.
+
+    ``begin[b]:begin[b + 1]`` are the entries of bucket b: languages in which it was seen,
+    and by how much its log-likelihood exceeds that of an unseen trigram (``unseen``).
+    """
+
     languages: list[str]
-    loglik: np.ndarray  # buckets x languages
+    begin: np.ndarray
+    language: np.ndarray
+    loglik: np.ndarray
+    unseen: np.ndarray
+
+    def scores(self, bucket: np.ndarray, first: np.ndarray) -> np.ndarray:
+        """Log-likelihood of each text (its trigrams are ``bucket[first[i]:first[i + 1]]``)."""
+        k, n = len(self.languages), np.diff(first)
+        text = np.repeat(np.arange(len(n)), n)
+        key, times = np.unique(text * BUCKETS + bucket, return_counts=True)
+        text, bucket = key // BUCKETS, key % BUCKETS
+        size = self.begin[bucket + 1] - self.begin[bucket]
+        out = np.zeros(len(n) * k)
+        for a, b in slices(size, LOOKUPS):
+            own = size[a:b]
+            at = np.repeat(self.begin[bucket[a:b]] - (np.cumsum(own) - own), own)
+            at += np.arange(len(at))
+            out += np.bincount(np.repeat(text[a:b], own) * k + self.language[at],
+                               self.loglik[at] * np.repeat(times[a:b], own), len(out))
+        return out.reshape(len(n), k) + n[:, None] * self.unseen
 
 
 def trigrams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -62,29 +91,54 @@ def trigrams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return h[np.flatnonzero(inside)].astype(np.int64), np.concatenate([[0], np.cumsum(n)])
 
 
+def _trigram_counts(batches: Iterator[pa.RecordBatch]):
+    for batch in batches:
+        texts, lang = batch.column("text").to_pylist(), batch.column("lang").to_pylist()
+        for a, b in slices([len(t) for t in texts]):
+            names = sorted(set(lang[a:b]))
+            bucket, first = trigrams(texts[a:b])
+            own = np.repeat([names.index(x) for x in lang[a:b]], np.diff(first))
+            key, n = np.unique(own.astype(np.int64) * BUCKETS + bucket, return_counts=True)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(names, pa.string()).take(pa.array(key // BUCKETS)),
+                 pa.array((key % BUCKETS).astype(np.int32)), pa.array(n)], ["lang", "bucket", "n"])
+
+
 def train(docs: DataFrame, max_rows: int = MAX_ROWS) -> Model:
-    """Trigram frequencies of each language in the texts of at most ``max_rows`` ids of it.
+    """Trigram frequencies of every language in the texts of at most ``max_rows`` ids of it.
 
-    A repeated text of an id counts once.  Rows without a language or id are no samples.  No sample at all gives a model without
-    languages, by which every page's language is null.
+    All languages are sampled and counted by one job each; the counts, at most ``BUCKETS``
+    of a language, come to the driver.  A repeated text of an id counts once, and an id has at
+    most ``TEXTS_PER_ID`` texts.  Rows without a language or id are no samples.  No sample at
+    all gives a model without languages, by which every page's language is null.
     """
+    prepare(docs.sparkSession)
     known = docs.select(F.col("doc_id"), F.col("lang").cast("string").alias("lang"),
-                        text_column(docs).alias("text")).filter("lang is not null")
-    names = [r["lang"] for r in known.groupBy("lang").agg(F.count("*").alias("n"))
-             .orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES).collect()]
-    names.sort()
-    counts = np.full((BUCKETS, len(names)), ADDED / 64)
-    for i, name in enumerate(names):
-        own = known.filter(F.col("lang") == name)
-        picked = own.select("doc_id").filter("doc_id is not null").distinct() \
-            .orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows)
-        # Bounded: max_rows numbers, and as many times TEXTS_PER_ID texts.
-        rows = texts_of(own, picked)
-        for r in rows.select("text").toLocalIterator():
-            bucket, _ = trigrams([r["text"]])
-            np.add.at(counts[:, i], bucket, 1.0)
-    loglik = np.log(counts / counts.sum(axis=0)) if names else counts
-    return Model(names, loglik.astype(np.float32))
+                        text_column(docs).alias("text")) \
+        .filter("lang is not null and doc_id is not null")
+    by_hash = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
+    picked = stored(known.select("lang", "doc_id").distinct()
+                    .withColumn("_n", F.row_number().over(by_hash))
+                    .filter(F.col("_n") <= max_rows).drop("_n"), "language_ids")
+    names = sorted(r["lang"] for r in picked.select("lang").distinct().collect())
+    if picked.count() <= MAX_PICKED:
+        picked = F.broadcast(picked)
+    by_id = Window.partitionBy("lang", "doc_id").orderBy(F.xxhash64("text"), "text")
+    texts = known.join(picked, ["lang", "doc_id"]).distinct() \
+        .withColumn("_n", F.row_number().over(by_id)).filter(F.col("_n") <= TEXTS_PER_ID)
+    counts = texts.select("lang", "text").mapInArrow(
+        _trigram_counts, "lang string, bucket int, n long").groupBy("lang", "bucket") \
+        .agg(F.sum("n").alias("n")).toArrow()
+    index = {name: i for i, name in enumerate(names)}
+    language = np.array([index[x] for x in counts.column("lang").to_pylist()], np.int32)
+    bucket = counts.column("bucket").to_numpy().astype(np.int64)
+    n = counts.column("n").to_numpy().astype(np.float64)
+    rest = ADDED / 64  # of every bucket
+    total = np.bincount(language, n, len(names)) + BUCKETS * rest
+    at = np.lexsort((language, bucket))
+    gain = np.log((n[at] + rest) / rest)
+    return Model(names, np.searchsorted(bucket[at], np.arange(BUCKETS + 1)), language[at],
+                 gain, np.log(rest / total))
 
 
 def visible_text(html: Column) -> Column:
@@ -102,10 +156,7 @@ def _text_scores(batches: Iterator[pa.RecordBatch], model):
             bucket, first = trigrams(texts[a:b])
             n = np.maximum(1, np.diff(first))
             weight = np.minimum(n, MOST) / n / TEMPER
-            scores = np.zeros((b - a, k))
-            for j in range(k):
-                sums = np.concatenate([[0.0], np.cumsum(model.value.loglik[bucket, j], dtype=np.float64)])
-                scores[:, j] = np.diff(sums[first]) * weight
+            scores = model.value.scores(bucket, first) * weight[:, None]
             flat = pa.array(scores.ravel())
             at = pa.array(np.arange(b - a + 1, dtype=np.int32) * k)
             best = scores.argmax(axis=1) if k else np.zeros(b - a, np.int64)
@@ -118,9 +169,11 @@ def _text_scores(batches: Iterator[pa.RecordBatch], model):
 
 def _counts(rows: DataFrame, by: list[str], k: int, name: str) -> DataFrame:
     """Votes per language, as an array, for each value of ``by``."""
-    sums = [F.sum((F.col("vote") == i).cast("long")) for i in range(k)]
-    return rows.groupBy(*by).agg(F.array(*sums).alias(name)) if by else \
-        rows.agg(F.array(*sums).alias(name))
+    votes = rows.groupBy(*by, "vote").agg(F.count("*").alias("n"))
+    entries = F.map_from_entries(F.collect_list(F.struct("vote", "n")))
+    votes = votes.groupBy(*by).agg(entries.alias("m")) if by else votes.agg(entries.alias("m"))
+    return votes.select(*by, F.transform(F.sequence(F.lit(0), F.lit(k - 1)), lambda i: F.coalesce(
+        F.try_element_at("m", i), F.lit(0))).alias(name))
 
 
 def _smoothed(own: Column, above: Column) -> Column:
@@ -164,7 +217,7 @@ def identify(pages: DataFrame, model: Model, key: str = "page_id") -> DataFrame:
     by_domain = _counts(rows, ["domain", "suffix"], k, "n_domain")
     by_host = _counts(rows, ["host", "domain", "suffix"], k, "n_host")
     by_declared = _counts(rows, ["declared"], k, "n_declared")
-    flat = F.array(*[F.lit(1.0 / k)] * k)
+    flat = F.array_repeat(F.lit(1.0 / k), k)
     prior = by_host.join(by_domain, ["domain", "suffix"]).join(by_suffix, "suffix") \
         .crossJoin(F.broadcast(everything))  # one row
     prior = prior.select("host", "n_host", "n_all", "n_suffix", _smoothed(
@@ -183,8 +236,9 @@ def identify(pages: DataFrame, model: Model, key: str = "page_id") -> DataFrame:
         suffix = F.log((F.element_at("n_suffix", i + 1) - own + ADDED) / votes)
         return F.element_at("loglik", i + 1) + F.log(host_prior) + said + suffix
 
-    names = F.array(*[F.lit(x) for x in model.languages])
-    scored = joined.withColumn("score", F.array(*[evidence(i) for i in range(k)]))
+    names = F.from_json(F.lit(json.dumps(model.languages)), F.lit("array<string>"))
+    scored = joined.withColumn(
+        "score", F.transform(F.sequence(F.lit(0), F.lit(k - 1)), evidence))
     top = F.array_max("score")
     spread = F.aggregate("score", F.lit(0.0), lambda acc, s: acc + F.exp(s - top))
     return scored.select(
