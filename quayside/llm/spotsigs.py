@@ -14,7 +14,9 @@ a prefix of each sorted set.
 
 from __future__ import annotations
 
+import json
 import math
+from collections import Counter
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
@@ -28,8 +30,10 @@ REACH = 8
 HASHED = 4
 #: Documents per bucket when each document is paired with the next one.
 BUCKET_ROWS = 1000
-#: Buckets at most; the bucket table is broadcast (24 bytes each).
+#: Buckets at most; the table of their first rows is broadcast (32 bytes each).
 MAX_BUCKETS = 50_000
+#: Keys sampled for each range.
+SAMPLED = 20
 
 # Common words of English, French, German and Spanish.
 COMMON_WORDS = (
@@ -123,41 +127,76 @@ def similar_pairs(sets: DataFrame, threshold: float = 0.8, key: str = "doc_id",
         .filter(F.col("likeness") >= threshold).select("a", "b", "likeness")
 
 
-def with_next(docs: DataFrame, columns: list[str], key: str = "doc_id") -> DataFrame:
-    """``docs`` with ``next_<column>`` of the row that follows by descending key.
+def _ranges(docs: DataFrame, key: str, by: Column) -> tuple[Column, int]:
+    """Number of a row's range, lower for later rows in descending order; number of rows.
 
-    After the last row comes the first one; rows of one key follow each other in the
-    order of the first of ``columns``; null keys come last.  Keys are cut into at most
-    ``MAX_BUCKETS`` ranges; each range also gets the first row of the range that follows,
-    so every range finds its next rows by itself and each row is shuffled once or twice.
+    Ranges end at quantiles of a sample of the keys (``SAMPLED`` for each range, 8 bytes each,
+    come to the driver), so they hold about ``BUCKET_ROWS`` rows however the keys are spread.  A key that fills several of them is split by the hash ``by``, the
+    second key of the order, and so are null keys, which come last.
     """
-    rows = docs.agg(F.count("*").alias("n"), F.min(key).alias("low"), F.max(key).alias("high"))
-    n, low, high = rows.first()
-    if not n:
-        return docs.select("*", *[F.col(c).alias(f"next_{c}") for c in columns])
+    n, nulls = docs.agg(F.count("*"), F.count_if(F.col(key).isNull())).first()
     buckets = max(1, min(MAX_BUCKETS, n // BUCKET_ROWS))
-    low, high = low or 0, high or 0
-    width = (high - low) // buckets + 1
-    # The bucket of null keys is the last one of all, in descending order.
-    number = F.coalesce(F.floor((F.col(key) - F.lit(low)) / F.lit(width)).cast("long"), F.lit(-1))
-    order = [F.desc_nulls_last(key), *[F.asc(c) for c in columns[:1]]]
-    placed = docs.withColumn("_bucket", number)
+    x = F.col(key).cast("long")
+    keys = docs.filter(x.isNotNull()).select(x.alias("x")).sample(
+        fraction=min(1.0, SAMPLED * buckets / max(1, n)), seed=9).toArrow()
+    ordered = sorted(keys.column("x").to_pylist())
+    ends = Counter([-(1 << 63), *(ordered[i * len(ordered) // buckets] for i in range(1, buckets))
+                    ] if ordered else [-(1 << 63)])
+    bounds = sorted(ends)
+    listed = lambda values, kind: F.from_json(
+        F.lit(json.dumps(values)), F.lit(f"array<{kind}>"))
+    bound, parts = listed(bounds, "long"), listed([ends[b] for b in bounds], "int")
+    step = math.isqrt(len(bounds)) + 1
+    coarse = listed(bounds[::step], "long")
+    unit = by / F.lit(2.0 ** 64) + 0.5
+    split = lambda n: F.least(F.floor(unit * n).cast("long"), n - F.lit(1).cast("long"))
+
+    def numbered(x):
+        block = F.size(F.filter(coarse, lambda b: b <= x)) - 1
+        at = block * step + F.size(F.filter(F.slice(bound, block * step + 1, F.lit(step)),
+                                            lambda b: b <= x))
+        return _let(at, lambda i: i.cast("long") * (1 << 20) + F.when(
+            F.element_at(bound, i) == x, split(F.element_at(parts, i))).otherwise(
+            F.element_at(parts, i)))
+
+    n_null = F.lit(nulls // BUCKET_ROWS + 1).cast("long")
+    return F.when(F.col(key).isNull(), split(n_null) - n_null).otherwise(_let(x, numbered)), n
+
+
+def with_next(docs: DataFrame, columns: list[str], key: str = "doc_id",
+              derived: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
+    """``derived(docs)`` with ``next_<column>`` of the row that follows by descending key.
+
+    After the last row comes the first one; rows of one key follow each other by descending
+    hash of the first of ``columns``, which is one of ``docs``; null keys come last.  Rows
+    are cut into ranges by ``_ranges``; each range also gets the first row of the range that
+    follows, so every range finds its next rows by itself and each row is shuffled once.
+    ``derived`` adds columns row by row.
+    """
+    named = docs.withColumn("_h", F.xxhash64(columns[0]))
+    number, n = _ranges(named, key, F.col("_h"))
+    if not n:
+        empty = derived(docs)
+        return empty.select("*", *[F.col(c).alias(f"next_{c}") for c in columns])
+    placed = named.withColumn("_bucket", number)
     by_rank = Window.orderBy(F.desc("_bucket"))
-    # At most MAX_BUCKETS + 1 rows: the range whose next range a range is.
-    ranges = placed.groupBy("_bucket").agg(F.max(key).alias("_top")) \
+    # One row for each range: its first row's key and hash, and the range before it.
+    tops = placed.groupBy("_bucket").agg(F.max(F.struct(
+        F.col(key).isNotNull().alias("there"), F.col(key).alias("k"), F.col("_h").alias("h"))).alias("t")) \
         .withColumn("_before", F.lag("_bucket").over(by_rank)) \
-        .withColumn("_last", F.min("_bucket").over(Window.partitionBy())) \
-        .withColumn("_before", F.coalesce("_before", "_last"))
-    placed = placed.join(F.broadcast(ranges.select("_bucket", "_top", "_before")), "_bucket")
-    # Rows of the top key go to the range before as well, behind its own rows.
-    copies = F.when(F.col(key).eqNullSafe(F.col("_top")), F.array(
-        F.struct(F.col("_bucket").alias("b"), F.lit(0).alias("extra")),
-        F.struct(F.col("_before").alias("b"), F.lit(1).alias("extra")))).otherwise(
-        F.array(F.struct(F.col("_bucket").alias("b"), F.lit(0).alias("extra"))))
-    placed = placed.select(*docs.columns, F.explode(copies).alias("_at"))
-    within = Window.partitionBy(F.col("_at.b")).orderBy(F.col("_at.extra"), *order)
-    out = placed.select("*", *[F.lead(c).over(within).alias(f"next_{c}") for c in columns])
-    return out.filter("_at.extra = 0").drop("_at")
+        .withColumn("_before", F.coalesce(
+            "_before", F.min("_bucket").over(Window.partitionBy()))) \
+        .select(F.col("_bucket").alias("_of"), F.col("t.k").alias("_k"), F.col("t.h").alias("_top"),
+                "_before")
+    firsts = placed.join(F.broadcast(tops), (F.col("_bucket") == F.col("_of")) & (
+        F.col("_h") == F.col("_top")) & F.col(key).eqNullSafe(F.col("_k"))) \
+        .dropDuplicates(["_bucket"]).withColumn("_bucket", F.col("_before"))
+    rows = derived(placed).withColumn("_extra", F.lit(0)).unionByName(
+        derived(firsts.select(*placed.columns)).withColumn("_extra", F.lit(1)))
+    within = Window.partitionBy("_bucket").orderBy(
+        "_extra", F.desc_nulls_last(key), F.desc("_h"), F.desc(columns[0]))
+    out = rows.select("*", *[F.lead(c).over(within).alias(f"next_{c}") for c in columns])
+    return out.filter("_extra = 0").drop("_extra", "_bucket", "_h")
 
 
 def edited_and_next(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
@@ -168,8 +207,8 @@ def edited_and_next(docs: DataFrame, text: str = "text", key: str = "doc_id") ->
     A null or empty text has no code points and stays empty.
     """
     base = docs.select(docs[key].cast("long").alias("doc_id"), text_column(docs, text).alias("text"))
-    base = base.withColumn("spots", spots(F.col("text")))
-    paired = with_next(base, ["text", "spots"])
+    paired = with_next(base, ["text", "spots"], derived=lambda df: df.withColumn(
+        "spots", spots(F.col("text"))))
     n = F.length("text")
     third = F.floor(n / 3).cast("int")
     paired = paired.withColumn("n_chars", n.cast("long")).withColumn("edited", F.concat(

@@ -5,6 +5,7 @@ import re
 from collections import defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from quayside.llm import decontaminate, jaccard_join, pii, repeats, spotsigs
 from tests.llm.conftest import WORDS, lowered
@@ -220,3 +221,47 @@ def test_similar_pairs(make, rnd):
             if (len(s), i) < (len(t), j) and len({*s} & {*t}) >= 0.8 * len({*s} | {*t}):
                 expected.add((i, j))
     assert got == expected
+
+
+def followers(rows):
+    """(key, text) -> text of the row that follows, by descending key and any order of equals."""
+    keys = sorted({k for k, _ in rows if k is not None}, reverse=True) + (
+        [None] if any(k is None for k, _ in rows) else [])
+    by_key = {k: sorted(t for x, t in rows if x == k) for k in keys}
+    return keys, by_key
+
+
+@pytest.mark.parametrize("kind", ["even", "hashes", "clusters", "wide", "hot", "nulls", "one"])
+def test_next_rows_of_any_keys(spark, rnd, monkeypatch, kind):
+    monkeypatch.setattr(spotsigs, "BUCKET_ROWS", 20)
+    n = 700
+    ids = {
+        "even": list(range(n)),
+        "hashes": [rnd.randint(-2 ** 63, 2 ** 63 - 1) for _ in range(n)],
+        "clusters": [*range(n - 1), 10 ** 15],
+        "wide": [-2 ** 62 - 5, 5, 2 ** 63 - 1, -2 ** 63, *range(2 ** 62, 2 ** 62 + n)],
+        "hot": [7] * n + list(range(200)),
+        "nulls": [None] * n + list(range(200)),
+        "one": [3],
+    }[kind]
+    rows = [(k, f"text {i % 50 if kind in ('hot', 'nulls') else i}") for i, k in enumerate(ids)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    out = [tuple(r) for r in spotsigs.with_next(df, ["text"]).collect()]
+    assert sorted(out, key=str) and sorted(((k, t) for k, t, _ in out), key=str) == sorted(rows, key=str)
+    keys, by_key = followers(rows)
+    for at, k in enumerate(keys):
+        # The rows of a key form a chain into the first row of the next key.
+        own = [(t, x) for q, t, x in out if q == k]
+        after = by_key[keys[(at + 1) % len(keys)]]
+        outside = sorted(x for _, x in own)
+        inside = sorted(t for t, _ in own)
+        for t in inside:
+            if t in outside:
+                outside.remove(t)
+        assert len(outside) <= 1 and all(x in after for x in outside)
+    # Every text is the next one of just as many rows as have it.
+    assert sorted(x for _, _, x in out) == sorted(t for _, t in rows)
+    ranges = df.withColumn("_h", F.xxhash64("text"))
+    number, _ = spotsigs._ranges(ranges, "doc_id", F.col("_h"))
+    largest = ranges.groupBy(number).count().agg(F.max("count")).first()[0]
+    assert largest <= (140 if kind in ("hot", "nulls") else 60)
