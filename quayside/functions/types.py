@@ -64,36 +64,49 @@ def _fit_mask(text: Column) -> Column:
     )
 
 
-def infer_types(df: DataFrame) -> DataFrame:
-    """(column_name, inferred_type) for every column, from one job.
+def column_fits(df: DataFrame, columns=None, by: str | None = None) -> DataFrame:
+    """(by?, column_name, row_count, null_count, value_count, fit) of text columns, in one job.
 
     Each row is unpivoted into (column index, trimmed text) pairs, and one
-    aggregate grouped by column keeps two numbers per column: how many values
-    there are, and the AND of their fit masks - the candidates *every* value
-    fits.  The first candidate left in that set is the column's type.  The
-    columns are data here, not code: one small expression serves all of them,
-    and both aggregates combine map-side, so a task sends one row per column.
-    Row order of the result is not defined.
+    aggregate grouped by column counts them and keeps the AND of their fit masks -
+    the candidates *every* value fits.  The columns are data here, not code: one small
+    expression serves all of them, and the aggregates combine map-side, so a task sends one
+    row per column (and value of ``by``).
     """
-    names = df.columns
+    names = list(columns or df.columns)
     # The tests are CPU work per value: an input narrower than the cluster
     # (one file, one row group) is spread first; a wide input is left as is.
+    group = [by] if by else []
     pairs = spread_narrow_scan(df).select(
-        F.inline(F.array(*[
+        *group, F.inline(F.array(*[
             F.struct(F.lit(i).alias("i"), F.trim(F.col(f"`{name}`").cast("string")).alias("t"))
             for i, name in enumerate(names)
         ]))
     )
-    counts = pairs.groupBy("i").agg(
-        F.count("t").alias("n"), F.bit_and(_fit_mask(F.col("t"))).alias("fit")
-    )
-    choice = F.when(F.col("n") == 0, F.lit("string"))
-    for t in CANDIDATES:
-        choice = choice.when(F.col("fit").bitwiseAND(F.lit(_BIT[t])) != 0, F.lit(t))
+    counts = pairs.groupBy(*group, "i").agg(
+        F.count(F.lit(1)).alias("row_count"), F.count("t").alias("value_count"),
+        F.bit_and(_fit_mask(F.col("t"))).alias("fit"))
     return counts.select(
-        F.element_at(F.array(*[F.lit(n) for n in names]), F.col("i") + 1).alias("column_name"),
-        choice.otherwise("string").alias("inferred_type"),
-    )
+        *group, F.element_at(F.array(*[F.lit(n) for n in names]), F.col("i") + 1).alias("column_name"),
+        "row_count", (F.col("row_count") - F.col("value_count")).alias("null_count"),
+        "value_count", "fit")
+
+
+def type_choice(value_count: Column, fit: Column) -> Column:
+    """The first candidate left in a mask; string without any value."""
+    choice = F.when(value_count == 0, F.lit("string"))
+    for t in CANDIDATES:
+        choice = choice.when(fit.bitwiseAND(F.lit(_BIT[t])) != 0, F.lit(t))
+    return choice.otherwise("string")
+
+
+def infer_types(df: DataFrame) -> DataFrame:
+    """(column_name, inferred_type) for every column, from one job.
+
+    Row order of the result is not defined.
+    """
+    return column_fits(df).select(
+        "column_name", type_choice(F.col("value_count"), F.col("fit")).alias("inferred_type"))
 
 
 def apply_types(df: DataFrame, types: dict[str, str]) -> DataFrame:

@@ -30,6 +30,7 @@ from quayside.sources.rejects import LoadedRows, load_with_rejects, reject_count
 from quayside.specs import DECLARED_TYPES, RAW_FOLDERS, TableSpec, ddl_columns, pos_catalog
 from quayside.sources.workbook import read_workbook_cells, sheet_frame, stage_cells
 from quayside.sources.workbook import sheet_tables as workbook_sheet_tables
+from quayside.streaming.column_state import ColumnState
 from quayside.streaming.member_state import MemberState
 from quayside.streaming.recorded_load import (
     BATCH, FILE, RecordedLoad, load_history, read_recorded, record_batch, reload_changed_files,
@@ -707,7 +708,7 @@ _ORDERS_COLUMNS = ("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "
 _DERIVED = {"is_open": "o_orderstatus = 'O'", "member_code": "lpad(CAST(o_custkey AS STRING), 12, '0')"}
 
 
-def _infer_sql() -> str:
+def _infer_sql(values: dict[str, str] | None = None, source: str = "orders", extra: str = "") -> str:
     """Inference rules stated in SQL: first type no non-null value fails."""
     rules = {
         "int": "regexp_full_match(trim(s), '[+-]?(0|[1-9][0-9]*)') AND TRY_CAST(trim(s) AS INTEGER) IS NOT NULL",
@@ -721,14 +722,14 @@ def _infer_sql() -> str:
         "boolean": "regexp_full_match(lower(trim(s)), 'true|false')",
     }
     parts = []
-    for c, value in ({c: c for c in _ORDERS_COLUMNS} | _DERIVED).items():
+    for c, value in (values or {c: c for c in _ORDERS_COLUMNS} | _DERIVED).items():
         cases = " ".join(
             f"WHEN count(*) FILTER (WHERE s IS NOT NULL AND NOT ({rule})) = 0 THEN '{t}'"
             for t, rule in rules.items()
         )
         parts.append(
-            f"SELECT '{c}' AS column_name, CASE WHEN count(s) = 0 THEN 'string' {cases} "
-            f"ELSE 'string' END AS inferred_type FROM (SELECT CAST({value} AS VARCHAR) AS s FROM orders)"
+            f"SELECT {extra}'{c}' AS column_name, CASE WHEN count(s) = 0 THEN 'string' {cases} "
+            f"ELSE 'string' END AS inferred_type FROM (SELECT CAST({value} AS VARCHAR) AS s FROM {source})"
         )
     return "\nUNION ALL\n".join(parts)
 
@@ -752,6 +753,83 @@ def variant_column(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: Text columns whose type widens, or which cease to be complete, as drops arrive; the same
+#: expressions in Spark and SQL.
+_DRIFTING = {
+    "key": "CAST(o_orderkey AS VARCHAR(30))",
+    "amount": "CASE WHEN o_orderstatus = 'F' THEN CAST(o_orderkey % 1000 AS VARCHAR(30)) "
+              "WHEN o_orderstatus = 'O' THEN concat(CAST(o_orderkey AS VARCHAR(30)), '5000000000') "
+              "ELSE concat(CAST(o_orderkey AS VARCHAR(30)), '.25') END",
+    "code": "CASE WHEN o_orderstatus = 'P' THEN concat('00', CAST(o_orderkey AS VARCHAR(30))) "
+            "ELSE CAST(o_orderkey AS VARCHAR(30)) END",
+    "day": "CASE WHEN o_orderstatus = 'O' THEN '2001-02-03 04:05:06' ELSE '2001-02-03' END",
+    "note": "CASE WHEN o_orderstatus = 'F' OR o_orderkey % 5 <> 0 THEN 'x' END",
+}
+
+
+def _drifting_sql(select) -> str:
+    """``select(rows of the drops so far, number of drops)`` for each number of drops."""
+    ctes = ", ".join(
+        f"upto_{n} AS (SELECT * FROM orders WHERE o_orderstatus IN "
+        f"({', '.join(repr(s) for s in _DROPS[:n])}))" for n in range(1, len(_DROPS) + 1))
+    return f"WITH {ctes}\n" + "\nUNION ALL\n".join(
+        select(f"upto_{n}", n) for n in range(1, len(_DROPS) + 1))
+
+
+def _drifting_load(spark: SparkSession, sf_dir: str, each):
+    """Load the drops one after the other; the results of ``each(state, load)`` with ``step``."""
+    orders = _raw(spark, sf_dir, "orders")
+    text = orders.select("o_orderstatus", *[F.expr(v).alias(c) for c, v in _DRIFTING.items()])
+    schema = ", ".join(f"{c} string" for c in _DRIFTING)
+    root = scratch_path(spark, "recorded", "drifting")
+    load = RecordedLoad(StageLoad(source=f"{root}/stage/*", schema=schema, target=f"{root}/rows",
+                                  checkpoint=f"{root}/checkpoint"), history=f"{root}/history")
+    state = ColumnState(f"{root}/columns", load, tuple(_DRIFTING))
+    out = None
+    for step, name in enumerate(_DROPS, 1):
+        write_stage(text.filter(F.col("o_orderstatus") == name).drop("o_orderstatus"),
+                    _drop_folder(load, name))
+        run_recorded_load(spark, load, state.on_batch)
+        one = stored_rows(spark, each(state, load).select(F.lit(step).alias("step"), "*"))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+@register("types_kept_up", _drifting_sql(
+    lambda rows, n: _infer_sql(_DRIFTING, rows, f"CAST({n} AS INTEGER) AS step, ")))
+def types_kept_up(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The types after each of three drops, as inference over all rows so far gives them."""
+    return _drifting_load(spark, sf_dir, lambda state, load: state.types(spark))
+
+
+@register("profile_kept_up", _drifting_sql(lambda rows, n: "\nUNION ALL\n".join(
+    f"SELECT CAST({n} AS INTEGER) AS step, '{c}' AS column_name, "
+    f"count(*) FILTER (WHERE {v} IS NULL) AS null_count, count(*) AS row_count FROM {rows}"
+    for c, v in _DRIFTING.items())))
+def profile_kept_up(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The null profile after each of three drops, as one over all rows so far gives it."""
+    return _drifting_load(spark, sf_dir, lambda state, load: state.profile(spark))
+
+
+@register("type_changes", """
+SELECT * FROM (VALUES
+  (1, 'key', NULL, 'int', NULL, true), (1, 'amount', NULL, 'int', NULL, true),
+  (1, 'code', NULL, 'int', NULL, true), (1, 'day', NULL, 'date', NULL, true),
+  (1, 'note', NULL, 'string', NULL, true),
+  (2, 'amount', 'int', 'bigint', true, true), (2, 'day', 'date', 'timestamp_ntz', true, true),
+  (2, 'note', 'string', 'string', true, false),
+  (3, 'amount', 'bigint', 'double', true, true), (3, 'code', 'int', 'string', true, true)
+) AS t(load, column_name, old_type, new_type, was_complete, is_complete)
+JOIN (SELECT count(DISTINCT o_orderstatus) AS n_loads FROM orders) ON true
+""")
+def type_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """With which load a column's type widened or the column ceased to be complete."""
+    found = _drifting_load(spark, sf_dir, lambda state, load: state.changes(spark).crossJoin(
+        load_history(spark, load).agg(F.countDistinct(BATCH).alias("n_loads"))))
+    return found.filter(F.col("step") == len(_DROPS)).drop("step") \
+        .withColumn("sequence", F.col("sequence").cast("int")).withColumnRenamed("sequence", "load")
+
+
 assert set(KEY_RENAMES) >= set(CATALOG_TABLES)
 
 
