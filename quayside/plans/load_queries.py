@@ -50,6 +50,9 @@ def _raw(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 # ---------------------------------------------------------------------------
 
 
+#: Order states in the order in which their files arrive.
+_DROPS = ("F", "O", "P")
+
 # Staged input files, written once per session and data folder (like the
 # catalog's folders below).  They are inputs derived from the test tables; the
 # scans that read them back are the work of each key.
@@ -112,6 +115,22 @@ def csv_dir_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_csv(spark, path, schema=ddl_of(part))
 
 
+@register("csv_mixed_headers", "SELECT * FROM orders")
+def csv_mixed_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A folder of files with and without a header line: every row is there, no header is."""
+    orders = _raw(spark, sf_dir, "orders")
+
+    def write() -> str:
+        path = scratch_path(spark, "stage", "mixed_headers")
+        for state in _DROPS:
+            write_stage(orders.filter(F.col("o_orderstatus") == state), path, header=state != "O",
+                        mode="append")
+        return path
+
+    path = _staged_once(spark, sf_dir, "mixed_headers", write)
+    return read_csv(spark, path, schema=ddl_of(orders), header="auto")
+
+
 #: Planted faults by order key: (condition, reason); the same expressions in Spark and SQL.
 _FAULTS = (
     ("o_orderkey % 23 = 0", "short"), ("o_orderkey % 29 = 0 AND o_orderkey % 23 <> 0", "long"),
@@ -565,10 +584,6 @@ def stage_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_loaded(spark, load)
 
 
-#: Order states in the order in which their files arrive.
-_DROPS = ("F", "O", "P")
-
-
 def _recorded(spark: SparkSession, orders: DataFrame, name: str) -> RecordedLoad:
     root = scratch_path(spark, "recorded", name)
     return RecordedLoad(

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from quayside.functions import names as N
 from quayside.operators.aggregates import row_counts
 from quayside.operators.columns import complete_columns
+from quayside.operators.fanout import chain_bounds
 from quayside.operators.joins import FACT_HINT, Chain, Join, join_chain
 from quayside.operators.limits import (
     PREFIX_SLACK, QUERY_LOAD_CAP, WIDE_TABLE_CAP, limit_joined, limit_ordered, limit_rows,
@@ -538,5 +539,44 @@ def limit_joined_few(spark: SparkSession, sf_dir: str) -> DataFrame:
     return limit_joined(fact, join, QUERY_LOAD_CAP, scratch_path(spark, "tables", "capped"), read).rows
 
 
+_TWICE = "CASE WHEN {key} % 10 = 0 THEN 3 ELSE 1 END"
+
+
+def _fan_out_sql() -> str:
+    """Exact outputs of the chain's steps when one key in ten of two dimensions stands thrice."""
+    return standin_sql_ctes() + f""",
+menu_3 AS (SELECT * FROM menu, range({_TWICE.format(key='menu_item_id')})),
+truck_3 AS (SELECT * FROM truck, range({_TWICE.format(key='truck_id')}))
+SELECT 1 AS step, 'order_header' AS table_name, count(*) AS exact, true AS holds, true AS close
+FROM order_detail JOIN order_header USING (order_id)
+UNION ALL SELECT 2, 'menu', count(*), true, true FROM order_detail JOIN menu_3 USING (menu_item_id)
+UNION ALL SELECT 3, 'truck', count(*), true, true FROM order_detail JOIN truck_3 USING (truck_id)
+UNION ALL SELECT 0, 'chain', count(*), true, true FROM order_detail JOIN order_header USING (order_id)
+JOIN menu_3 USING (menu_item_id) JOIN truck_3 USING (truck_id)
+"""
+
+
+@register("fan_out_bounds", _fan_out_sql())
+def fan_out_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bounds of a chain over dimensions with duplicate keys, beside the exact numbers: no
+    join gives more rows than its bound, and no single join's bound is twice too high."""
+    tables = standin_tables(spark, sf_dir, ["order_detail", "order_header", "menu", "truck"])
+    for name, key in (("menu", "menu_item_id"), ("truck", "truck_id")):
+        times = F.expr(f"sequence(1, {_TWICE.format(key=key)})")
+        tables[name] = tables[name].withColumn("copy", F.explode(times)).drop("copy")
+    steps = [Join("order_header", "order_id"), Join("menu", "menu_item_id"), Join("truck", "truck_id")]
+    bounds = chain_bounds(tables, "order_detail", steps)
+    rows = []
+    for i, ((name, bound, _), step) in enumerate(zip(bounds, steps), 1):
+        exact = tables["order_detail"].select(step.left).join(
+            tables[name].select(step.left), step.left).count()
+        rows.append((i, name, exact, exact <= bound.rows, bound.rows <= 2 * exact))
+    chain = join_chain({n: t.select(*[c for c in t.columns if c in ("order_id", "menu_item_id", "truck_id")])
+                        for n, t in tables.items()}, "order_detail", steps).count()
+    rows.append((0, "chain", chain, chain <= bounds[-1][2], True))
+    return spark.createDataFrame(
+        rows, "step int, table_name string, exact bigint, holds boolean, close boolean")
+
+
 # Load-side keys register themselves on import.
 from quayside.plans import load_queries  # noqa: E402,F401

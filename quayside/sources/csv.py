@@ -4,6 +4,10 @@ Text is converted to the declared types on the scan itself (PERMISSIVE
 mode): a value that does not parse becomes null, a short row is padded with
 nulls, a long row loses its extra fields.  A declared schema is matched to the
 fields by position; the header line of every file is skipped, not used.
+
+``header="auto"`` decides for each file: a line in a file's first block whose fields are the
+declared column names is its header, any other line is a row.  So a folder may hold files
+with and without one, and no file loses its first row.
 """
 
 from __future__ import annotations
@@ -24,14 +28,23 @@ _QUOTING = {"quote": '"', "escape": '"'}
 _READ_DEFAULTS = {"mode": "PERMISSIVE", **_QUOTING}
 
 
+#: The line of a row that the scan could not take as it stands.
+LINE = "__line"
+
+
 def read_csv(
     spark: SparkSession,
     path: str | list[str],
     schema: str | None = None,
-    header: bool = True,
+    header: bool | str = True,
     options: Mapping[str, str] | None = None,
 ) -> DataFrame:
-    """Scan CSV text.  ``schema=None`` reads every column as string."""
+    """Scan CSV text.  ``schema=None`` reads every column as string.
+
+    ``header="auto"`` needs a schema, as only names tell a header from a row.
+    """
+    if header == "auto":
+        return read_lines(spark, path, schema, header, options).drop(LINE)
     reader = spark.read.option("header", "true" if header else "false")
     for key, value in {**_READ_DEFAULTS, **(options or {})}.items():
         reader = reader.option(key, value)
@@ -40,11 +53,40 @@ def read_csv(
     return reader.csv(path)
 
 
+def read_lines(
+    spark: SparkSession,
+    path: str | list[str],
+    schema: str,
+    header: bool | str = True,
+    options: Mapping[str, str] | None = None,
+) -> DataFrame:
+    """The typed scan and ``LINE``: the whole line of a malformed row, else null."""
+    options = {**_READ_DEFAULTS, **(options or {})}
+    fields = T.StructType.fromDDL(schema).fields
+    rows = spark.read.options(**options).option("header", "true" if header is True else "false") \
+        .option("columnNameOfCorruptRecord", LINE).option("columnPruning", "false") \
+        .schema(f"{schema}, `{LINE}` string").csv(path)
+    if header != "auto":
+        return rows
+    # A header is malformed if a column is typed; its fields are then split again.
+    again = F.from_csv(F.col(LINE), F.lit(", ".join(f"c{i} string" for i in range(len(fields)))),
+                       options)
+    match = F.lit(True)
+    for i, f in enumerate(fields):
+        own = F.col(f"`{f.name}`")
+        if not isinstance(f.dataType, T.StringType):
+            # Naming the column makes the scan convert it, so that the header is malformed.
+            match &= own.isNull()
+            own = again[f"c{i}"]
+        match &= F.lower(F.trim(F.regexp_replace(own, "^\ufeff", ""))).eqNullSafe(f.name.lower())
+    return rows.filter(~((F.col("_metadata.file_block_start") == 0) & match))
+
+
 def read_csv_gz(
     spark: SparkSession,
     path: str | list[str],
     schema: str | None = None,
-    header: bool = True,
+    header: bool | str = True,
     options: Mapping[str, str] | None = None,
     partitions: int | None = None,
 ) -> DataFrame:

@@ -20,14 +20,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quayside.session import run_concurrently
-from quayside.sources.csv import _QUOTING, _READ_DEFAULTS
+from quayside.sources.csv import _QUOTING, _READ_DEFAULTS, LINE, read_lines
 from quayside.specs import TableSpec
 
 REJECTED = "rejected"
 SHORT, LONG, BAD = "short", "long", "bad "
 #: A malformed line in which every field parses, such as one with an open quote.
 UNREADABLE = "unreadable"
-_LINE = "__line"
 
 
 def _field_count(line: Column, options: Mapping[str, str]) -> Column:
@@ -44,16 +43,14 @@ def read_with_rejects(
     spark: SparkSession,
     path: str | list[str],
     schema: str,
-    header: bool = True,
+    header: bool | str = True,
     options: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """The typed scan and ``rejected`` (``line``, ``reasons``), null where nothing is wrong."""
     options = {**_READ_DEFAULTS, **(options or {})}
     fields = T.StructType.fromDDL(schema).fields
-    reader = spark.read.options(**options).option("header", "true" if header else "false") \
-        .option("columnNameOfCorruptRecord", _LINE).option("columnPruning", "false")
-    rows = reader.schema(f"{schema}, `{_LINE}` string").csv(path)
-    line = F.col(f"`{_LINE}`")
+    rows = read_lines(spark, path, schema, header, options)
+    line = F.col(LINE)
     texts = ", ".join(f"c{i} string" for i in range(len(fields)))
     again = F.from_csv(line, F.lit(texts), {**options, "mode": "PERMISSIVE"})
     n = _field_count(line, options)
@@ -64,7 +61,7 @@ def read_with_rejects(
         F.when(n < len(fields), F.lit(SHORT)), F.when(n > len(fields), F.lit(LONG)), *bad))
     reasons = F.when(F.size(reasons) > 0, reasons).otherwise(F.array(F.lit(UNREADABLE)))
     rejected = F.when(line.isNotNull(), F.struct(line.alias("line"), reasons.alias("reasons")))
-    return rows.withColumn(REJECTED, rejected).drop(_LINE)
+    return rows.withColumn(REJECTED, rejected).drop(LINE)
 
 
 @dataclass
@@ -94,7 +91,7 @@ def load_with_rejects(
     path: str | list[str],
     schema: str,
     target: str,
-    header: bool = True,
+    header: bool | str = True,
     options: Mapping[str, str] | None = None,
 ) -> LoadedRows:
     """Write the typed rows and their rejects to ``target`` in one scan, and count both."""

@@ -168,7 +168,8 @@ class TableSpec:
     """How one raw table is read and where it is written.
 
     ``schema`` is a DDL string or None (every column string).  ``header``
-    says whether the first line of every file is a header; a declared schema
+    says whether the first line of every file is a header
+    ("auto": each file decides); a declared schema
     is matched to the fields by position either way.  ``options`` are extra
     CSV reader options (``escape`` for JSON-in-CSV, ``compression`` ...).
     """
@@ -176,7 +177,7 @@ class TableSpec:
     name: str
     folder: str
     schema: str | None = None
-    header: bool = True
+    header: bool | str = True
     namespace: str = "raw_pos"
     options: dict = field(default_factory=dict)
     bucket_key: str | None = None
