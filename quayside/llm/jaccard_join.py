@@ -2,8 +2,11 @@
 
 1. Texts with equal shingle sets are one vertex (128-bit hash of the sorted set).
 2. Prefixes: of n shingles in one global order, the first n - ceil(t n) + 1.  Linked
-   sets share a prefix shingle.  The order is by hash, but shingles that many
-   prefixes hold come last, so common passages do not bring unlike texts together.
+   sets share a prefix shingle.  The order is by hash in three classes: shingles below a
+   cutoff that one vertex alone holds, all above the cutoff, those below that several hold.
+   The cutoff leaves a little more than a prefix below it, so a text without much in
+   common with others has a prefix of the first class and is in no posting list at all;
+   counts of the shingles below the cutoff tell the classes, whatever the corpus' size.
 3. Vertices with identical prefixes and size are one group; posting lists hold groups.
 4. Group pairs from the lists pass a size filter and a positional filter; then they
    are expanded to members.  Member pairs pass a bitmap filter (the parities of ``BITS``
@@ -33,10 +36,8 @@ from quayside.llm.common import (
 from quayside.llm.components import components
 from quayside.session import scratch_path
 
-#: A shingle in more prefixes (of twice the length) than this comes last in the order ...
-COMMON = 1
-#: ... if it is among this many most frequent ones; they are broadcast (8 bytes each).
-MAX_COMMON = 500_000
+#: Expected shingles below the cutoff, in prefixes.
+WINDOW = 1.5
 #: Bits of the bitmap of a set, in longs of 64.
 BITS = 1024
 #: Longs of the folded bitmap (parities of coarser classes) that joins compare.
@@ -44,8 +45,8 @@ FOLD = 4
 #: Row keys up to this number are broadcast (16 bytes each), more are shuffled.
 MAX_KEYS = 1_000_000
 STAR_ROUNDS = 2
-#: Leaders of a list in a round.
-LEADERS = 8
+#: Leaders of a list in a round; every list has its own, so a text in many lists meets many.
+LEADERS = 4
 WORD_TABLE = byte_table("\t\n\v\f\r ", nul=0xFF)
 
 
@@ -60,6 +61,12 @@ class Rule:
     def prefix(self, n: int) -> int:
         return n - -(-self.least * n // self.over) + 1
 
+    def prefix_sql(self, n: str) -> str:
+        return f"({n} - ({self.least} * {n} + {self.over - 1}) div {self.over} + 1)"
+
+    def cutoff(self) -> np.uint64:
+        return U(min(1.0, WINDOW * (self.over - self.least) / self.over) * (2 ** 64 - 2 ** 12))
+
     def sizes(self, a: str, b: str):
         small, large = F.least(a, b), F.greatest(a, b)
         return small * self.over >= large * self.least
@@ -103,15 +110,6 @@ def _vertex(s: np.ndarray) -> bytes:
     return np.array([a, b], ">u8").tobytes()
 
 
-def _ordered(s: np.ndarray, common: np.ndarray) -> np.ndarray:
-    if not len(common):
-        return s
-    at = np.searchsorted(common, s)
-    at[at == len(common)] = 0
-    late = common[at] == s
-    return np.concatenate([s[~late], s[late]])
-
-
 def _longs(arrays: list[np.ndarray]) -> pa.Array:
     at = np.concatenate([[0], np.cumsum([len(a) for a in arrays])]).astype(np.int32)
     flat = np.concatenate(arrays) if arrays else np.zeros(0, U)
@@ -123,29 +121,35 @@ def _parities(s: np.ndarray) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8)).view(U)
 
 
-def _emit(batches: Iterator[pa.RecordBatch], rule: Rule, common, what: str):
+def _sets(batches: Iterator[pa.RecordBatch], rule: Rule):
+    """(key columns of the rows, shingle sets) for slices of the texts."""
     for batch in batches:
         texts = encoded(batch.column("text").to_pylist())
         keys = batch.select([c for c in batch.schema.names if c != "text"])
         for a, b in slices([len(t) for t in texts]):
-            sets = shingle_sets(texts[a:b], rule.words)
-            v = pa.array([_vertex(s) if len(s) else None for s in sets], pa.binary())
-            n = pa.array([len(s) for s in sets], pa.int64())
-            if what == "set":
-                yield pa.RecordBatch.from_arrays(
-                    [v, pa.array([s.tobytes() for s in sets], pa.binary())], ["v", "shingles"])
-                continue
-            if common is None:  # to count shingles
-                prefix = [s[:2 * rule.prefix(len(s))] for s in sets]
-            else:
-                prefix = [_ordered(s, common.value)[:rule.prefix(len(s))] for s in sets]
-            columns, names = [_longs(prefix)], ["prefix"]
-            if common is not None:
-                columns.append(_longs([_parities(s) for s in sets]))
-                names.append("bits")
-            yield pa.RecordBatch.from_arrays(
-                [*keys.slice(a, b - a).columns, v, n, *columns],
-                [*keys.schema.names, "v", "n", *names])
+            yield keys.slice(a, b - a), shingle_sets(texts[a:b], rule.words)
+
+
+def _names(sets: list[np.ndarray]) -> pa.Array:
+    return pa.array([_vertex(s) if len(s) else None for s in sets], pa.binary())
+
+
+def _emit_heads(batches: Iterator[pa.RecordBatch], rule: Rule):
+    """Rows with their vertex, size, the shingles below the cutoff and a prefix above it."""
+    cutoff = rule.cutoff()
+    for keys, sets in _sets(batches, rule):
+        below = [int(np.searchsorted(s, cutoff)) for s in sets]
+        yield pa.RecordBatch.from_arrays(
+            [*keys.columns, _names(sets), pa.array([len(s) for s in sets], pa.int64()),
+             _longs([s[:w + rule.prefix(len(s))] for s, w in zip(sets, below)]),
+             pa.array(below, pa.int32()), _longs([_parities(s) for s in sets])],
+            [*keys.schema.names, "v", "n", "head", "below", "bits"])
+
+
+def _emit_sets(batches: Iterator[pa.RecordBatch], rule: Rule):
+    for _, sets in _sets(batches, rule):
+        yield pa.RecordBatch.from_arrays(
+            [_names(sets), pa.array([s.tobytes() for s in sets], pa.binary())], ["v", "shingles"])
 
 
 def _verify(batches: Iterator[pa.RecordBatch], rule: Rule):
@@ -205,27 +209,22 @@ def labelled_rows(docs: DataFrame, rule: Rule, text: str, key: str) -> DataFrame
     value = text_column(docs, text)
     base = docs.select(docs[key].alias("id"), value.alias("text"), *row_hashes(docs, text, key))
     kind = docs.schema[key].dataType.simpleString()
-    counted = scratch_path(spark, "llm", "join_counted")
+    wide = scratch_path(spark, "llm", "join_wide")
     first = stored(base.mapInArrow(
-        lambda it: _emit(it, rule, None, "prefix"),
-        f"id {kind}, r1 long, r2 long, v binary, n long, prefix array<long>"),
-        "join_counted", counted)
-    rows = stored(first.drop("prefix"), "join_rows")
+        lambda it: _emit_heads(it, rule), f"id {kind}, r1 long, r2 long, v binary, n long, "
+        "head array<long>, below int, bits array<long>"), "", wide)
+    rows = stored(first.drop("head", "below", "bits"), "join_rows")
     vertices = rows.filter("v is not null").groupBy("v", "n").agg(
         F.min(F.struct("r1", "r2")).alias("row"), F.min("id").alias("id"))
-    vertices = stored(vertices.select("v", "n", "row.r1", "row.r2", "id"), "join_vertices")
+    vertices = stored(vertices.select(F.monotonically_increasing_id().alias("vid"), "v", "n",
+                                      "row.r1", "row.r2", "id"), "join_vertices")
     chosen = vertices.select("v", "r1", "r2")
-
-    common = spark.sparkContext.broadcast(_common_shingles(first.join(chosen, ["v", "r1", "r2"])))
-    drop_stored(spark, counted)  # the wide rows only serve the counts
-    free_shuffles(spark)
-    prefixes = base.mapInArrow(
-        lambda it: _emit(it, rule, common, "prefix"),
-        f"id {kind}, r1 long, r2 long, v binary, n long, prefix array<long>, bits array<long>") \
-        .filter("v is not null").join(chosen, ["v", "r1", "r2"]) \
-        .groupBy("v", "n").agg(F.first("prefix").alias("prefix"), F.first("bits").alias("bits"))
-    prefixes = stored(prefixes.withColumn("g1", F.xxhash64("prefix", "n"))
-                      .withColumn("g2", F.xxhash64(F.lit(1), "prefix", "n")), "join_prefix")
+    path = scratch_path(spark, "llm", "join_heads")
+    heads = stored(first.drop("id").join(vertices.select("vid", "v", "r1", "r2"), ["v", "r1", "r2"])
+                   .dropDuplicates(["vid"]).drop("r1", "r2"), "", path)
+    drop_stored(spark, wide)
+    prefixes = stored(_prefixes(heads, rule), "join_prefix")
+    drop_stored(spark, path)
     free_shuffles(spark)
     members = stored(
         prefixes.join(prefixes.groupBy("g1", "g2").agg(
@@ -234,9 +233,10 @@ def labelled_rows(docs: DataFrame, rule: Rule, text: str, key: str) -> DataFrame
             _xor([F.col("bits")[i] for i in range(j, BITS // 64, FOLD)])
             for j in range(FOLD)]).alias("fold")), "join_members")
     groups = prefixes.join(members.filter("v = gid").select("v"), "v", "left_semi")
-    posted = groups.select(F.col("v").alias("gid"), "n", F.posexplode("prefix").alias("pos", "s"))
+    posted = groups.select(F.col("v").alias("gid"), "n", "own", F.posexplode("prefix").alias("pos", "s")) \
+        .select("gid", "n", (F.col("own") + F.col("pos")).alias("pos"), "s")
     shared = posted.groupBy("s").agg(F.count("*").alias("c")).filter("c > 1").select("s")
-    folds = members.filter("v = gid").select("gid", "fold")
+    folds = members.filter("v = gid").select("gid", "size", "fold")
     lists = stored(posted.join(shared, "s").join(folds, "gid"), "join_lists")
     free_shuffles(spark)
     members = stored(
@@ -257,7 +257,7 @@ def labelled_rows(docs: DataFrame, rule: Rule, text: str, key: str) -> DataFrame
         ends = pairs.select(F.col("a").alias("v")).unionByName(
             pairs.select(F.col("b").alias("v"))).distinct()
         texts = _semi(base, chosen.join(ends, "v", "left_semi").select("r1", "r2"))
-        sets = stored(texts.select("text").mapInArrow(lambda it: _emit(it, rule, None, "set"),
+        sets = stored(texts.select("text").mapInArrow(lambda it: _emit_sets(it, rule),
                                                      "v binary, shingles binary")
                       .groupBy("v").agg(F.first("shingles").alias("shingles")), "join_sets")
         found = stored(_linked(pairs, sets, rule), "join_links")
@@ -276,25 +276,23 @@ def labelled_rows(docs: DataFrame, rule: Rule, text: str, key: str) -> DataFrame
         .alias("component_id"))
 
 
-def _common_shingles(first: DataFrame) -> np.ndarray:
-    """The most frequent prefix shingles, at most ``MAX_COMMON``, sorted.
-
-    All shingles of a step of counts are taken or none, so there is no sort by count.
-    """
-    counts = stored(first.select(F.explode("prefix").alias("s")).groupBy("s")
-                    .agg(F.count("*").alias("c")).filter(F.col("c") > COMMON)
-                    .withColumn("step", F.floor(F.log2("c") * 8)), "join_counts")
-    steps = sorted(((r["step"], r["n"]) for r in
-                    counts.groupBy("step").agg(F.count("*").alias("n")).collect()), reverse=True)
-    total, least = 0, None
-    for step, n in steps:
-        if total + n > MAX_COMMON:
-            break
-        total, least = total + n, step
-    if least is None:
-        return np.zeros(0, U)
-    found = counts.filter(F.col("step") >= least).select("s").toArrow()
-    return np.sort(found.column("s").to_numpy().view(U))
+def _prefixes(heads: DataFrame, rule: Rule) -> DataFrame:
+    """Vertices whose prefix holds shingles that others may hold: these shingles in order,
+    and ``own``, how many of the prefix come before them and are the vertex's alone."""
+    below = heads.select("vid", F.explode(F.slice("head", 1, F.col("below"))).alias("s"))
+    shared = below.groupBy("s").agg(F.count("*").alias("c")).filter("c > 1").select("s")
+    late = below.join(shared, "s").groupBy("vid").agg(F.collect_list("s").alias("late"))
+    none = F.expr("cast(array() as array<long>)")
+    above = F.expr("slice(head, below + 1, size(head))")
+    return heads.join(late, "vid", "left") \
+        .withColumn("late", F.coalesce("late", none)) \
+        .withColumn("own", F.col("below") - F.size("late")) \
+        .withColumn("need", F.expr(f"cast({rule.prefix_sql('n')} as int) - own")) \
+        .filter("need > 0") \
+        .withColumn("prefix", F.slice(F.concat(
+            above, F.array_intersect(F.slice("head", 1, F.col("below")), "late")), 1, F.col("need"))) \
+        .select("v", "n", "own", "prefix", "bits", F.xxhash64("own", "prefix", "n").alias("g1"),
+                F.xxhash64(F.lit(1), "own", "prefix", "n").alias("g2"))
 
 
 def _semi(base: DataFrame, keys: DataFrame) -> DataFrame:
@@ -327,22 +325,31 @@ def _linked(pairs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
 
 
 def _star_pairs(lists: DataFrame, state: DataFrame, rule: Rule, r: int) -> DataFrame:
-    """Each list's leaders (others in every round) with the other groups' members."""
-    inside = state.filter("v != gid").join(
-        state.filter("v = gid").select("gid", F.col("root").alias("root_a")), "gid") \
-        .filter("root != root_a").select(F.col("gid").alias("a"), F.col("v").alias("b"))
-    picks = [F.min(F.struct(F.xxhash64(F.lit(r * LEADERS + j), "gid"), "gid", "n", "pos", "fold"))
-             for j in range(LEADERS)]
+    """Each list's leaders (others in every round) with the members of its other groups, and
+    leaders of each group with its members.  A group leads by a member of its own for each
+    place, as its members have one prefix, but not one set."""
+    members = [F.min(F.struct(F.xxhash64(F.lit(r * LEADERS + j), "v"), F.lit(j).alias("j"), "v", "root",
+                              "fold")) for j in range(LEADERS)]
+    leaders = state.groupBy("gid").agg(F.array(*members).alias("m"), F.count("*").alias("size")) \
+        .select("gid", "size", F.explode("m").alias("m")) \
+        .select("gid", "size", "m.j", F.col("m.v").alias("a"), F.col("m.root").alias("root_a"),
+                F.col("m.fold").alias("fold_a"))
+    inside = state.join(leaders.filter("size > 1").drop("j").distinct(), "gid") \
+        .filter("root != root_a").filter(rule.bitmaps("n", "fold", "n", "fold_a", FOLD)) \
+        .select("a", F.col("v").alias("b"))
+    picks = [F.min(F.struct(F.xxhash64(F.lit(r * LEADERS + j), "s", "gid"), F.lit(j).alias("j"), "gid",
+                            "n", "pos")) for j in range(LEADERS)]
     head = lists.groupBy("s").agg(F.array(*picks).alias("heads")) \
         .select("s", F.explode("heads").alias("h")) \
-        .select("s", F.col("h.gid").alias("a"), F.col("h.n").alias("n_a"),
-                F.col("h.pos").alias("pos_a"), F.col("h.fold").alias("fold_a")).distinct()
-    groups = lists.join(head, "s").filter(F.col("gid") != F.col("a")) \
+        .select("s", F.col("h.j").alias("j"), F.col("h.gid").alias("gid"),
+                F.col("h.n").alias("n_a"), F.col("h.pos").alias("pos_a")) \
+        .join(leaders.drop("size"), ["gid", "j"]).drop("j").withColumnRenamed("gid", "gid_a").distinct()
+    groups = lists.join(head, "s").filter(F.col("gid") != F.col("gid_a")) \
         .filter(rule.sizes("n", "n_a")).filter(rule.positions("n", "pos", "n_a", "pos_a")) \
-        .filter(rule.bitmaps("n", "fold", "n_a", "fold_a", FOLD)).select("a", "gid").distinct()
-    across = groups.join(state, "gid").join(
-        state.select(F.col("v").alias("a"), F.col("root").alias("root_a")), "a") \
-        .filter("root != root_a").select("a", F.col("v").alias("b"))
+        .filter((F.col("size") > 1) | rule.bitmaps("n", "fold", "n_a", "fold_a", FOLD)) \
+        .select("a", "n_a", "root_a", "fold_a", "gid").distinct()
+    across = groups.join(state, "gid").filter("root != root_a") \
+        .filter(rule.bitmaps("n", "fold", "n_a", "fold_a", FOLD)).select("a", F.col("v").alias("b"))
     return across.unionByName(inside).distinct()
 
 
