@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quayside.llm.common import stored
+from quayside.llm.common import free_shuffles, stored
 
 MAX_ROUNDS = 60
 
@@ -25,6 +25,9 @@ def components(edges: DataFrame) -> DataFrame:
         if state == last:
             break
         last = state
+        # Rounds follow each other fast on small edge tables: the driver's heap would grow
+        # with the plans of ended rounds.
+        free_shuffles(edges.sparkSession)
     else:
         raise RuntimeError("components did not settle")
     roots = edges.select(F.col("b").alias("v")).distinct()

@@ -250,7 +250,7 @@ def labelled_rows(docs: DataFrame, rule: Rule, text: str, key: str) -> DataFrame
         state = stored(members.join(label, "v", "left").select(
             "v", "n", "gid", "fold", F.coalesce("root", "v").alias("root")), "join_state")
         pairs = (_star_pairs(lists, state, rule, r) if r < STAR_ROUNDS
-                 else _remaining_pairs(lists, state, rule))
+                 else _remaining_pairs(lists, state, members, rule))
         pairs = stored(_alike(pairs, members, rule), "join_pairs")
         if not pairs.take(1):
             continue
@@ -353,25 +353,44 @@ def _star_pairs(lists: DataFrame, state: DataFrame, rule: Rule, r: int) -> DataF
     return across.unionByName(inside).distinct()
 
 
-def _remaining_pairs(lists: DataFrame, state: DataFrame, rule: Rule) -> DataFrame:
+def _one_of_equal(lists: DataFrame) -> DataFrame:
+    """Lists that hold different groups; of those that hold the same, the first in the order.
+
+    A passage gives a list for each of its shingles.  The first shared shingle of a pair, by
+    which the positional filter judges it, is the first of its lists, so it stays.
+    """
+    same = lists.groupBy("s").agg(
+        F.bit_xor(F.xxhash64("gid")).alias("h1"), F.bit_xor(F.xxhash64(F.lit(1), "gid")).alias("h2"),
+        F.count("*").alias("c"), F.sum("pos").alias("at"))
+    first = same.groupBy("h1", "h2", "c").agg(F.min(F.struct("at", "s")).alias("f"))
+    return lists.join(first.select("f.s"), "s", "left_semi")
+
+
+def _remaining_pairs(lists: DataFrame, state: DataFrame, members: DataFrame,
+                     rule: Rule) -> DataFrame:
     """All pairs of different components in a list, one of them outside its largest."""
     grouped = state.groupBy("gid").agg(F.count("*").alias("size"), F.first("n").alias("n"),
                                        F.min("root").alias("low"), F.max("root").alias("high"))
     own = grouped.filter("low != high").select(
         F.xxhash64("gid").alias("s"), "gid", "n", F.lit(0).alias("pos"))
-    posted = lists.select("s", "gid", "n", "pos").unionByName(own) \
-        .join(state.select("gid", "v", "root", "fold"), "gid")
+    posted = _one_of_equal(lists).select("s", "gid", "n", "pos").unionByName(own) \
+        .join(state.select("gid", "v", "root"), "gid")
     mixed_lists = posted.groupBy("s").agg(F.min("root").alias("low"), F.max("root").alias("high")) \
         .filter("low != high").select("s")
     posted = stored(posted.join(mixed_lists, "s")
-                    .select("s", "v", "n", "pos", "root", "fold"), "join_remaining")
+                    .select("s", "v", "n", "pos", "root"), "join_remaining")
     main = posted.groupBy("s", "root").agg(F.count("*").alias("c")) \
         .groupBy("s").agg(F.max_by("root", F.struct("c", "root")).alias("main"))
-    strays = posted.join(main, "s").filter("root != main").select(
-        "s", F.col("v").alias("a"), F.col("n").alias("n_a"), F.col("pos").alias("pos_a"),
-        F.col("root").alias("root_a"), F.col("fold").alias("fold_a"))
-    # All filters belong to the join: only pairs that pass them become rows.
+    posted = stored(posted.join(main, "s").join(members.select("v", "bits"), "v").select(
+        "s", "v", "n", "pos", "root", "bits", (F.col("root") != F.col("main")).alias("stray")),
+        "join_remaining")
+    strays = posted.filter("stray").select("s", *[
+        F.col(c).alias(d) for c, d in (("v", "a"), ("n", "n_a"), ("pos", "pos_a"),
+                                       ("root", "root_a"), ("bits", "bits_a"))])
+    # All filters belong to the join: only pairs that pass them become rows, a pair of two
+    # strays once.  Whole bitmaps, as folded ones pass most texts with a passage in common.
     pairs = strays.join(posted, "s").filter("root != root_a") \
+        .filter("not stray or a < v") \
         .filter(rule.sizes("n", "n_a")).filter(rule.positions("n", "pos", "n_a", "pos_a")) \
-        .filter(rule.bitmaps("n", "fold", "n_a", "fold_a", FOLD))
+        .filter(rule.bitmaps("n", "bits", "n_a", "bits_a"))
     return pairs.select(F.least("a", "v").alias("a"), F.greatest("a", "v").alias("b")).distinct()
