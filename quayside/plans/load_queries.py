@@ -206,6 +206,9 @@ CATALOG_TABLES = ("order_detail", "order_header", "truck", "menu", "franchise",
                   "customer_loyalty")
 
 
+#: A gzip file is read by one task: files of so many rows keep the scans wide.
+_PACKED = {"zlib.compress.level": "BEST_SPEED", "maxRecordsPerFile": "1000000"}
+
 _STAGED: dict = {}
 
 
@@ -231,7 +234,8 @@ def _stage_catalog_files(spark: SparkSession, sf_dir: str):
         spec = TableSpec(name=name, folder=RAW_FOLDERS[name], schema=ddl_of(df),
                          namespace="raw_customer" if name == "customer_loyalty" else "raw_pos",
                          bucket_key="order_id" if name in ("order_detail", "order_header") else None)
-        writes[name] = (lambda df=df, path=spec.path(root): write_stage(df, path))
+        writes[name] = (lambda df=df, path=spec.path(root): write_stage(
+            df, path, compression="gzip", options=_PACKED))
         specs[name] = spec
     for name, result in run_concurrently(spark, writes).items():
         if isinstance(result, Exception):
