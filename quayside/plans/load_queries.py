@@ -600,31 +600,39 @@ def _drop_folder(load: RecordedLoad, state: str) -> str:
     return load.stage.source.replace("*", f"drop_{state}")
 
 
-def _replace_file(spark: SparkSession, source: str, folder: str) -> None:
-    """Put the one data file of ``source`` in the place of the one in ``folder``."""
+def _replace_files(spark: SparkSession, source: str, folder: str) -> None:
+    """Put the data file of each folder ``name=<file>`` in the place of that file of ``folder``."""
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    files = []
-    for path in (source, folder):
-        at = jvm.org.apache.hadoop.fs.Path(path)
-        fs = at.getFileSystem(conf)
-        files += [f.getPath() for f in fs.listStatus(at) if f.getPath().getName().startswith("part-")]
-    new, old = files
-    jvm.org.apache.hadoop.fs.FileUtil.copy(fs, new, fs, old, False, True, conf)
+    at = jvm.org.apache.hadoop.fs.Path(source)
+    fs = at.getFileSystem(conf)
+    for found in fs.listStatus(at):
+        if not found.isDirectory():
+            continue
+        new = [f.getPath() for f in fs.listStatus(found.getPath())
+               if f.getPath().getName().startswith("part-")]
+        old = jvm.org.apache.hadoop.fs.Path(folder, found.getPath().getName().split("=", 1)[1])
+        if len(new) != 1 or not (fs.delete(old, False) and fs.rename(new[0], old)):
+            raise RuntimeError(f"cannot replace {old.toString()}")
 
 
 def _arrive(orders: DataFrame, load: RecordedLoad, state: str) -> None:
     write_stage(orders.filter(F.col("o_orderstatus") == state), _drop_folder(load, state))
 
 
+#: Column with the name of a row's file; a file's rows stay in it when it changes.
+_FILE_NAME = "file_name"
+
+
 def _change_in_place(load: RecordedLoad, orders: DataFrame, state: str) -> None:
     """Files of a drop get new content under their old names: amounts and customers change."""
     new = read_csv(orders.sparkSession, _drop_folder(load, state), schema=load.stage.schema) \
+        .withColumn(_FILE_NAME, F.col("_metadata.file_name")) \
         .withColumn("o_totalprice", F.col("o_totalprice") * 2) \
         .withColumn("o_custkey", F.when(F.col("o_orderkey") % 3 == 0, 1).otherwise(F.col("o_custkey"))
                     .cast(orders.schema["o_custkey"].dataType))
     changed = scratch_path(orders.sparkSession, "stage", "changed")
-    write_stage(new.coalesce(1), changed)
-    _replace_file(orders.sparkSession, changed, _drop_folder(load, state))
+    write_stage(new.repartition(_FILE_NAME), changed, by=_FILE_NAME)
+    _replace_files(orders.sparkSession, changed, _drop_folder(load, state))
 
 
 _CHANGED_ORDERS = (
@@ -646,7 +654,7 @@ def load_history_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = _raw(spark, sf_dir, "orders")
     load = _recorded(spark, orders, "history")
     for state in _DROPS:
-        _arrive(orders.coalesce(1) if state == "P" else orders, load, state)
+        _arrive(orders, load, state)
         run_recorded_load(spark, load)
     run_recorded_load(spark, load)  # nothing new
     first = read_recorded(spark, load).filter(F.col(BATCH) == "s000000000").drop(BATCH)
@@ -705,7 +713,7 @@ def loyalty_kept_up(spark: SparkSession, sf_dir: str) -> DataFrame:
             _change_in_place(load, orders, _DROPS[-1])
             reload_changed_files(spark, load, state.on_batch)
         else:
-            _arrive(orders.coalesce(1) if name == "P" else orders, load, name)
+            _arrive(orders, load, name)
             run_recorded_load(spark, load, state.on_batch)
         if step == 2:
             state.compact(spark)

@@ -116,9 +116,12 @@ def write_stage(
     compression: str | None = None,
     mode: str = "overwrite",
     options: Mapping[str, str] | None = None,
+    by: str | None = None,
 ) -> str:
     """Write a table as CSV files (one per partition) under ``path``.
 
+    With ``by`` the files lie in a folder for each value of that column, which they leave out.
+
     Timestamps are written as a cast to text gives them: all digits of the fraction, and
     none where it is zero.
     """
@@ -133,6 +136,8 @@ def write_stage(
         writer = writer.option("compression", compression)
     for key, value in (options or {}).items():
         writer = writer.option(key, value)
+    if by:
+        writer = writer.partitionBy(by)
     writer.csv(path)
     return path
 
