@@ -185,6 +185,8 @@ def limit_joined(
         attempts.append((taken, _rows_seen(seen)))
         if taken is None or rows.count() >= n:
             break
+        if len(files) == 1 and 0 < attempts[-1][1] < PREFIX_SLACK * n:
+            break  # the prefix was the whole fact
     return Capped(rows, tuple(attempts))
 
 

@@ -56,3 +56,11 @@ def test_the_scan_stops(spark, fact, tmp):
     first = sorted(fact.inputFiles())[0]
     assert capped.attempts == ((1, 40),)
     assert spark.read.parquet(first).count() < 40_000 / 10
+
+
+def test_a_fact_within_the_prefix_is_joined_once(spark, tmp):
+    spark.range(50).selectExpr("id", "id % 10 AS k").coalesce(1).write.parquet(f"{tmp}/one")
+    fact = spark.read.parquet(f"{tmp}/one")
+    capped = limit_joined(fact, joined_to(spark, [1, 2]), 40, f"{tmp}/out")
+    assert capped.rows.count() == 10
+    assert capped.attempts == ((1, 50),)
