@@ -25,7 +25,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quayside.llm.common import (
-    MULT, U, Words, byte_table, encoded, mixed, prepare, slices, stored, text_column,
+    MULT, U, Words, byte_table, encoded, give_back, mixed, prepare, slices, stored,
+    text_column,
 )
 
 WINDOW = 10
@@ -146,6 +147,7 @@ def _search(batches: Iterator[pa.RecordBatch], model, names: list[str]):
                  pa.array(hits, _HIT_TYPE),
                  pa.array([sorted(x) for x in items], pa.list_(pa.string()))],
                 ["_text", *names, "n_words", "hits", "items"])
+    give_back()
 
 
 def _blocks(benchmark: DataFrame) -> Iterator[list[tuple[str | None, str | None]]]:

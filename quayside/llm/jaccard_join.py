@@ -30,8 +30,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quayside.llm.common import (
-    MULT, U, Words, byte_table, drop_stored, encoded, free_shuffles, joined_hash, mixed, prepare,
-    slices, stored, text_column,
+    MULT, U, Words, byte_table, drop_stored, encoded, free_shuffles, give_back, joined_hash, mixed,
+    prepare, slices, stored, text_column,
 )
 from quayside.llm.components import components
 from quayside.session import scratch_path
@@ -128,6 +128,7 @@ def _sets(batches: Iterator[pa.RecordBatch], rule: Rule):
         keys = batch.select([c for c in batch.schema.names if c != "text"])
         for a, b in slices([len(t) for t in texts]):
             yield keys.slice(a, b - a), shingle_sets(texts[a:b], rule.words)
+    give_back()
 
 
 def _names(sets: list[np.ndarray]) -> pa.Array:

@@ -33,7 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quayside.llm.common import prepare, slices, stored, text_column
+from quayside.llm.common import give_back, prepare, slices, stored, text_column
 
 WINDOW = 4096
 END_ID = 2
@@ -188,7 +188,7 @@ def _tokenise(batches: Iterator[pa.RecordBatch], path: str, end_id: int):
         text, source, doc_id = (batch.column(c) for c in ("text", "source", "doc_id"))
         texts = text.to_pylist()
         sources = source.to_pylist()
-        for a, b in slices([len(t) for t in texts], 1 << 22):
+        for a, b in slices([len(t) for t in texts]):
             ids = [np.append(x, np.uint16(end_id)) for x in _tokenizer(path).encode(texts[a:b])]
             begin = []
             for s, x in zip(sources[a:b], ids):
@@ -200,6 +200,7 @@ def _tokenise(batches: Iterator[pa.RecordBatch], path: str, end_id: int):
                  pa.array([len(x) for x in ids], pa.int64()),
                  pa.array([x.tobytes() for x in ids], pa.binary())],
                 ["chunk", "source", "doc_id", "at", "doc_tokens", "ids"])
+    give_back()
 
 
 _PIECES = ("doc_id long, source string, start long, length long, doc_tokens long, "
@@ -232,11 +233,12 @@ def _cut(batches: Iterator[pa.RecordBatch], schedule: Schedule, groups: Groups |
                         out.append((doc_id, source, a, b - a, n, window, offset,
                                     ids[a:b].tobytes()))
             size += 4 * n
-            if size > 1 << 24:
+            if size > 1 << 21:
                 yield _pieces(out)
                 out, size = [], 0
         if out:
             yield _pieces(out)
+    give_back()
 
 
 def _pieces(rows: list[tuple]) -> pa.RecordBatch:

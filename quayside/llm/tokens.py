@@ -18,8 +18,11 @@ import numpy as np
 from quayside.llm.common import hash_ranges, slices
 
 #: Cached pieces per worker; the cache starts anew beyond that.
-MAX_CACHED = 1_500_000
-_SLOTS = 1 << 22
+MAX_CACHED = 400_000
+#: Slots of an empty table; it doubles before it is more than half full.
+_SLOTS = 1 << 16
+#: Characters given to the tokenizer at a time: its results take some hundred bytes a token.
+_ENCODED = 1 << 17
 _SIZE_BITS = 24
 _SIZE = (1 << _SIZE_BITS) - 1
 #: A contraction is a piece of its own; special token strings are no text.
@@ -58,18 +61,49 @@ class WordTokenizer:
 
     def _forget(self) -> None:
         """Empty the piece table: open addressing, piece hash -> begin and size of its ids."""
-        self.key = np.zeros(_SLOTS, np.uint64)
-        self.value = np.zeros(_SLOTS, np.int64)
+        self._empty_table(_SLOTS)
         self.known = 0
         self.ids = np.zeros(0, np.uint16)
 
+    def _empty_table(self, slots: int) -> None:
+        self.key = np.zeros(slots, np.uint64)
+        self.value = np.zeros(slots, np.int64)
+
+    def _room_for(self, more: int) -> None:
+        """Double the table until it is at most half full with so many new pieces."""
+        slots = len(self.key)
+        while 2 * (self.known + more) > slots:
+            slots *= 2
+        if slots > len(self.key):
+            at = np.flatnonzero(self.key)
+            h, value = self.key[at], self.value[at]
+            self._empty_table(slots)
+            self._put(h, value)
+
+    def _put(self, h: np.ndarray, value: np.ndarray) -> None:
+        """Enter distinct hashes that the table does not hold."""
+        todo = np.arange(len(h))
+        while len(todo):
+            slot, there = self._find(h[todo])
+            self.key[slot[~there]] = h[todo][~there]
+            won = self.key[slot] == h[todo]
+            self.value[slot[won]] = value[todo][won]
+            todo = todo[~won]
+
+    def _encoded(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of each text by the tokenizer, few texts at a time."""
+        return [np.asarray(e.ids, np.uint16)
+                for a, b in slices([len(t) for t in texts], _ENCODED)
+                for e in self.tokenizer.encode_batch(texts[a:b], add_special_tokens=False)]
+
     def _find(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Slot of each hash, and whether the slot holds it (else it is free)."""
-        slot = (h & np.uint64(_SLOTS - 1)).astype(np.int64)
+        last = len(self.key) - 1
+        slot = (h & np.uint64(last)).astype(np.int64)
         there = self.key[slot]
         todo = np.flatnonzero((there != h) & (there != 0))
         while len(todo):
-            slot[todo] = (slot[todo] + 1) & (_SLOTS - 1)
+            slot[todo] = (slot[todo] + 1) & last
             there = self.key[slot[todo]]
             todo = todo[(there != h[todo]) & (there != 0)]
         return slot, self.key[slot] == h
@@ -89,10 +123,9 @@ class WordTokenizer:
                 except UnicodeEncodeError:
                     pass
             other.append(i)
-        for i, encoding in zip(other, self.tokenizer.encode_batch(
-                [texts[i] for i in other], add_special_tokens=False)):
-            out[i] = np.asarray(encoding.ids, np.uint16)
-        for a, b in slices([len(t) for t in lowered], 1 << 19):
+        for i, ids in zip(other, self._encoded([texts[i] for i in other])):
+            out[i] = ids
+        for a, b in slices([len(t) for t in lowered], 1 << 18):
             for i, ids in zip(plain[a:b], self._plain(lowered[a:b])):
                 out[i] = ids
         return out
@@ -108,6 +141,7 @@ class WordTokenizer:
         h = hash_ranges(np.ndarray((len(raw) - 7,), "<u8", raw, 0, (1,)), begin, stop - begin)
         h |= h == 0
         slot, found = self._find(h)
+        value = self.value[slot]
         if not found.all():
             if self.known > MAX_CACHED:
                 self._forget()
@@ -116,8 +150,7 @@ class WordTokenizer:
             _, at = np.unique(h[missing], return_index=True)
             at = missing[at]
             self._learn(h[at], [raw[s:e].decode("latin-1") for s, e in zip(begin[at], stop[at])])
-            slot[missing], _ = self._find(h[missing])
-        value = self.value[slot]
+            value[missing] = self.value[self._find(h[missing])[0]]
         size = value & _SIZE
         start = value >> _SIZE_BITS
         total = np.cumsum(size)
@@ -132,20 +165,13 @@ class WordTokenizer:
     def _learn(self, h: np.ndarray, pieces: list[str]) -> None:
         """Encode new pieces, many at a time; a piece ends with a word-end token."""
         texts = [" ".join(pieces[i:i + 500]) for i in range(0, len(pieces), 500)]
-        found = [np.asarray(e.ids, np.uint16)
-                 for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
-        flat = np.concatenate(found)
+        flat = np.concatenate(self._encoded(texts))
         stop = np.flatnonzero(self.is_end[flat]) + 1
         if len(stop) != len(pieces):
             raise ValueError("the tokenizer does not end each piece with a word-end token")
         begin = np.concatenate([[0], stop[:-1]])
         value = ((begin + len(self.ids)) << _SIZE_BITS) | (stop - begin)
-        todo = np.arange(len(h))
-        while len(todo):
-            slot, there = self._find(h[todo])
-            self.key[slot[~there]] = h[todo][~there]
-            won = self.key[slot] == h[todo]
-            self.value[slot[won]] = value[todo][won]
-            todo = todo[~won]
+        self._room_for(len(h))
+        self._put(h, value)
         self.known += len(h)
         self.ids = np.concatenate([self.ids, flat])
