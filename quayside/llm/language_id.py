@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quayside.llm.common import U, mixed, prepare, slices, stored, text_column
+from quayside.llm.common import U, give_back, mixed, prepare, slices, stored, text_column
 from quayside.llm.labelled import TEXTS_PER_ID
 
 BUCKETS = 1 << 18
@@ -33,6 +33,8 @@ BUCKETS = 1 << 18
 MAX_ROWS = 500
 #: Sampled ids that are broadcast; beyond that the planner joins them as it sees fit.
 MAX_PICKED = 1_000_000
+#: Characters of text whose trigrams a task holds at a time; they take some 40 times as much.
+SLICE = 1 << 18
 #: Entries of the model that a task looks up at a time.
 LOOKUPS = 4_000_000
 TEMPER = 4.0
@@ -59,12 +61,10 @@ class Model:
     loglik: np.ndarray
     unseen: np.ndarray
 
-    def scores(self, bucket: np.ndarray, first: np.ndarray) -> np.ndarray:
-        """Log-likelihood of each text (its trigrams are ``bucket[first[i]:first[i + 1]]``)."""
-        k, n = len(self.languages), np.diff(first)
-        text = np.repeat(np.arange(len(n)), n)
-        key, times = np.unique(text * BUCKETS + bucket, return_counts=True)
-        text, bucket = key // BUCKETS, key % BUCKETS
+    def scores(self, text: np.ndarray, bucket: np.ndarray, times: np.ndarray,
+               n: np.ndarray) -> np.ndarray:
+        """Log-likelihood of each text, by what ``counted`` gives."""
+        k = len(self.languages)
         size = self.begin[bucket + 1] - self.begin[bucket]
         out = np.zeros(len(n) * k)
         for a, b in slices(size, LOOKUPS):
@@ -76,13 +76,18 @@ class Model:
         return out.reshape(len(n), k) + n[:, None] * self.unseen
 
 
+def _buckets(data: np.ndarray) -> np.ndarray:
+    """Bucket of each three bytes of ``data`` that follow each other."""
+    return mixed(data[:-2] << U(16) | data[1:-1] << U(8) | data[2:]) & U(BUCKETS - 1)
+
+
 def trigrams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """(bucket, first) of the byte trigrams of each text, blanks alone left out."""
     parts = [b" ".join(t.encode("utf-8", "surrogatepass").translate(_TABLE).split()) for t in texts]
     parts = [b" " + p + b" " if p else b"" for p in parts]
     data = np.frombuffer(b"".join(parts) + b"\0\0", np.uint8).astype(U)
     size = np.fromiter((len(p) for p in parts), np.int64, len(parts))
-    h = mixed(data[:-2] << U(16) | data[1:-1] << U(8) | data[2:]) & U(BUCKETS - 1)
+    h = _buckets(data)
     begin = np.cumsum(size) - size
     inside = np.ones(int(size.sum()), bool)
     for off in (1, 2):
@@ -91,17 +96,43 @@ def trigrams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return h[np.flatnonzero(inside)].astype(np.int64), np.concatenate([[0], np.cumsum(n)])
 
 
+def counted(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(text, bucket, times) of the different trigrams of a slice of texts; trigrams of each text.
+
+    The counts of a text that is longer than a slice are summed over parts of it.
+    """
+    if len(texts) != 1 or len(texts[0]) <= SLICE:
+        bucket, first = trigrams(texts)
+        n = np.diff(first)
+        text = np.repeat(np.arange(len(n)), n)
+        key, times = np.unique(text * BUCKETS + bucket, return_counts=True)
+        return key // BUCKETS, key % BUCKETS, times, n
+    data = np.frombuffer(texts[0].encode("utf-8", "surrogatepass").translate(_TABLE), np.uint8)
+    kept = data != 32
+    kept[1:] |= kept[:-1].copy()  # of several blanks the first
+    part = data[kept].tobytes().strip(b" ")
+    data = np.frombuffer(b" " + part + b" " if part else b"", np.uint8)
+    every = np.zeros(BUCKETS, np.int64)
+    for a in range(0, len(data) - 2, SLICE):
+        h = _buckets(data[a:a + SLICE + 2].astype(U))
+        every += np.bincount(h.astype(np.int64), minlength=BUCKETS)
+    bucket = np.flatnonzero(every)
+    return np.zeros(len(bucket), np.int64), bucket, every[bucket], np.array([every.sum()])
+
+
 def _trigram_counts(batches: Iterator[pa.RecordBatch]):
     for batch in batches:
         texts, lang = batch.column("text").to_pylist(), batch.column("lang").to_pylist()
-        for a, b in slices([len(t) for t in texts]):
+        for a, b in slices([len(t) for t in texts], SLICE):
             names = sorted(set(lang[a:b]))
-            bucket, first = trigrams(texts[a:b])
-            own = np.repeat([names.index(x) for x in lang[a:b]], np.diff(first))
-            key, n = np.unique(own.astype(np.int64) * BUCKETS + bucket, return_counts=True)
+            text, bucket, times, _ = counted(texts[a:b])
+            own = np.array([names.index(x) for x in lang[a:b]], np.int64)[text]
+            key, at = np.unique(own * BUCKETS + bucket, return_inverse=True)
+            n = np.bincount(at, times, len(key)).astype(np.int64)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(names, pa.string()).take(pa.array(key // BUCKETS)),
                  pa.array((key % BUCKETS).astype(np.int32)), pa.array(n)], ["lang", "bucket", "n"])
+    give_back()
 
 
 def train(docs: DataFrame, max_rows: int = MAX_ROWS) -> Model:
@@ -152,19 +183,20 @@ def _text_scores(batches: Iterator[pa.RecordBatch], model):
     for batch in batches:
         texts = batch.column("text").to_pylist()
         rest = batch.select([c for c in batch.schema.names if c != "text"])
-        for a, b in slices([len(t) for t in texts]):
-            bucket, first = trigrams(texts[a:b])
-            n = np.maximum(1, np.diff(first))
+        for a, b in slices([len(t) for t in texts], SLICE):
+            text, bucket, times, size = counted(texts[a:b])
+            n = np.maximum(1, size)
             weight = np.minimum(n, MOST) / n / TEMPER
-            scores = model.value.scores(bucket, first) * weight[:, None]
+            scores = model.value.scores(text, bucket, times, size) * weight[:, None]
             flat = pa.array(scores.ravel())
             at = pa.array(np.arange(b - a + 1, dtype=np.int32) * k)
             best = scores.argmax(axis=1) if k else np.zeros(b - a, np.int64)
-            vote = pa.array(np.where(np.diff(first) > 0, best, -1).astype(np.int32) if k
+            vote = pa.array(np.where(size > 0, best, -1).astype(np.int32) if k
                             else np.full(b - a, -1, np.int32))
             yield pa.RecordBatch.from_arrays(
                 [*rest.slice(a, b - a).columns, pa.ListArray.from_arrays(at, flat), vote],
                 [*rest.schema.names, "loglik", "vote"])
+    give_back()
 
 
 def _counts(rows: DataFrame, by: list[str], k: int, name: str) -> DataFrame:

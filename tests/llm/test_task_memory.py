@@ -7,7 +7,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from quayside.llm import packing, quality, tokens
+from quayside.llm import language_id, packing, quality, tokens
 
 
 @pytest.fixture()
@@ -60,3 +60,56 @@ def test_freed_memory_goes_back_after_each_task(monkeypatch, tokenizer):
     list(quality._score(iter([]), None, []))
     list(packing._cut(iter([]), None, None))
     assert given == [quality, packing]
+
+
+def a_model(rnd, k=3):
+    entries = sorted(rnd.sample(range(k * language_id.BUCKETS), 3000))
+    bucket = np.array([e // k for e in entries])
+    return language_id.Model(
+        [f"l{i}" for i in range(k)], np.searchsorted(bucket, np.arange(language_id.BUCKETS + 1)),
+        np.array([e % k for e in entries], np.int32), np.array([rnd.random() for _ in entries]),
+        np.array([-9.0 - i for i in range(k)]))
+
+
+def test_a_long_page_is_scored_in_parts(rnd):
+    text = " ".join(f"w{rnd.randint(0, 50_000)} {chr(rnd.randint(97, 122)) * 3}" for _ in range(400_000))
+    batch = pa.RecordBatch.from_arrays([pa.array([text, "abc def"]), pa.array([1, 2])], ["text", "key"])
+    tracemalloc.start()
+    try:
+        rows = [out.num_rows for out in language_id._text_scores(
+            iter([batch]), SimpleNamespace(value=a_model(rnd)))]
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert sum(rows) == 2
+    assert peak < 12 * len(text)
+
+
+def test_parts_of_a_text_count_like_the_whole(rnd, monkeypatch):
+    letters = ["a", "B", "z", "é", "中", "\U0001f600", "\ud800", " ", "\n", "1", "<", "\0"]
+    texts = ["".join(rnd.choices(letters, k=n)) for n in (17, 33, 64, 400, 5000)]
+    texts += [" " * 50, "ab" * 30, "  ab  " + "." * 40, "中" * 40]
+    monkeypatch.setattr(language_id, "SLICE", 16)
+    for text in texts:
+        bucket, times = np.unique(language_id.trigrams([text])[0], return_counts=True)
+        of, at, n, size = language_id.counted([text])
+        assert (of == 0).all() and at.tolist() == bucket.tolist() and n.tolist() == times.tolist()
+        assert size.tolist() == [times.sum()]
+
+
+def test_scores_do_not_depend_on_the_slices(rnd, monkeypatch):
+    texts = ["".join(rnd.choices("abcdefgh .", k=rnd.choice([0, 1, 5, 300, 900]))) for _ in range(60)]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts), pa.array(range(60))], ["text", "key"])
+    model, found = SimpleNamespace(value=a_model(rnd)), []
+    for size in (1 << 20, 500):
+        monkeypatch.setattr(language_id, "SLICE", size)
+        found.append(pa.Table.from_batches(language_id._text_scores(iter([batch]), model)).to_pydict())
+    assert found[0] == found[1]
+
+
+def test_language_tasks_give_freed_memory_back(monkeypatch):
+    given = []
+    monkeypatch.setattr(language_id, "give_back", lambda: given.append(1))
+    list(language_id._trigram_counts(iter([])))
+    list(language_id._text_scores(iter([]), SimpleNamespace(value=language_id.Model([], *[None] * 4))))
+    assert len(given) == 2
